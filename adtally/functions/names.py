@@ -18,6 +18,11 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def is_bookkeeping(name: str) -> bool:
+    """Columns such as ``_ingest`` order or tag rows; loads pass them through and do not store them."""
+    return name.startswith("_")
+
+
 def is_id_column(name: str) -> bool:
     lowered = name.lower()
     return lowered == "id" or lowered.endswith("_id")

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from adtally.fixed_values import FIELD_MAP_COLUMNS
-from adtally.functions.names import NAME_LIMIT, quoted
+from adtally.functions.names import NAME_LIMIT, is_bookkeeping, quoted
 
 APPROVED, PENDING, EXCLUDED = "approved", "pending", "excluded"
 PENDING_NOTE = "Auto-detected: set rename_to and change status to approved to load"
@@ -75,7 +75,7 @@ def apply_field_map(df: DataFrame, fields: FieldMap | None, unknown: str = "drop
     if fields is None:
         return df
     hidden = fields.excluded | fields.pending
-    kept = [c for c in df.columns if c not in hidden and (unknown == "keep" or c in fields.known)]
+    kept = [c for c in df.columns if c not in hidden and (unknown == "keep" or c in fields.known or is_bookkeeping(c))]
     return df.select(*[quoted(c).alias(fields.renames.get(c, c)) for c in kept])
 
 
@@ -102,7 +102,7 @@ def pending_rows(seen: DataFrame, rows: DataFrame, feed: str, table: str = "", g
 
 def register_unknown(df: DataFrame, rows: DataFrame, feed: str, table: str = "") -> DataFrame:
     """Rows to append to the map for the columns of ``df`` it does not know; none on a second run."""
-    return pending_rows(names_frame(df.sparkSession, df.columns), rows, feed, table)
+    return pending_rows(names_frame(df.sparkSession, [c for c in df.columns if not is_bookkeeping(c)]), rows, feed, table)
 
 
 def names_frame(spark: SparkSession, names: Iterable[str], column: str = "api_field") -> DataFrame:

@@ -7,11 +7,12 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from adtally.functions.coerce import strict_number
-from adtally.functions.names import is_id_column, quoted
+from adtally.functions.names import is_bookkeeping, is_id_column, quoted
 
 
 def text_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema if isinstance(f.dataType, T.StringType) and not is_id_column(f.name)]
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    return [n for n in texts if not is_id_column(n) and not is_bookkeeping(n)]
 
 
 def column_profile(df: DataFrame, columns: Iterable[str] | None = None, blank_is_missing: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from adtally.functions.coerce import strict_number
-from adtally.functions.names import is_id_column, quoted
+from adtally.functions.names import is_bookkeeping, is_id_column, quoted
 
 METRIC_KEYS = {"action_type", "indicator"}
 
@@ -263,6 +263,8 @@ def fill_numbers(df: DataFrame, keep_nulls: bool = False) -> DataFrame:
 
     def filled(f: T.StructField) -> Column:
         c = quoted(f.name)
+        if is_bookkeeping(f.name):
+            return c
         if is_id_column(f.name):
             return clean_id(c, f.dataType).alias(f.name)
         if isinstance(f.dataType, T.BooleanType):

@@ -63,6 +63,10 @@ def load_facts(
     return table
 
 
+def _between(records: DataFrame, first: date | str, last: date | str) -> DataFrame:
+    return records.withColumn("_day", F.col("date_start").try_cast("date")).where(windows.within(first, last, "_day"))
+
+
 def load_range(
     spark: SparkSession,
     records: DataFrame,
@@ -94,8 +98,7 @@ def load_range(
     todo = spark.createDataFrame(todo.collect(), "since DATE, until DATE")
     if todo.isEmpty():
         return todo.withColumn("rows_loaded", F.lit(0).cast("bigint"))
-    dated = records.where(windows.within(first, last, "date_start"))
-    chosen = windows.in_windows(dated.withColumn("_day", F.to_date("date_start")), todo, "_day").drop("_day")
+    chosen = windows.in_windows(_between(records, first, last), todo, "_day").drop("_day")
     table = load_facts(spark, chosen, level, database, order, breakdowns, fields, **known)
     loaded = windows.rows_per_window(spark.table(table), todo)
     marks = windows.mark_completed(checkpoint.limit(0), loaded, level, profile, breakdowns)
@@ -132,7 +135,7 @@ def load_preset(
 ) -> str:
     """Load the days of a named snapshot; no windows are marked."""
     first, last = windows.preset_range(preset, today)
-    return load_facts(spark, records.where(windows.within(first, last, "date_start")), level, database, order, **options)
+    return load_facts(spark, _between(records, first, last).drop("_day"), level, database, order, **options)
 
 
 def replay_facts(
@@ -245,8 +248,12 @@ def full_view(spark: SparkSession, database: str) -> DataFrame:
     return star_view(*required, table(fv.CAMPAIGNS), table(fv.ADSETS))
 
 
-def create_full_view(spark: SparkSession, database: str) -> None:
+def create_full_view(spark: SparkSession, database: str) -> bool:
+    """Define the view anew, as after any change to its tables; False while a required table is missing."""
+    if not all(spark.catalog.tableExists(f"{database}.{n}") for n in (fv.AD_FACT, fv.ACCOUNTS, fv.ADS, fv.CREATIVES)):
+        return False
     full_view(spark, database).createOrReplaceTempView(fv.FULL_VIEW)
+    return True
 
 
 def materialise_combined(spark: SparkSession, database: str, mirror: str | None = None) -> int:
@@ -276,6 +283,7 @@ def refresh(
             load_dimension(spark, entities[entity], entity, database, order)
     if delivery is not None:
         load_range(spark, delivery, level, database, order, first, last, force=force, **options)
+    create_full_view(spark, database)
     if mirror:
         sync_tables(spark, database, mirror, ["all"], create=True)
         materialise_combined(spark, database, mirror)

@@ -11,6 +11,7 @@ from adtally.operators import fieldmap
 from adtally.operators.erase import delete_targets, erase_report, surviving_rows
 from adtally.operators.goals import goals_vs_actual, read_goals
 from adtally.operators.registry import merge_registry, registry_from_accounts, sort_registry
+from adtally.plans.loads import create_full_view
 from adtally.plans.sync import sync_tables
 from adtally.session import stage
 from adtally.sources import tables
@@ -29,12 +30,14 @@ def erase_accounts(spark: SparkSession, database: str, delete_list: DataFrame, c
     targets = stage(delete_targets(delete_list), "erase-targets")
     report = stage(erase_report(frames, targets), "erase-report")
     if confirm:
-        dims = {n: stage(frames[n].select(k, "account_id"), n) for n, k in _LINK_KEYS.items() if n in frames}
+        linked = {n: k for n, k in _LINK_KEYS.items() if n in frames and "account_id" in frames[n].columns}
+        dims = {n: stage(frames[n].select(k, "account_id"), n) for n, k in linked.items()}
         for name in names:
             kept = surviving_rows(name, frames[name], targets, {**frames, **dims})
             if kept is not None:
                 plan = tables.layout_of(name)
                 tables.replace_table(kept, f"{database}.{name}", plan["partition"], plan["cluster"])
+        create_full_view(spark, database)
     return report
 
 
@@ -47,6 +50,7 @@ def prune_columns(spark: SparkSession, database: str, field_map: DataFrame, dry_
     if not dry_run:
         for row in fieldmap.columns_by_table(plan).collect():
             tables.drop_columns(spark, f"{database}.{row['table_name']}", row["columns"])
+        create_full_view(spark, database)
     return plan
 
 
@@ -64,6 +68,7 @@ def migrate_renames(
         due.setdefault(row["table_name"], {})[row["old_name"]] = row["new_name"]
     for name, renames in due.items():
         tables.rename_columns(spark, f"{database}.{name}", renames)
+    create_full_view(spark, database)
     return plan
 
 

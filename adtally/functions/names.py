@@ -24,8 +24,8 @@ def is_bookkeeping(name: str) -> bool:
 
 
 def is_id_column(name: str) -> bool:
-    lowered = name.lower()
-    return lowered == "id" or lowered.endswith("_id")
+    """Ids are text at any depth; as numbers, long ones would lose digits."""
+    return name.lower().rpartition(".")[2] == "id" or name.lower().endswith("_id")
 
 
 def keep_tail(name: str, limit: int = NAME_LIMIT) -> str:

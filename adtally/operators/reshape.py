@@ -74,12 +74,13 @@ def discover_metric_types(df: DataFrame, lists: Iterable[str]) -> dict[str, list
     lists = list(lists)
     if not lists:
         return {}
-    tagged = [
-        F.transform(_newest_first(df, name)["types"], lambda key, n=name: F.struct(F.lit(n).alias("list"), key.alias("type")))
-        for name in lists
-    ]
+
+    def tagged(name: str) -> Column:
+        types = _newest_first(df, name)["types"]
+        return F.transform(types, lambda key: F.struct(F.lit(name).alias("list"), key.alias("type")))
+
     found = (
-        df.select(F.explode(F.concat(*[F.coalesce(t, F.array()) for t in tagged])).alias("item"))
+        df.select(F.explode(F.concat(*[F.coalesce(tagged(n), F.array()) for n in lists])).alias("item"))
         .select("item.list", "item.type")
         .where(F.col("type").isNotNull())
         .distinct()
@@ -92,14 +93,15 @@ def discover_metric_types(df: DataFrame, lists: Iterable[str]) -> dict[str, list
 
 def expand_metrics_long(df: DataFrame, ids: Iterable[str]) -> DataFrame:
     """The same metrics as rows (ids, list, type, value), for vocabularies too wide for columns."""
-    parts = [
-        F.transform(
-            F.arrays_zip(newest["types"].alias("t"), newest["values"].cast("array<string>").alias("v")),
-            lambda item, n=name: F.struct(F.lit(n).alias("list"), item["t"].alias("type"), item["v"].alias("value")),
+
+    def metric_rows(name: str) -> Column:
+        newest = _first_of_each(_newest_first(df, name))
+        pairs = F.arrays_zip(newest["types"].alias("t"), newest["values"].cast("array<string>").alias("v"))
+        return F.transform(
+            pairs, lambda p: F.struct(F.lit(name).alias("list"), p["t"].alias("type"), p["v"].alias("value"))
         )
-        for name in metric_lists(df)
-        for newest in [_first_of_each(_newest_first(df, name))]
-    ]
+
+    parts = [metric_rows(name) for name in metric_lists(df)]
     items = F.explode(F.concat(*[F.coalesce(p, F.array()) for p in parts])).alias("item")
     return df.select(*[quoted(i) for i in ids], items).select(*[quoted(i) for i in ids], "item.*")
 
@@ -141,13 +143,12 @@ def split_results(df: DataFrame, name: str = "results") -> DataFrame:
         return df.select("*", empty.alias(f"{name}_indicator"), empty.alias(f"{name}_value"))
     pairs = _result_pairs(quoted(name), df.schema[name].dataType)
     staged = df.select(*[quoted(c) for c in df.columns if c != name], pairs.alias("_pairs"))
-    joined = [
-        F.when(F.size("_pairs") > 0, F.array_join(F.transform(F.col("_pairs"), lambda p, k=key: p[k]), ",")).alias(
-            f"{name}_{key}"
-        )
-        for key in ("indicator", "value")
-    ]
-    return staged.select(*[quoted(c) for c in staged.columns if c != "_pairs"], *joined)
+
+    def joined(part: str) -> Column:
+        texts = F.transform(F.col("_pairs"), lambda p: p[part])
+        return F.when(F.size("_pairs") > 0, F.array_join(texts, ",")).alias(f"{name}_{part}")
+
+    return staged.select(*[quoted(c) for c in staged.columns if c != "_pairs"], joined("indicator"), joined("value"))
 
 
 def _result_pairs(c: Column, data_type: T.DataType) -> Column:
@@ -203,16 +204,13 @@ def _list_pairs(items: Column, item_type: T.DataType) -> Column:
 
 
 def coalesce_duplicates(df: DataFrame) -> DataFrame:
-    """Merge numbered (``c``, ``c.1``, ``c.2``) and equally named columns, first non-NULL left to right."""
+    """Merge numbered (``c``, ``c.1``, ``c.2``) and equally named columns: first non-NULL, plain names before numbered."""
     positions = [f"c{i}" for i in range(len(df.columns))]
-    groups: dict[str, list[int]] = {}
-    numbered = set()
-    for i, name in enumerate(df.columns):
-        match = re.fullmatch(r"(.+)\.\d+", name)
-        if match:
-            numbered.add(match.group(1))
-        groups.setdefault(match.group(1) if match else name, []).append(i)
-    if len(groups) == len(df.columns) and not numbered:
+    bases = [re.sub(r"(?<=.)\.\d+$", "", name) for name in df.columns]
+    groups: dict[str, list[int]] = {base: [] for base in bases}
+    for i in sorted(range(len(bases)), key=lambda i: bases[i] != df.columns[i]):
+        groups[bases[i]].append(i)
+    if list(groups) == df.columns:
         return df
     types = [f.dataType for f in df.schema]
 

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from adtally import fixed_values as fv
-from adtally.functions.names import breakdown_key, quoted
+from adtally.functions.names import breakdown_key, is_bookkeeping, quoted
 
 METRIC_LIST = "ARRAY<STRUCT<action_type: STRING, indicator: STRING, value: STRING>>"
 _BAD = "_unreadable"
@@ -49,8 +49,9 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def record_json(df: DataFrame) -> Column:
-    """The whole record as JSON text with its NULL fields."""
-    return F.to_json(F.struct(*[quoted(c) for c in df.columns]), {"ignoreNullFields": "false"})
+    """The whole record as JSON text with its NULL fields, without bookkeeping columns."""
+    fields = [quoted(c) for c in df.columns if not is_bookkeeping(c)]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
 def raw_insight_rows(records: DataFrame, level: str, breakdowns: Iterable[str] | None, ingest_id: Column) -> DataFrame:

@@ -8,9 +8,10 @@ the days a batch touches and not with the table.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from adtally import fixed_values as fv
 from adtally.functions.names import column_name, is_bookkeeping, quoted
@@ -21,6 +22,7 @@ from adtally.operators.reshape import coalesce_duplicates
 from adtally.session import stage
 
 _NEXT = "__next"
+_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def layout_of(table: str) -> dict[str, list[str]]:
@@ -95,6 +97,20 @@ def replace_table(df: DataFrame, table: str, partition: Sequence[str] = (), clus
 def finish_replace(spark: SparkSession, table: str) -> None:
     if spark.catalog.tableExists(table + _NEXT) and not spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table}{_NEXT} RENAME TO {table}")
+        if any(c.isPartition for c in spark.catalog.listColumns(table)):
+            # Not every catalog moves partition paths along with a renamed table.
+            spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+
+
+@contextmanager
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Overwrites inside replace only the partitions they write; tables take this from the session alone."""
+    before = spark.conf.get(_OVERWRITE_MODE)
+    spark.conf.set(_OVERWRITE_MODE, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(_OVERWRITE_MODE, before)
 
 
 def truncate_tables(spark: SparkSession, tables: Iterable[str]) -> None:
@@ -148,7 +164,8 @@ def upsert_table(
     if partition:
         staged = stage(merged, name)
         shaped = laid_out(staged, partition, layout_of(table)["cluster"]).select(*[quoted(c) for c in target.columns])
-        shaped.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+        with dynamic_overwrite(spark):
+            shaped.write.insertInto(table, overwrite=True)
     else:
         replace_table(merged, table)
 
@@ -227,8 +244,6 @@ def restore(spark: SparkSession, backup_database: str, database: str, dry_run: b
 
 def materialise(df: DataFrame, table: str) -> int:
     """Write a view's rows as a table and return how many there are, counted while writing."""
-    from pyspark.sql import Observation
-
     counter = Observation("rows")
     write_table(df.observe(counter, F.count(F.lit(1)).alias("n")), table, "truncate", [], [])
     return counter.get["n"]

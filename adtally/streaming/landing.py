@@ -28,7 +28,6 @@ def read_landing(spark: SparkSession, path: str, level: str, breakdowns: Sequenc
         "_arrived": F.col("_metadata.file_modification_time"),
         "_file": F.col("_metadata.file_path"),
         "_offset": F.col("_metadata.file_block_start"),
-        "_line": F.monotonically_increasing_id(),
     })
 
 
@@ -49,6 +48,7 @@ def stream_facts(
         raise ValueError(f"unknown level: {level}")
 
     def load(batch: DataFrame, _epoch: int) -> None:
+        batch = batch.withColumn("_line", F.monotonically_increasing_id())
         load_facts(batch.sparkSession, batch, level, database, ARRIVAL_ORDER, breakdowns, **known)
 
     return (

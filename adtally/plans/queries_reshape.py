@@ -12,7 +12,11 @@ from adtally.plans.loads import normalise_dimension, normalise_facts
 from adtally.plans.registered import query
 from adtally.sources import landed
 
-K = F.get_json_object("props", "$.k").cast("int")
+
+def prop_k() -> Column:
+    return F.get_json_object("props", "$.k").cast("int")
+
+
 K_SQL = "CAST(props->>'$.k' AS INTEGER)"
 
 
@@ -26,13 +30,13 @@ def item(action: Column, indicator: Column, value: Column) -> Column:
 def event_metrics(t: Tables) -> DataFrame:
     """Events with a metric list: dotted types, a type repeated in the list, and items known by indicator."""
     kind, nothing = F.col("event_type"), F.lit(None)
-    repeated = F.when(K % 2 == 0, kind).otherwise("")
+    repeated = F.when(prop_k() % 2 == 0, kind).otherwise("")
     return t.events.select(
         "event_id", F.to_date("ts").alias("date_start"),
         F.array(
-            item(kind, nothing, K),
-            item(F.concat(F.lit("app."), kind), nothing, K * 2),
-            item(repeated, F.lit("page:like"), K + 1),
+            item(kind, nothing, prop_k()),
+            item(F.concat(F.lit("app."), kind), nothing, prop_k() * 2),
+            item(repeated, F.lit("page:like"), prop_k() + 1),
         ).alias("actions"),
     )
 
@@ -86,7 +90,7 @@ def event_results(t: Tables) -> DataFrame:
         .when(F.col("event_type") == "error", k)
         .when(F.col("event_type") == "signup", F.lit("[]"))
     )
-    return t.events.withColumn("k", K).select("event_id", shapes.alias("results"))
+    return t.events.withColumn("k", prop_k()).select("event_id", shapes.alias("results"))
 
 
 @query(
@@ -107,7 +111,7 @@ def results_split(t: Tables) -> DataFrame:
 
 def raw_events(t: Tables) -> DataFrame:
     """Raw delivery rows made of events; some payloads are missing or broken."""
-    payload = F.when(K % 10 == 3, F.lit('{"k": ')).when(K % 10 != 7, F.col("props"))
+    payload = F.when(prop_k() % 10 == 3, F.lit('{"k": ')).when(prop_k() % 10 != 7, F.col("props"))
     breakdowns = F.when(F.col("user_id") % 3 == 0, F.lit("age")).when(F.col("user_id") % 3 == 1, F.lit(""))
     return t.events.select(
         F.col("event_id").alias("id"), F.col("event_type").alias("level"), F.to_date("ts").alias("date_start"),
@@ -537,7 +541,7 @@ def insight_records(t: Tables) -> DataFrame:
         F.when(kind == "click", None).otherwise(m.text("user_id")).alias("clicks"),
         F.when(kind == "view", F.lit("inf")).otherwise(m.text("user_id")).alias("reach"),
         F.struct(F.struct(kind.alias("kind")).alias("inner")).alias("extra"),
-        F.array(item(F.concat(F.lit("a:"), kind), F.lit(None), K)).alias("actions"),
+        F.array(item(F.concat(F.lit("a:"), kind), F.lit(None), prop_k())).alias("actions"),
         F.array(F.struct(kind.alias("indicator"), m.text("user_id").alias("value"))).alias("results"),
         m.text("user_id").alias("age.1"), F.when(kind == "error", kind).alias("age"),
     )

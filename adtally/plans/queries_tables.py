@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from adtally import fixed_values as fv
 from adtally.operators.keyed import keep_last
@@ -22,7 +22,11 @@ from adtally.session import scratch_path
 from adtally.sources import landed, tables
 from adtally.streaming.landing import stream_facts
 
-MONTH = F.trunc("o_orderdate", "MM")
+
+def month() -> Column:
+    return F.trunc("o_orderdate", "MM")
+
+
 MONTH_SQL = "CAST(date_trunc('month', o_orderdate) AS DATE)"
 
 
@@ -97,8 +101,8 @@ def landed_delivery(t: Tables) -> DataFrame:
         m.text("o_custkey").alias("value"),
     )
     return t.orders.select(
-        m.text("o_custkey").alias("ad_id"), F.date_format(MONTH, "yyyy-MM-dd").alias("date_start"),
-        F.date_format(MONTH, "yyyy-MM-dd").alias("date_stop"), F.col("o_orderpriority").alias("objective"),
+        m.text("o_custkey").alias("ad_id"), F.date_format(month(), "yyyy-MM-dd").alias("date_start"),
+        F.date_format(month(), "yyyy-MM-dd").alias("date_stop"), F.col("o_orderpriority").alias("objective"),
         m.text("o_totalprice").alias("spend"), F.array(metric).alias("actions"), F.col("o_orderkey").alias("_ingest"),
     )
 
@@ -152,7 +156,7 @@ def range_load(t: Tables) -> DataFrame:
     """A range loaded in windows, one of them twice, read back from the checkpoint table."""
     database = m.new_database(t.spark, "range")
     records = landed_delivery(t)
-    first, last = t.orders.agg(F.min(MONTH), F.max(MONTH)).first()
+    first, last = t.orders.agg(F.min(month()), F.max(month())).first()
     loads.load_range(t.spark, records, "ad", database, ["_ingest"], first, first + timedelta(days=199), 200, **KNOWN)
     loads.load_range(t.spark, records, "ad", database, ["_ingest"], first, last, 200, **KNOWN)
     return t.spark.table(f"{database}.{fv.CHECKPOINT}").select("since", "until", "rows_loaded")
@@ -220,7 +224,7 @@ def partition_layout(t: Tables) -> DataFrame:
     table = f"{database}.{fv.AD_FACT}"
     facts = t.orders.select(
         m.text("o_orderkey").alias("ad_id"), m.text("o_custkey").alias("account_id"),
-        F.col("o_totalprice").cast("decimal(18,2)").alias("spend"), MONTH.alias("date_start"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("spend"), month().alias("date_start"),
     )
     tables.write_table(facts, table, "if_empty")
     per_day = t.spark.table(table).groupBy("date_start").agg(F.count(F.lit(1)).alias("row_count"), F.sum("spend").alias("spend"))
@@ -275,7 +279,7 @@ def sync_append(t: Tables) -> DataFrame:
 def sync_merge(t: Tables) -> DataFrame:
     """Facts merged into a mirror that holds other ones: matches are overwritten, absent declared columns NULLed."""
     database, mirror = _source(t, "merge")
-    source = t.orders.groupBy(m.text("o_custkey").alias("ad_id"), MONTH.alias("date_start")).agg(F.max("o_orderkey").alias("clicks"))
+    source = t.orders.groupBy(m.text("o_custkey").alias("ad_id"), month().alias("date_start")).agg(F.max("o_orderkey").alias("clicks"))
     stored = t.lineitem.groupBy(m.text("l_partkey").alias("ad_id"), F.trunc("l_shipdate", "MM").alias("date_start")).agg(
         F.max("l_orderkey").alias("reach")
     )
@@ -351,7 +355,7 @@ def column_upkeep(t: Tables) -> DataFrame:
 def full_refresh(t: Tables) -> DataFrame:
     """Dimensions, facts of the whole range, mirror and combined table; the mirrored combined rows."""
     database, mirror = _source(t, "refresh")
-    first, last = t.orders.agg(F.min(MONTH), F.max(MONTH)).first()
+    first, last = t.orders.agg(F.min(month()), F.max(month())).first()
     entities = {
         "accounts": t.nation.select(
             F.concat(F.lit("act_"), m.text("n_nationkey")).alias("id"), F.col("n_name").alias("name"), F.col("n_nationkey").alias("_ingest")

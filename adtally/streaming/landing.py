@@ -49,7 +49,9 @@ def stream_facts(
 
     def load(batch: DataFrame, _epoch: int) -> None:
         batch = batch.withColumn("_line", F.monotonically_increasing_id())
-        load_facts(batch.sparkSession, batch, level, database, ARRIVAL_ORDER, breakdowns, **known)
+        table = load_facts(batch.sparkSession, batch, level, database, ARRIVAL_ORDER, breakdowns, **known)
+        # Batches run in a session of their own; the caller's must forget the files they replaced.
+        spark.catalog.refreshTable(table)
 
     return (
         read_landing(spark, path, level, breakdowns)

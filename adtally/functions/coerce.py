@@ -8,16 +8,16 @@ from adtally.functions.names import quoted
 
 MONEY = T.DecimalType(38, 9)
 
-# The texts that count as a number.
-NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-INFINITY_PATTERN = r"(?i)^[+-]?inf(inity)?$"
+# The texts that count as a number, and the characters around a text that do not matter.
+NUMBER_PATTERN = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf(?:inity)?))$"
+ASCII_SPACE = " \t\n\x0b\x0c\r"
+SPACE = "".join(chr(n) for n in range(0x3001) if chr(n).isspace())
 
-_OUTER_SPACE = r"^\s+|\s+$"
 _HAS_ZONE = r"[0-9](Z|z|[+-]\d{2}:?\d{2})$"
 
 
 def stripped(c: Column) -> Column:
-    return F.regexp_replace(c, _OUTER_SPACE, "")
+    return F.btrim(c, F.lit(SPACE))
 
 
 def strict_number(c: Column) -> Column:
@@ -25,8 +25,8 @@ def strict_number(c: Column) -> Column:
 
     ``try_cast`` alone also reads ``12d`` and ``NaN``, which are not numbers here.
     """
-    text = stripped(c)
-    return F.when(text.rlike(NUMBER_PATTERN) | text.rlike(INFINITY_PATTERN), text.try_cast("double"))
+    text = F.btrim(c, F.lit(ASCII_SPACE))
+    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
 def to_boolean(c: Column, data_type: T.DataType) -> Column:

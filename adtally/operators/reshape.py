@@ -91,21 +91,50 @@ def discover_metric_types(df: DataFrame, lists: Iterable[str]) -> dict[str, list
     return types
 
 
-def expand_metrics_long(df: DataFrame, ids: Iterable[str]) -> DataFrame:
-    """The same metrics as rows (ids, list, type, value), for vocabularies too wide for columns."""
+def discover_shape(df: DataFrame) -> tuple[dict[str, list[str]], list[str]]:
+    """Metric types per list column, and the text columns that hold only numbers once the lists are expanded.
 
-    def metric_rows(name: str) -> Column:
-        newest = _first_of_each(_newest_first(df, name))
-        pairs = F.arrays_zip(newest["types"].alias("t"), newest["values"].cast("array<string>").alias("v"))
-        return F.transform(
-            pairs, lambda p: F.struct(F.lit(name).alias("list"), p["t"].alias("type"), p["v"].alias("value"))
-        )
+    Both decisions come from one job over long rows (list, name, value), which
+    are counted per task before the shuffle; one row per column reaches the driver.
+    """
+    lists = metric_lists(df)
+    texts = [
+        F.struct(F.lit("").alias("list"), F.lit(f.name).alias("type"), quoted(f.name).alias("value"))
+        for f in df.schema
+        if isinstance(f.dataType, T.StringType) and not is_bookkeeping(f.name) and not is_id_column(f.name)
+    ]
+    parts = [metric_rows(df, name) for name in lists] + ([F.array(*texts)] if texts else [])
+    if not parts:
+        return {}, []
+    items = df.select(F.inline(F.concat(*[F.coalesce(p, F.array()) for p in parts])))
+    counted = items.groupBy("list", "type").agg(
+        F.count("value").alias("non_null"), F.count(strict_number(F.col("value"))).alias("numeric_like")
+    )
+    types: dict[str, list[str]] = {name: [] for name in lists}
+    numeric = []
+    for row in counted.collect():
+        if row["list"]:
+            types[row["list"]].append(row["type"])
+        name = f"{row['list']}_{row['type']}" if row["list"] else row["type"]
+        if row["non_null"] and row["non_null"] == row["numeric_like"] and not is_id_column(name):
+            numeric.append(name)
+    return types, numeric
 
-    parts = [metric_rows(name) for name in metric_lists(df)]
+
+def expand_metrics_long(df: DataFrame, ids: Iterable[str]) -> DataFrame:
+    """The same metrics as rows (ids, list, type, value), for vocabularies too wide for columns."""
+    parts = [metric_rows(df, name) for name in metric_lists(df)]
     items = F.explode(F.concat(*[F.coalesce(p, F.array()) for p in parts])).alias("item")
     return df.select(*[quoted(i) for i in ids], items).select(*[quoted(i) for i in ids], "item.*")
 
 
+def metric_rows(df: DataFrame, name: str) -> Column:
+    """A list column as an array of (list, type, value text), the last value of each type."""
+    newest = _first_of_each(_newest_first(df, name))
+    pairs = F.arrays_zip(newest["types"].alias("t"), newest["values"].cast("array<string>").alias("v"))
+    return F.transform(pairs, lambda p: F.struct(F.lit(name).alias("list"), p["t"].alias("type"), p["v"].alias("value")))
+
+
 def _newest_first(df: DataFrame, name: str) -> dict[str, Column]:
     """Cleaned types and values of a list column, last item first; unnamed items have a NULL type."""
     item = df.schema[name].dataType.elementType
@@ -248,9 +277,12 @@ def rename_if_absent(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
 def cast_numbers(df: DataFrame, numeric_text: Iterable[str]) -> DataFrame:
     """Turn the text columns a profile found numeric into DOUBLE."""
     numeric_text = set(numeric_text)
-    return df.select(
-        *[strict_number(quoted(n)).alias(n) if n in numeric_text else quoted(n) for n in df.columns]
-    )
+
+    def cast(f: T.StructField) -> Column:
+        number = f.name in numeric_text and isinstance(f.dataType, T.StringType)
+        return strict_number(quoted(f.name)).alias(f.name) if number else quoted(f.name)
+
+    return df.select(*[cast(f) for f in df.schema])
 
 
 def fill_numbers(df: DataFrame, keep_nulls: bool = False) -> DataFrame:

@@ -32,11 +32,14 @@ def normalise_facts(
 ) -> DataFrame:
     """Delivery records to a wide fact table.
 
-    Two things depend on the data and cost one job each unless given: the
-    metric types that become columns and the text columns that are numbers.
-    Giving both also keeps column types stable from batch to batch.
+    Two things depend on the data: the metric types that become columns and
+    the text columns that are numbers. Unless given, one job finds both.
+    Giving them also keeps column types stable from batch to batch.
     """
-    wide = reshape.expand_metrics(reshape.flatten(reshape.split_results(records)), metric_types)
+    flat = reshape.flatten(reshape.split_results(records))
+    if metric_types is None and numeric_text is None:
+        metric_types, numeric_text = reshape.discover_shape(flat)
+    wide = reshape.expand_metrics(flat, metric_types)
     if numeric_text is None:
         numeric_text = numeric_text_columns(wide)
     numeric = reshape.null_non_finite(reshape.coalesce_duplicates(reshape.cast_numbers(wide, numeric_text)))

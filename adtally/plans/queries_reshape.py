@@ -29,14 +29,14 @@ def item(action: Column, indicator: Column, value: Column) -> Column:
 
 def event_metrics(t: Tables) -> DataFrame:
     """Events with a metric list: dotted types, a type repeated in the list, and items known by indicator."""
-    kind, nothing = F.col("event_type"), F.lit(None)
-    repeated = F.when(prop_k() % 2 == 0, kind).otherwise("")
-    return t.events.select(
+    kind, nothing, k = F.col("event_type"), F.lit(None), F.col("k")
+    repeated = F.when(k % 2 == 0, kind).otherwise("")
+    return t.events.withColumn("k", prop_k()).select(
         "event_id", F.to_date("ts").alias("date_start"),
         F.array(
-            item(kind, nothing, prop_k()),
-            item(F.concat(F.lit("app."), kind), nothing, prop_k() * 2),
-            item(repeated, F.lit("page:like"), prop_k() + 1),
+            item(kind, nothing, k),
+            item(F.concat(F.lit("app."), kind), nothing, k * 2),
+            item(repeated, F.lit("page:like"), k + 1),
         ).alias("actions"),
     )
 
@@ -56,8 +56,9 @@ METRIC_SQL = METRIC_SQL.replace(" * 2.0", " * CAST(2 AS DOUBLE)").replace(" 0.0
 
 @query("metric_expand", METRIC_SQL)
 def metric_expand(t: Tables) -> DataFrame:
-    wide = reshape.expand_metrics(event_metrics(t))
-    return m.doubles(reshape.fill_numbers(reshape.cast_numbers(wide, profile.numeric_text_columns(wide))))
+    records = event_metrics(t)
+    types, numeric = reshape.discover_shape(records)
+    return m.doubles(reshape.fill_numbers(reshape.cast_numbers(reshape.expand_metrics(records, types), numeric)))
 
 
 @query(

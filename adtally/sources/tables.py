@@ -35,14 +35,15 @@ def layout_of(table: str) -> dict[str, list[str]]:
 def laid_out(df: DataFrame, partition: Sequence[str], cluster: Sequence[str]) -> DataFrame:
     """Rows in few, sorted files per partition.
 
-    Ranges over partition and cluster columns split a day, or an account,
-    with a third of the rows over several tasks instead of sending it to one.
+    Adaptive execution brings each partition's rows together and splits those
+    that are too big, so a day with a third of the rows is written by several
+    tasks. The sort lets filters on an account skip row groups.
     """
     cluster = [c for c in cluster if c in df.columns]
     if not partition and not cluster:
         return df
-    columns = [*partition, *cluster]
-    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    gathered = df.hint("rebalance", *partition) if partition else df
+    return gathered.sortWithinPartitions(*partition, *cluster)
 
 
 def write_table(

@@ -14,7 +14,7 @@ def spark():
 
     session = build_session(
         "adtally-tests", "local[4]", spark__sql__shuffle__partitions=4, spark__ui__enabled="false",
-        spark__driver__memory="8g", spark__driver__bindAddress="127.0.0.1",
+        spark__driver__memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

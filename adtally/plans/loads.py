@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -56,13 +56,14 @@ def load_facts(
     order: Sequence[str],
     breakdowns: Sequence[str] = (),
     fields: FieldMap | None = None,
+    days: Sequence[date] | None = None,
     **known: object,
 ) -> str:
-    """Normalise and upsert delivery records; returns the table written."""
+    """Normalise and upsert delivery records; returns the table written. ``days`` spares the job that finds them."""
     table = f"{database}.{fact_table_name(level, breakdowns)}"
     facts = normalise_facts(records, level, breakdowns, fields, **known)
-    days = {c: F.to_date(quoted(c)) for c in ("date_start", "date_stop")}
-    upsert_table(spark, facts.withColumns(days), table, order)
+    dates = {c: F.to_date(quoted(c)) for c in ("date_start", "date_stop")}
+    upsert_table(spark, facts.withColumns(dates), table, order, days=days)
     return table
 
 
@@ -87,8 +88,8 @@ def load_range(
 ) -> DataFrame:
     """Load the windows of a range that are not marked complete, as one job, and then mark them.
 
-    Returns the windows loaded with their row counts. A failed write marks
-    nothing, so the next run takes up the same windows.
+    Returns the windows loaded with the rows stored for each. A failed write
+    marks nothing, so the next run takes up the same windows.
     """
     checkpoint_table = f"{database}.{fv.CHECKPOINT}"
     if not spark.catalog.tableExists(checkpoint_table):
@@ -97,13 +98,15 @@ def load_range(
     bounds = spark.sql("SELECT CAST(:first AS DATE) first, CAST(:last AS DATE) last", {"first": str(first), "last": str(last)})
     done = windows.completed_windows(checkpoint, level, profile, breakdowns)
     todo = windows.remaining_windows(windows.date_windows(bounds, days), done, force)
-    # The list of windows is as short as the calendar; fixing it keeps later steps from re-planning on the new checkpoint.
-    todo = spark.createDataFrame(todo.collect(), "since DATE, until DATE")
-    if todo.isEmpty():
+    # As short as the calendar, and fixed before the checkpoint it was derived from changes.
+    listed = todo.collect()
+    todo = spark.createDataFrame(listed, "since DATE, until DATE")
+    if not listed:
         return todo.withColumn("rows_loaded", F.lit(0).cast("bigint"))
+    due = [since + timedelta(n) for since, until in listed for n in range((until - since).days + 1)]
     chosen = windows.in_windows(_between(records, first, last), todo, "_day").drop("_day")
-    table = load_facts(spark, chosen, level, database, order, breakdowns, fields, **known)
-    loaded = windows.rows_per_window(spark.table(table), todo)
+    table = load_facts(spark, chosen, level, database, order, breakdowns, fields, due, **known)
+    loaded = windows.rows_per_window(spark.table(table).where(windows.within(first, last)), todo)
     marks = windows.mark_completed(checkpoint.limit(0), loaded, level, profile, breakdowns)
     upsert_table(spark, marks, checkpoint_table, order=["completed_at"])
     return loaded

@@ -136,7 +136,7 @@ def raw_replay(t: Tables) -> DataFrame:
     database = m.new_database(t.spark, "raw")
     records = landed_delivery(t)
     raw = landed.raw_insight_rows(records, "ad", [], F.col("_ingest"))
-    tables.write_table(raw, f"{database}.{fv.RAW_INSIGHTS}", partition=["level"])
+    tables.write_table(raw, f"{database}.{fv.RAW_INSIGHTS}", layout=tables.Layout(partition=("level",)))
     table = loads.replay_facts(t.spark, t.spark.table(f"{database}.{fv.RAW_INSIGHTS}"), "ad", database, **KNOWN)
     return m.doubles(t.spark.table(table).select(LOADED_COLUMNS))
 

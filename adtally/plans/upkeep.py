@@ -35,8 +35,7 @@ def erase_accounts(spark: SparkSession, database: str, delete_list: DataFrame, c
         for name in names:
             kept = surviving_rows(name, frames[name], targets, {**frames, **dims})
             if kept is not None:
-                plan = tables.layout_of(name)
-                tables.replace_table(kept, f"{database}.{name}", plan["partition"], plan["cluster"])
+                tables.replace_table(kept, f"{database}.{name}")
         create_full_view(spark, database)
     return report
 

@@ -8,8 +8,11 @@ the days a batch touches and not with the table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass, replace
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -25,79 +28,123 @@ _NEXT = "__next"
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
-def layout_of(table: str) -> dict[str, list[str]]:
-    """Partition and cluster columns of a table name."""
-    if not table.split(".")[-1].startswith(fv.FACT_TABLE_PREFIX):
-        return {"partition": [], "cluster": []}
-    return {"partition": [fv.DATE_PARTITION], "cluster": fv.FACT_CLUSTER}
+@dataclass(frozen=True)
+class Layout:
+    """How a table's files are arranged."""
 
+    partition: tuple[str, ...] = ()
+    cluster: tuple[str, ...] = ()
+    bucket_key: str = ""
+    buckets: int = 0
 
-def laid_out(df: DataFrame, partition: Sequence[str], cluster: Sequence[str]) -> DataFrame:
+
+def layout_of(table: str, buckets: int = 0) -> Layout:
+    """The layout for a table name; with ``buckets`` it is bucketed by its entity id.
+
+    Facts and a dimension bucketed by the same id into the same number join
+    without shuffling either.
+    """
+    name = table.split(".")[-1]
+    keys = fv.NATURAL_KEYS.get(name, [""])
+    if name.startswith(fv.FACT_TABLE_PREFIX):
+        return Layout((fv.DATE_PARTITION,), tuple(fv.FACT_CLUSTER), keys[0], buckets)
+    return Layout(bucket_key=keys[0], buckets=buckets if keys[0] else 0)
+
+
+def stored_layout(spark: SparkSession, table: str) -> Layout:
+    """The layout an existing table has."""
+    columns = spark.catalog.listColumns(table)
+    partition = tuple(c.name for c in columns if c.isPartition)
+    key = next((c.name for c in columns if c.isBucket), "")
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Num Buckets'").first() if key else None
+    return Layout(partition, layout_of(table).cluster if partition else (), key, int(described["data_type"]) if described else 0)
+
+
+def laid_out(df: DataFrame, layout: Layout) -> DataFrame:
     """Rows in few, sorted files per partition.
 
     Adaptive execution brings each partition's rows together and splits those
     that are too big, so a day with a third of the rows is written by several
     tasks. The sort lets filters on an account skip row groups.
     """
-    cluster = [c for c in cluster if c in df.columns]
-    if not partition and not cluster:
-        return df
-    gathered = df.hint("rebalance", *partition) if partition else df
-    return gathered.sortWithinPartitions(*partition, *cluster)
-
-
-def write_table(
-    df: DataFrame,
-    table: str,
-    mode: str = "append",
-    partition: Sequence[str] | None = None,
-    cluster: Sequence[str] | None = None,
-) -> None:
-    """Create, append to (``append``), replace (``truncate``) or create only if absent or empty (``if_empty``)."""
+    columns = df.columns
+    gather = list(layout.partition)
+    if layout.buckets:
+        df = df.withColumn("_bucket", F.pmod(F.hash(layout.bucket_key), F.lit(layout.buckets)))
+        gather.append("_bucket")
+    order = [*gather, *(c for c in layout.cluster if c in columns)]
+    gathered = df.hint("rebalance", *gather) if gather else df
+    shaped = gathered.sortWithinPartitions(*order) if order else gathered
+    return shaped.select(*[quoted(c) for c in columns])
+
+
+def _create(df: DataFrame, table: str, layout: Layout) -> None:
+    writer = laid_out(df, layout).write.format("parquet")
+    if layout.partition:
+        writer = writer.partitionBy(*layout.partition)
+    if layout.buckets:
+        writer = writer.bucketBy(layout.buckets, layout.bucket_key).sortBy(layout.bucket_key)
+    writer.saveAsTable(table)
+
+
+def write_table(df: DataFrame, table: str, mode: str = "append", layout: Layout | None = None) -> None:
+    """Create, append to (``append``), replace (``truncate``) or create only if absent or empty (``if_empty``).
+
+    An existing table keeps its layout; a new one gets the given layout or that of its name.
+    """
     spark = df.sparkSession
-    plan = layout_of(table)
-    partition = plan["partition"] if partition is None else list(partition)
-    cluster = plan["cluster"] if cluster is None else list(cluster)
-    partition = [p for p in partition if p in df.columns]
     exists = spark.catalog.tableExists(table)
     if mode == "if_empty":
         if exists and not spark.table(table).isEmpty():
             raise ValueError(f"table is not empty: {table}")
-        mode = "append"
-    if mode == "truncate" and exists:
-        replace_table(df, table, partition, cluster)
+    elif mode == "truncate" and exists:
+        replace_table(df, table)
         return
-    if mode not in ("append", "truncate"):
+    elif mode not in ("append", "truncate"):
         raise ValueError(f"unknown mode: {mode}")
-    shaped = laid_out(df, partition, cluster)
-    if exists:
-        add_columns(spark, table, columns_to_add(df, spark.table(table).columns))
-        stored = spark.table(table)
-        shaped.select(*[
-            (quoted(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in stored.schema
-        ]).write.insertInto(table)
-    else:
-        shaped.write.partitionBy(*partition).format("parquet").saveAsTable(table)
+    if not exists:
+        wanted = layout or layout_of(table)
+        _create(df, table, replace(wanted, partition=tuple(p for p in wanted.partition if p in df.columns)))
+        return
+    add_columns(spark, table, columns_to_add(df, spark.table(table).columns))
+    shaped = laid_out(df, stored_layout(spark, table))
+    shaped.select(*[
+        (quoted(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in spark.table(table).schema
+    ]).write.insertInto(table)
 
 
-def replace_table(df: DataFrame, table: str, partition: Sequence[str] = (), cluster: Sequence[str] = ()) -> None:
-    """Put ``df``, which may read the table, in its place. A failed write leaves the table as it was.
+def replace_table(df: DataFrame, table: str) -> None:
+    """Put ``df``, which may read the table, in its place with the same layout.
 
-    Between the drop and the rename the new version exists complete under
-    ``<table>__next``; ``finish_replace`` completes an interrupted swap.
+    A failed write leaves the table as it was. Between the drop and the rename
+    the new version exists complete beside the table, and ``finish_replace``
+    completes an interrupted swap.
     """
     spark = df.sparkSession
     finish_replace(spark, table)
-    spark.sql(f"DROP TABLE IF EXISTS {table}{_NEXT}")
-    shaped = laid_out(df, partition, cluster)
-    shaped.write.partitionBy(*partition).format("parquet").saveAsTable(table + _NEXT)
+    for leftover in _next_versions(spark, table):
+        spark.sql(f"DROP TABLE {leftover}")
+    fresh = f"{table}{_NEXT}{uuid.uuid4().hex[:8]}"
+    layout = stored_layout(spark, table) if spark.catalog.tableExists(table) else layout_of(table)
+    layout = replace(layout, partition=tuple(p for p in layout.partition if p in df.columns))
+    _create(df, fresh, layout)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     finish_replace(spark, table)
 
 
+def _next_versions(spark: SparkSession, table: str) -> list[str]:
+    database, _, name = table.rpartition(".")
+    found = spark.catalog.listTables(database or None)
+    return [f"{database}.{t.name}" if database else t.name for t in found if t.name.startswith(name + _NEXT)]
+
+
 def finish_replace(spark: SparkSession, table: str) -> None:
-    if spark.catalog.tableExists(table + _NEXT) and not spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table}{_NEXT} RENAME TO {table}")
+    """Give a complete new version its name if an earlier swap stopped half way."""
+    if spark.catalog.tableExists(table):
+        return
+    for version in _next_versions(spark, table):
+        spark.sql(f"ALTER TABLE {version} RENAME TO {table}")
         if any(c.isPartition for c in spark.catalog.listColumns(table)):
             # Not every catalog moves partition paths along with a renamed table.
             spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
@@ -133,12 +180,15 @@ def upsert_table(
     order: Sequence[str],
     keys: Sequence[str] | None = None,
     absent: str = "keep",
+    days: Sequence[date] | None = None,
 ) -> None:
     """Upsert a batch into a table, creating it or growing its columns first.
 
     ``order`` says which batch row of a key is newest; bookkeeping columns are
     not stored. Of a fact table only the day partitions the batch touches are
-    read and rewritten, staged in full before any is replaced.
+    read and rewritten, staged in full before any is replaced. They are found
+    by a job over the batch's days, or given as ``days``, and then a batch row
+    of another day fails the load.
     """
     name = table.split(".")[-1]
     keys = list(keys or fv.NATURAL_KEYS[name])
@@ -156,15 +206,21 @@ def upsert_table(
     target = spark.table(table)
     kept = [c for c in batch.columns if c in target.columns or c in order]
     batch = batch.select(*[quoted(c) for c in kept])
-    partition = [p for p in layout_of(table)["partition"] if p in keys]
+    layout = stored_layout(spark, table)
+    partition = [p for p in layout.partition if p in keys]
     if partition:
-        # One value per day of the batch: bounded by the calendar.
-        touched = [r[0] for r in batch.select(F.col(partition[0]).cast("date")).distinct().collect() if r[0] is not None]
-        target = target.where(F.col(partition[0]).isin(touched))
+        day = quoted(partition[0])
+        if days is None:
+            # One value per day of the batch: bounded by the calendar.
+            found = batch.select(day.cast("date")).distinct().collect()
+            days = [r[0] for r in found if r[0] is not None]
+        else:
+            outside = F.raise_error(F.lit(f"{partition[0]} outside the days to load"))
+            batch = batch.withColumn(partition[0], F.when(day.isNull() | day.cast("date").isin(list(days)), day).otherwise(outside))
+        target = target.where(day.isin(list(days)))
     merged = upsert(target, batch, keys, order, absent).select(*[quoted(c) for c in target.columns])
     if partition:
-        staged = stage(merged, name)
-        shaped = laid_out(staged, partition, layout_of(table)["cluster"]).select(*[quoted(c) for c in target.columns])
+        shaped = laid_out(stage(merged, name), layout).select(*[quoted(c) for c in target.columns])
         with dynamic_overwrite(spark):
             shaped.write.insertInto(table, overwrite=True)
     else:
@@ -179,18 +235,15 @@ def repair_table(spark: SparkSession, table: str, batch: DataFrame | None = None
     )
     repaired = repair_types(stored, table.split(".")[-1], to_number)
     if repaired.schema != stored.schema:
-        plan = layout_of(table)
-        replace_table(repaired, table, plan["partition"], plan["cluster"])
+        replace_table(repaired, table)
 
 
 def drop_columns(spark: SparkSession, table: str, columns: Iterable[str]) -> None:
-    plan = layout_of(table)
-    replace_table(spark.table(table).drop(*columns), table, plan["partition"], plan["cluster"])
+    replace_table(spark.table(table).drop(*columns), table)
 
 
 def rename_columns(spark: SparkSession, table: str, renames: dict[str, str]) -> None:
-    plan = layout_of(table)
-    replace_table(spark.table(table).withColumnsRenamed(renames), table, plan["partition"], plan["cluster"])
+    replace_table(spark.table(table).withColumnsRenamed(renames), table)
 
 
 def catalog_columns(spark: SparkSession, database: str) -> DataFrame:
@@ -205,7 +258,8 @@ def catalog_columns(spark: SparkSession, database: str) -> DataFrame:
 
 
 def table_names(spark: SparkSession, database: str) -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+    names = (t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+    return sorted(n for n in names if _NEXT not in n)
 
 
 def recognised_tables() -> set[str]:
@@ -222,8 +276,8 @@ def backup(spark: SparkSession, database: str, backup_database: str, tables: Ite
     chosen = sorted(set(table_names(spark, database)) & recognised_tables()) if tables is None else list(tables)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {backup_database}")
     for name in chosen:
-        plan = layout_of(name)
-        write_table(spark.table(f"{database}.{name}"), f"{backup_database}.{name}", "truncate", plan["partition"], plan["cluster"])
+        source = f"{database}.{name}"
+        write_table(spark.table(source), f"{backup_database}.{name}", "truncate", stored_layout(spark, source))
     return chosen
 
 
@@ -233,10 +287,11 @@ def restore(spark: SparkSession, backup_database: str, database: str, dry_run: b
     if dry_run:
         return tables
     for name in tables:
-        plan = layout_of(name)
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}{_NEXT}")
-        copy = laid_out(spark.table(f"{backup_database}.{name}"), plan["partition"], plan["cluster"])
-        copy.write.partitionBy(*plan["partition"]).format("parquet").saveAsTable(f"{database}.{name}{_NEXT}")
+        target, source = f"{database}.{name}", f"{backup_database}.{name}"
+        finish_replace(spark, target)
+        for leftover in _next_versions(spark, target):
+            spark.sql(f"DROP TABLE {leftover}")
+        _create(spark.table(source), f"{target}{_NEXT}{uuid.uuid4().hex[:8]}", stored_layout(spark, source))
     for name in tables:
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         finish_replace(spark, f"{database}.{name}")
@@ -246,5 +301,5 @@ def restore(spark: SparkSession, backup_database: str, database: str, dry_run: b
 def materialise(df: DataFrame, table: str) -> int:
     """Write a view's rows as a table and return how many there are, counted while writing."""
     counter = Observation("rows")
-    write_table(df.observe(counter, F.count(F.lit(1)).alias("n")), table, "truncate", [], [])
+    write_table(df.observe(counter, F.count(F.lit(1)).alias("n")), table, "truncate", Layout())
     return counter.get["n"]

@@ -101,7 +101,7 @@ def test_write_modes(spark, database):
 def test_interrupted_swap_is_completed(spark, database):
     table = f"{database}.swapped"
     tables.write_table(spark.range(3), table)
-    tables.write_table(spark.range(5), table + "__next")
+    tables.write_table(spark.range(5), table + "__next0")
     spark.sql(f"DROP TABLE {table}")
     tables.finish_replace(spark, table)
     assert spark.table(table).count() == 5
@@ -304,3 +304,33 @@ def test_stream_takes_each_file_once_and_late_data_wins(spark, database, tmp_pat
     put_lines(landing, [{"ad_id": "1", "date_start": "2024-01-01", "spend": "7"}, {"ad_id": "2", "date_start": "2024-01-02", "spend": "5"}])
     stream_facts(spark, str(landing), "ad", database, checkpoint, **known).awaitTermination()
     assert sorted(float(r.spend) for r in spark.table(table).collect()) == [5.0, 7.0]
+
+
+def test_days_given_for_a_load_are_enforced(spark, database):
+    table = f"{database}.{fv.AD_FACT}"
+    tables.upsert_table(spark, fact(spark, [("1", date(2024, 1, 1), 1.0, 1)]), table, ["_ingest"])
+    tables.upsert_table(spark, fact(spark, [("1", date(2024, 1, 1), 5.0, 1)]), table, ["_ingest"], days=[date(2024, 1, 1)])
+    assert [float(r.spend) for r in spark.table(table).collect()] == [5.0]
+    with pytest.raises(Exception, match="outside the days to load"):
+        tables.upsert_table(spark, fact(spark, [("1", date(2024, 1, 2), 5.0, 1)]), table, ["_ingest"], days=[date(2024, 1, 1)])
+
+
+def test_bucketed_facts_and_ads_join_without_a_shuffle(spark, database):
+    facts = spark.range(1000).select(F.col("id").cast("string").alias("ad_id"), F.lit(date(2024, 1, 1)).alias("date_start"), F.lit(1.0).alias("spend"))
+    ads = spark.range(1000).select(F.col("id").cast("string").alias("ad_id"), F.lit("ON").alias("status"))
+    tables.write_table(facts, f"{database}.{fv.AD_FACT}", layout=tables.layout_of(fv.AD_FACT, buckets=4))
+    tables.write_table(ads, f"{database}.{fv.ADS}", layout=tables.layout_of(fv.ADS, buckets=4))
+    tables.replace_table(spark.table(f"{database}.{fv.ADS}").where("ad_id <> '7'"), f"{database}.{fv.ADS}")
+    assert tables.stored_layout(spark, f"{database}.{fv.ADS}") == tables.Layout(bucket_key="ad_id", buckets=4)
+    late = fact(spark, [("7", date(2024, 1, 1), 9.0, 1)])
+    tables.upsert_table(spark, late, f"{database}.{fv.AD_FACT}", ["_ingest"])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = spark.table(f"{database}.{fv.AD_FACT}").join(spark.table(f"{database}.{fv.ADS}"), "ad_id", "left")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert {r.ad_id for r in joined.where("status IS NULL").collect()} == {"7"}
+        assert joined.where("spend = 9").count() == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -35,6 +35,19 @@ def align_declared(df: DataFrame, table: str, extra: str = "keep") -> DataFrame:
     return declared_cast(widened, declared)
 
 
+def fit_stored(batch: DataFrame, table: str, stored: T.StructType) -> DataFrame:
+    """Batch columns in the types they are stored in: declared ones cast leniently, nested ones for text as JSON."""
+    declared = declared_schema(table)
+    nested = {f.name for f in batch.schema if is_nested(f.dataType)} - set(declared.names)
+    texts = [f for f in stored if f.name in nested and isinstance(f.dataType, T.StringType)]
+    return declared_cast(batch, T.StructType([*declared.fields, *texts]))
+
+
+def json_texts(df: DataFrame) -> DataFrame:
+    """Nested columns as JSON text."""
+    return declared_cast(df, T.StructType([T.StructField(f.name, T.StringType()) for f in df.schema if is_nested(f.dataType)]))
+
+
 def stored_name(name: str, existing: Iterable[str]) -> str | None:
     """The existing column that a name already has, also under its two truncations."""
     existing = set(existing)

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from adtally.functions.names import mirror_column_name, quoted
-from adtally.operators.evolve import align_declared
+from adtally.operators.evolve import align_declared, json_texts
 from adtally.operators.reshape import coalesce_duplicates, first_non_blank
 
 
@@ -91,9 +91,9 @@ def upsert(
 
 
 def prepare_for_mirror(batch: DataFrame, table: str, extra: str = "keep") -> DataFrame:
-    """Mirror column names, merged duplicates, declared columns present and cast."""
+    """Mirror column names, merged duplicates, declared columns present and cast, nested ones as JSON text."""
     renamed = coalesce_duplicates(batch.toDF(*[mirror_column_name(c) for c in batch.columns]))
-    return align_declared(renamed, table, extra)
+    return json_texts(align_declared(renamed, table, extra))
 
 
 def mirror_merge(

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from adtally.functions.coerce import strict_number
+from adtally.functions.coerce import strict_number, to_day
 from adtally.functions.names import is_bookkeeping, is_id_column, quoted
 
 
@@ -47,3 +47,12 @@ def numeric_text_columns(df: DataFrame, blank_is_missing: bool = False) -> list[
         return []
     profile = column_profile(df, names, blank_is_missing)
     return [row["column_name"] for row in profile.where("is_numeric").collect()]
+
+
+def day_if_all_parse(df: DataFrame, column: str) -> DataFrame:
+    """Turn a text column into DATE when every value is one. Runs one job for a text column, none otherwise."""
+    if column not in df.columns or not isinstance(df.schema[column].dataType, T.StringType):
+        return df
+    day = to_day(quoted(column))
+    values, days = df.agg(F.count(quoted(column)), F.count(day)).first()
+    return df.withColumn(column, day) if values and values == days else df

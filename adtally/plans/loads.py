@@ -137,11 +137,18 @@ def load_preset(
     order: Sequence[str],
     today: date,
     preset: str = "yesterday",
+    csv_path: str | None = None,
+    breakdowns: Sequence[str] = (),
     **options: object,
 ) -> str:
-    """Load the days of a named snapshot; no windows are marked."""
+    """Load the days of a named snapshot; no windows are marked. ``csv_path`` gets a copy of those rows."""
     first, last = windows.preset_range(preset, today)
-    return load_facts(spark, _between(records, first, last).drop("_day"), level, database, order, **options)
+    chosen = _between(records, first, last).drop("_day")
+    due = [first + timedelta(n) for n in range((last - first).days + 1)]
+    table = load_facts(spark, chosen, level, database, order, breakdowns, days=due, **options)
+    if csv_path:
+        landed.write_csv(spark.table(table).where(windows.within(first, last)), csv_path)
+    return table
 
 
 def replay_facts(
@@ -188,6 +195,11 @@ DIMENSIONS = {
         "creatives-info", fv.CREATIVES, "creative_id", "creative_name",
         images={"asset_feed_spec_image_url": "url", "asset_feed_spec_image_hash": "hash"}, keep_first=True,
     ),
+    "ad-previews": Dimension("ads-info", fv.ADS, "ad_id", "ad_name", ("created_time", "updated_time")),
+}
+RAW_TABLES = {
+    "accounts": "meta_accounts_raw", "creatives": "meta_creatives_raw", "campaigns": "meta_campaigns_raw",
+    "adsets": "meta_adsets_raw", "ads": "meta_ads_raw", "ad-previews": "meta_ads_previews_raw",
 }
 IMAGE_LIST = "asset_feed_spec.images"
 
@@ -197,7 +209,6 @@ def normalise_dimension(
     entity: str,
     fields: FieldMap | None = None,
     statuses: Sequence[str] = (),
-    order: Sequence[str] = (),
     numeric_text: Iterable[str] | None = None,
 ) -> DataFrame:
     """Entity records to rows of their dimension, optionally only those of some effective statuses."""
@@ -208,22 +219,34 @@ def normalise_dimension(
     mapped = apply_field_map(flat, fields)
     times = {c: to_utc_timestamp(quoted(c).cast("string")) for c in plan.timestamps if c in mapped.columns}
     timed = mapped.withColumns(times) if times else mapped
-    if plan.keep_first and order:
-        timed = keep_first(timed, [plan.id_column], order)
     if numeric_text is None:
         numeric_text = numeric_text_columns(timed)
     return reshape.fill_numbers(reshape.cast_numbers(timed, numeric_text))
 
 
 def load_dimension(
-    spark: SparkSession, records: DataFrame, entity: str, database: str, order: Sequence[str], **options: object
+    spark: SparkSession,
+    records: DataFrame,
+    entity: str,
+    database: str,
+    order: Sequence[str],
+    csv_path: str | None = None,
+    **options: object,
 ) -> str:
-    """Normalise and upsert one entity; ads also seed the creatives they name."""
+    """Normalise and upsert one entity; ads also seed the creatives they name. ``csv_path`` gets a copy of the rows."""
     plan = DIMENSIONS[entity]
+    rows = normalise_dimension(records, entity, **options)
+    if plan.keep_first:
+        rows = keep_first(rows, [plan.id_column], order)
+    if csv_path:
+        landed.write_csv(stored_columns(rows), csv_path)
+    return _store_dimension(spark, rows, plan, database, order)
+
+
+def _store_dimension(spark: SparkSession, rows: DataFrame, plan: Dimension, database: str, order: Sequence[str]) -> str:
     table = f"{database}.{plan.table}"
-    rows = normalise_dimension(records, entity, order=order, **options)
     upsert_table(spark, rows, table, order, fv.NATURAL_KEYS[plan.table])
-    if entity == "ads":
+    if plan.table == fv.ADS:
         creatives = creatives_of_ads(rows, order).withColumn("_one", F.lit(1))
         upsert_table(spark, creatives, f"{database}.{fv.CREATIVES}", ["_one"])
     return table
@@ -232,14 +255,23 @@ def load_dimension(
 def replay_dimension(
     spark: SparkSession, raw: DataFrame, entity: str, database: str, limit: int | None = None, **options: object
 ) -> str:
-    """Load a dimension again from its raw payloads."""
-    rows = landed.decode_payload(landed.first_ids(raw, limit), landed.entity_schema(entity))
-    return load_dimension(spark, rows, entity, database, ["_raw_id"], **options)
+    """Load a dimension again from its raw payloads, the newest of each key.
+
+    Entities without declared fields take those found in the payloads, by one job.
+    """
+    rows = landed.first_ids(raw, limit)
+    schema = landed.entity_schema(entity) if entity in fv.ENTITY_FIELDS else landed.payload_schema(rows)
+    records = normalise_dimension(landed.decode_payload(rows, schema), entity, **options)
+    return _store_dimension(spark, records, DIMENSIONS[entity], database, ["_raw_id"])
+
+
+def stored_columns(df: DataFrame) -> DataFrame:
+    return df.select(*[quoted(c) for c in df.columns if not is_bookkeeping(c)])
 
 
 def distinct_records(df: DataFrame) -> DataFrame:
     """Full-row distinct over the stored columns."""
-    return df.select(*[quoted(c) for c in df.columns if not is_bookkeeping(c)]).dropDuplicates()
+    return stored_columns(df).dropDuplicates()
 
 
 def full_view(spark: SparkSession, database: str) -> DataFrame:
@@ -268,28 +300,3 @@ def materialise_combined(spark: SparkSession, database: str, mirror: str | None
     if mirror:
         sync_tables(spark, database, mirror, [fv.COMBINED], create=True)
     return rows
-
-
-def refresh(
-    spark: SparkSession,
-    database: str,
-    entities: Mapping[str, DataFrame],
-    order: Sequence[str],
-    delivery: DataFrame | None = None,
-    level: str = "ad",
-    first: date | str | None = None,
-    last: date | str | None = None,
-    mirror: str | None = None,
-    force: bool = True,
-    **options: object,
-) -> None:
-    """Dimensions, then facts of a range, then the mirror and the combined table. A failed step raises."""
-    for entity in DIMENSIONS:
-        if entity in entities:
-            load_dimension(spark, entities[entity], entity, database, order)
-    if delivery is not None:
-        load_range(spark, delivery, level, database, order, first, last, force=force, **options)
-    create_full_view(spark, database)
-    if mirror:
-        sync_tables(spark, database, mirror, ["all"], create=True)
-        materialise_combined(spark, database, mirror)

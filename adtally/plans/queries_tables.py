@@ -16,6 +16,7 @@ from adtally.plans import driver_model as m, loads, upkeep
 from adtally.plans.driver_model import Tables
 from adtally.plans.queries_keyed import account_tables, delete_list
 from adtally.plans.queries_reporting import goal_rows
+from adtally.plans.refresh import refresh_range
 from adtally.plans.registered import query
 from adtally.plans.sync import sync_tables
 from adtally.session import scratch_path
@@ -368,7 +369,7 @@ def full_refresh(t: Tables) -> DataFrame:
             F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("title"), F.col("c_custkey").alias("_ingest")
         ),
     }
-    loads.refresh(t.spark, database, entities, ["_ingest"], landed_delivery(t), "ad", first, last, mirror, **KNOWN)
+    refresh_range(t.spark, database, entities, landed_delivery(t), ["_ingest"], first, last, 400, mirror=mirror, **KNOWN)
     combined = t.spark.table(f"{mirror}.{fv.COMBINED}")
     return m.doubles(combined.select("ad_id", "date_start", "spend", "objective", "creative_title"))
 

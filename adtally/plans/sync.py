@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from adtally import fixed_values as fv
 from adtally.operators.keyed import prepare_for_mirror
+from adtally.operators.profile import day_if_all_parse
 from adtally.sources.tables import table_names, truncate_tables, upsert_table, write_table
 
 MODES = ("auto", "merge", "truncate", "append")
@@ -71,6 +72,8 @@ def sync_tables(
 
 def _mirror(spark: SparkSession, rows: DataFrame, name: str, target: str, mode: str) -> None:
     prepared = prepare_for_mirror(rows, name)
+    if name.startswith(fv.FACT_TABLE_PREFIX):
+        prepared = day_if_all_parse(prepared, fv.DATE_PARTITION)
     if mode == "merge":
         keys = fv.NATURAL_KEYS[name]
         # Source tables hold a key once, so any order picks the same row.

@@ -35,6 +35,24 @@ def read_records(spark: SparkSession, paths: str | list[str], schema: T.StructTy
     return (reader.schema(schema) if schema else reader).json(paths)
 
 
+ARRIVAL_ORDER = ["_arrived", "_file", "_offset", "_line"]
+
+
+def arrival_columns(records: DataFrame) -> DataFrame:
+    """Where a file source row came from, next to the record; ``with_arrival`` adds the line as well."""
+    return records.select(
+        "*",
+        F.col("_metadata.file_modification_time").alias("_arrived"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_offset"),
+    )
+
+
+def with_arrival(records: DataFrame) -> DataFrame:
+    """Records with ``ARRIVAL_ORDER``: newest file last, then line by line."""
+    return arrival_columns(records).withColumn("_line", F.monotonically_increasing_id())
+
+
 def read_text_csv(spark: SparkSession, path: str, required: Iterable[str] = ()) -> DataFrame:
     """A CSV with a header, every value as text, headers trimmed and lower case, required columns added as NULL."""
     rows = spark.read.option("header", True).option("inferSchema", False).csv(path)
@@ -43,9 +61,12 @@ def read_text_csv(spark: SparkSession, path: str, required: Iterable[str] = ())
     return named.withColumns(missing) if missing else named
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with a header, one file per task."""
+def write_csv(df: DataFrame, path: str) -> bool:
+    """CSV with a header, one file per task; nothing is written for no rows."""
+    if df.isEmpty():
+        return False
     df.write.option("header", True).csv(path)
+    return True
 
 
 def record_json(df: DataFrame) -> Column:

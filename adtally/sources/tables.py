@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from adtally import fixed_values as fv
 from adtally.functions.names import column_name, is_bookkeeping, quoted
-from adtally.operators.evolve import align_declared, columns_to_add, promotable, repair_types
+from adtally.operators.evolve import align_declared, columns_to_add, fit_stored, promotable, repair_types
 from adtally.operators.keyed import keep_last, reject_null_keys, require_columns, upsert
 from adtally.operators.profile import numeric_text_columns
 from adtally.operators.reshape import coalesce_duplicates
@@ -107,10 +107,10 @@ def write_table(df: DataFrame, table: str, mode: str = "append", layout: Layout
         _create(df, table, replace(wanted, partition=tuple(p for p in wanted.partition if p in df.columns)))
         return
     add_columns(spark, table, columns_to_add(df, spark.table(table).columns))
-    shaped = laid_out(df, stored_layout(spark, table))
+    stored = spark.table(table).schema
+    shaped = laid_out(fit_stored(df, table.split(".")[-1], stored), stored_layout(spark, table))
     shaped.select(*[
-        (quoted(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in spark.table(table).schema
+        (quoted(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in stored
     ]).write.insertInto(table)
 
 
@@ -205,7 +205,7 @@ def upsert_table(
     add_columns(spark, table, columns_to_add(batch.drop(*hidden), spark.table(table).columns, name))
     target = spark.table(table)
     kept = [c for c in batch.columns if c in target.columns or c in order]
-    batch = batch.select(*[quoted(c) for c in kept])
+    batch = fit_stored(batch.select(*[quoted(c) for c in kept]), name, target.schema)
     layout = stored_layout(spark, table)
     partition = [p for p in layout.partition if p in keys]
     if partition:

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from adtally.fixed_values import LEVEL_IDS
 from adtally.plans.loads import load_facts
 from adtally.session import scratch_path
-from adtally.sources.landed import insight_schema
+from adtally.sources.landed import ARRIVAL_ORDER, arrival_columns, insight_schema
 
 
 def read_landing(spark: SparkSession, path: str, level: str, breakdowns: Sequence[str] = (), files_per_batch: int = 1000) -> DataFrame:
@@ -24,14 +24,7 @@ def read_landing(spark: SparkSession, path: str, level: str, breakdowns: Sequenc
         .option("maxFilesPerTrigger", files_per_batch)
         .json(path)
     )
-    return records.withColumns({
-        "_arrived": F.col("_metadata.file_modification_time"),
-        "_file": F.col("_metadata.file_path"),
-        "_offset": F.col("_metadata.file_block_start"),
-    })
-
-
-ARRIVAL_ORDER = ["_arrived", "_file", "_offset", "_line"]
+    return arrival_columns(records)
 
 
 def stream_facts(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adtally import fixed_values as fv
 from adtally.operators import fieldmap
-from adtally.plans import loads, upkeep
+from adtally.plans import loads, refresh, upkeep
 from adtally.plans.driver_model import new_database
 from adtally.plans.sync import choose_tables, sync_mode, sync_tables
 from adtally.session import scratch_path, scratch_root, stage
@@ -334,3 +334,67 @@ def test_bucketed_facts_and_ads_join_without_a_shuffle(spark, database):
         assert joined.where("spend = 9").count() == 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_nested_batch_columns_are_stored_as_json(spark, database):
+    table = f"{database}.{fv.AD_FACT}"
+    batch = fact(spark, [("1", date(2024, 1, 1), 1.0, 1)]).withColumn("actions", F.array(F.struct(F.lit("v").alias("value"), F.lit("a").alias("action_type"))))
+    for _ in range(2):
+        tables.upsert_table(spark, batch, table, ["_ingest"])
+        assert spark.table(table).first().actions == '[{"action_type":"a","value":"v"}]'
+
+
+def test_creatives_keep_the_first_record_but_replay_the_newest(spark, database):
+    records = spark.createDataFrame([("k", "one", 1), ("k", "two", 2)], "id STRING, name STRING, _ingest INT")
+    loads.load_dimension(spark, records, "creatives", database, ["_ingest"], numeric_text=[])
+    assert spark.table(f"{database}.{fv.CREATIVES}").first().creative_name == "one"
+    raw = landed.raw_rows(records, {"creative_id": "id"}, F.col("_ingest"))
+    loads.replay_dimension(spark, raw, "creatives", database, numeric_text=[])
+    assert spark.table(f"{database}.{fv.CREATIVES}").first().creative_name == "two"
+
+
+def test_preview_payloads_without_declared_fields(spark, database):
+    raw = spark.createDataFrame([(1, '{"ad_id": "1", "body": {"html": "x"}}')], "id INT, payload STRING")
+    loads.replay_dimension(spark, raw, "ad-previews", database, numeric_text=[])
+    assert spark.table(f"{database}.{fv.ADS}").first().body_html == "x"
+
+
+def test_composite_jobs(spark, database, tmp_path):
+    mirror = new_database(spark, "jobs")
+    today = date(2024, 1, 11)
+    delivery = spark.createDataFrame(
+        [("a", "1", f"2024-01-{d:02d}", "1", d) for d in range(1, 12)], "ad_id STRING, account_id STRING, date_start STRING, spend STRING, _ingest INT")
+    entities = {
+        "accounts": spark.sql("SELECT 'act_1' AS id, 'acc' AS name, 'EUR' AS currency, 1 AS _ingest"),
+        "ads": spark.sql("SELECT 'a' AS id, 'ad' AS name, named_struct('id', 'k', 'name', 'cr') AS creative, 'k' AS creative_id, 1 AS _ingest"),
+    }
+    known = {"metric_types": {}, "numeric_text": ["spend"]}
+    refresh.refresh_daily(spark, database, entities, delivery, ["_ingest"], today, 3, mirror=mirror, **known)
+    combined = spark.table(f"{mirror}.{fv.COMBINED}")
+    assert rows(combined.select("date_start", "currency", "creative_name"), "date_start") == [
+        (date(2024, 1, d), "EUR", "cr") for d in (8, 9, 10)]
+    refresh.refresh_delivery(spark, database, entities["accounts"], delivery, ["_ingest"], today, 1, mirror=mirror, **known)
+    assert spark.table(f"{mirror}.{fv.AD_FACT}").count() == 4
+    refresh.refresh_range(spark, database, {}, delivery, ["_ingest"], "2024-01-01", "2024-01-04", 2, backup_database=new_database(spark, "b"), **known)
+    assert spark.table(f"{database}.{fv.AD_FACT}").count() == 8
+    renamed = {"ads": entities["ads"].withColumn("name", F.lit("later"))}
+    refresh.refresh_dimensions(spark, database, renamed, ["_ingest"], mirror)
+    assert spark.table(f"{mirror}.{fv.ADS}").first().ad_name == "later"
+    loads.load_preset(spark, delivery, "ad", database, ["_ingest"], today, csv_path=str(tmp_path / "copy"), **known)
+    assert landed.read_text_csv(spark, str(tmp_path / "copy")).count() == 1
+
+
+def test_arrival_order_follows_the_lines(spark, tmp_path):
+    path = put_lines(tmp_path / "a", [{"ad_id": "1", "spend": str(i)} for i in range(3)])
+    records = landed.with_arrival(landed.read_records(spark, path, landed.insight_schema("ad")))
+    assert [r.spend for r in records.orderBy(*landed.ARRIVAL_ORDER).collect()] == ["0", "1", "2"]
+
+
+def test_text_days_become_dates_only_if_all_do(spark):
+    from adtally.operators.profile import day_if_all_parse
+
+    good = spark.createDataFrame([("2024-01-01",), (None,)], "date_start STRING")
+    assert day_if_all_parse(good, "date_start").schema["date_start"].dataType.simpleString() == "date"
+    bad = good.union(spark.createDataFrame([("soon",)], good.schema))
+    assert day_if_all_parse(bad, "date_start").schema == bad.schema
+    assert day_if_all_parse(good, "absent").columns == good.columns

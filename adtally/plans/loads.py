@@ -84,12 +84,15 @@ def load_range(
     breakdowns: Sequence[str] = (),
     fields: FieldMap | None = None,
     force: bool = False,
+    windows_per_job: int | None = None,
     **known: object,
 ) -> DataFrame:
-    """Load the windows of a range that are not marked complete, as one job, and then mark them.
+    """Load the windows of a range that are not marked complete, and mark them once they are written.
 
-    Returns the windows loaded with the rows stored for each. A failed write
-    marks nothing, so the next run takes up the same windows.
+    All windows are one job, or several windows each with ``windows_per_job``;
+    then a failure costs only the windows of its job, but the records are read
+    once per job, so they should be stored by day. Returns the windows loaded
+    with the rows stored for each. A failed write marks nothing.
     """
     checkpoint_table = f"{database}.{fv.CHECKPOINT}"
     if not spark.catalog.tableExists(checkpoint_table):
@@ -99,16 +102,20 @@ def load_range(
     done = windows.completed_windows(checkpoint, level, profile, breakdowns)
     todo = windows.remaining_windows(windows.date_windows(bounds, days), done, force)
     # As short as the calendar, and fixed before the checkpoint it was derived from changes.
-    listed = todo.collect()
-    todo = spark.createDataFrame(listed, "since DATE, until DATE")
-    if not listed:
-        return todo.withColumn("rows_loaded", F.lit(0).cast("bigint"))
-    due = [since + timedelta(n) for since, until in listed for n in range((until - since).days + 1)]
-    chosen = windows.in_windows(_between(records, first, last), todo, "_day").drop("_day")
-    table = load_facts(spark, chosen, level, database, order, breakdowns, fields, due, **known)
-    loaded = windows.rows_per_window(spark.table(table).where(windows.within(first, last)), todo)
-    marks = windows.mark_completed(checkpoint.limit(0), loaded, level, profile, breakdowns)
-    upsert_table(spark, marks, checkpoint_table, order=["completed_at"])
+    listed = sorted(todo.collect())
+    per_job = windows_per_job or max(len(listed), 1)
+    loaded = spark.createDataFrame([], "since DATE, until DATE, rows_loaded BIGINT")
+    for start in range(0, len(listed), per_job):
+        part = listed[start : start + per_job]
+        due = [since + timedelta(n) for since, until in part for n in range((until - since).days + 1)]
+        chosen_windows = spark.createDataFrame(part, "since DATE, until DATE")
+        chosen = windows.in_windows(_between(records, due[0], due[-1]), chosen_windows, "_day").drop("_day")
+        table = load_facts(spark, chosen, level, database, order, breakdowns, fields, due, **known)
+        stored = spark.table(table).where(windows.within(due[0], due[-1]))
+        counted = spark.createDataFrame(windows.rows_per_window(stored, chosen_windows).collect(), loaded.schema)
+        marks = windows.mark_completed(checkpoint.limit(0), counted, level, profile, breakdowns)
+        upsert_table(spark, marks, checkpoint_table, order=["completed_at"])
+        loaded = loaded.unionByName(counted)
     return loaded
 
 

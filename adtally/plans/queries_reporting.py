@@ -271,46 +271,42 @@ def date_windows(t: Tables) -> DataFrame:
     return order_windows(t)
 
 
-@query(
-    "resume_windows",
-    f"""
-    WITH w AS ({WINDOW_SQL}),
-    counted AS (
-        SELECT since, until, count(o_orderkey) AS n,
-               count(o_orderkey) FILTER (o_orderpriority = '1-URGENT') AS urgent
-        FROM w LEFT JOIN orders ON CAST(o_orderdate AS DATE) BETWEEN since AND until GROUP BY since, until)
-    SELECT since, until, n AS rows_loaded FROM counted WHERE NOT urgent * 5 >= n
-    """,
-)
-def resume_windows(t: Tables) -> DataFrame:
-    """Windows of the range that no earlier load completed, with the rows each will load."""
+COUNTED_SQL = f"""
+    WITH w AS ({WINDOW_SQL})
+    SELECT since, until, count(o_orderkey) AS n, count(o_orderkey) FILTER (o_orderpriority = '1-URGENT') AS urgent
+    FROM w LEFT JOIN orders ON CAST(o_orderdate AS DATE) BETWEEN since AND until GROUP BY since, until
+"""
+
+
+def counted_windows(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """All windows with their rows, and those where a fifth of the rows or more is urgent."""
     planned = order_windows(t)
     dated = t.orders.withColumn("date_start", F.to_date("o_orderdate"))
     every = windows.rows_per_window(dated, planned)
     urgent = windows.rows_per_window(dated.where("o_orderpriority = '1-URGENT'"), planned)
-    full = every.join(urgent.withColumnRenamed("rows_loaded", "urgent"), ["since", "until"]).where("urgent * 5 >= rows_loaded")
-    empty = t.spark.createDataFrame([], fv.DECLARED[fv.CHECKPOINT])
-    checkpoint = windows.mark_completed(empty, full.select("since", "until", "rows_loaded"), "ad")
-    todo = windows.remaining_windows(planned, windows.completed_windows(checkpoint, "ad"))
+    both = every.join(urgent.withColumnRenamed("rows_loaded", "urgent"), ["since", "until"])
+    return every, both.where("urgent * 5 >= rows_loaded").drop("urgent")
+
+
+def checkpoint_of(t: Tables, loaded: DataFrame) -> DataFrame:
+    return windows.mark_completed(t.spark.createDataFrame([], fv.DECLARED[fv.CHECKPOINT]), loaded, "ad")
+
+
+@query("resume_windows", f"SELECT since, until, n AS rows_loaded FROM ({COUNTED_SQL}) WHERE urgent * 5 < n")
+def resume_windows(t: Tables) -> DataFrame:
+    """With the urgent windows completed, the windows still to load and the rows each will load."""
+    every, urgent = counted_windows(t)
+    done = windows.completed_windows(checkpoint_of(t, urgent), "ad")
+    todo = windows.remaining_windows(order_windows(t), done)
     return every.join(todo, ["since", "until"], "left_semi")
 
 
-@query(
-    "reopened_windows",
-    f"""
-    WITH w AS ({WINDOW_SQL})
-    SELECT since, until, count(o_orderkey) AS rows_loaded
-    FROM w LEFT JOIN orders ON CAST(o_orderdate AS DATE) BETWEEN since AND until
-    GROUP BY since, until HAVING count(o_orderkey) < 45
-    """,
-)
+@query("reopened_windows", f"SELECT since, until, n AS rows_loaded FROM ({COUNTED_SQL}) WHERE urgent * 5 < n")
 def reopened_windows(t: Tables) -> DataFrame:
-    """Completed windows after those with many rows are opened again."""
-    counted = windows.rows_per_window(t.orders.withColumn("date_start", F.to_date("o_orderdate")), order_windows(t))
-    empty = t.spark.createDataFrame([], fv.DECLARED[fv.CHECKPOINT])
-    checkpoint = windows.mark_completed(empty, counted, "ad")
-    reopened = windows.reopen_windows(checkpoint, counted.where("rows_loaded >= 45").select("since", "until"))
-    return reopened.select("since", "until", "rows_loaded")
+    """With all windows completed and the urgent ones opened again, the windows still complete."""
+    every, urgent = counted_windows(t)
+    kept = windows.reopen_windows(checkpoint_of(t, every), urgent.select("since", "until"))
+    return kept.select("since", "until", "rows_loaded")
 
 
 @query(

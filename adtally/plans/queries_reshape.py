@@ -30,7 +30,7 @@ def item(action: Column, indicator: Column, value: Column) -> Column:
 def event_metrics(t: Tables) -> DataFrame:
     """Events with a metric list: dotted types, a type repeated in the list, and items known by indicator."""
     kind, nothing, k = F.col("event_type"), F.lit(None), F.col("k")
-    repeated = F.when(k % 2 == 0, kind).otherwise("")
+    repeated = F.when(k < 50, kind).otherwise("")
     return t.events.withColumn("k", prop_k()).select(
         "event_id", F.to_date("ts").alias("date_start"),
         F.array(
@@ -44,11 +44,11 @@ def event_metrics(t: Tables) -> DataFrame:
 EVENT_KINDS = ("click", "error", "purchase", "signup", "view")
 METRIC_SQL = "SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS DATE) AS date_start, " + ", ".join(
     [
-        f"CASE WHEN event_type <> '{e}' THEN 0.0 WHEN {K_SQL} % 2 = 0 THEN {K_SQL} + 1.0 ELSE {K_SQL} * 1.0 END"
+        f"CASE WHEN event_type <> '{e}' THEN 0.0 WHEN {K_SQL} < 50 THEN {K_SQL} + 1.0 ELSE {K_SQL} * 1.0 END"
         f" AS actions_{e}, CASE WHEN event_type = '{e}' THEN {K_SQL} * 2.0 ELSE 0.0 END AS actions_app_{e}"
         for e in EVENT_KINDS
     ]
-    + [f"CASE WHEN {K_SQL} % 2 = 1 THEN {K_SQL} + 1.0 ELSE 0.0 END AS actions_page_like"]
+    + [f"CASE WHEN {K_SQL} >= 50 THEN {K_SQL} + 1.0 ELSE 0.0 END AS actions_page_like"]
 )
 METRIC_SQL = METRIC_SQL.replace(" + 1.0", " + CAST(1 AS DOUBLE)").replace(" * 1.0", " * CAST(1 AS DOUBLE)")
 METRIC_SQL = METRIC_SQL.replace(" * 2.0", " * CAST(2 AS DOUBLE)").replace(" 0.0 ", " CAST(0 AS DOUBLE) ") + " FROM events"
@@ -66,9 +66,9 @@ def metric_expand(t: Tables) -> DataFrame:
     f"""
     WITH e AS (SELECT event_id, event_type, {K_SQL} AS k FROM events)
     SELECT event_id, 'actions' AS list, event_type AS type,
-           CAST(CASE WHEN k % 2 = 0 THEN k + 1 ELSE k END AS VARCHAR) AS value FROM e
+           CAST(CASE WHEN k < 50 THEN k + 1 ELSE k END AS VARCHAR) AS value FROM e
     UNION ALL SELECT event_id, 'actions', 'app_' || event_type, CAST(k * 2 AS VARCHAR) FROM e
-    UNION ALL SELECT event_id, 'actions', 'page_like', CAST(k + 1 AS VARCHAR) FROM e WHERE k % 2 = 1
+    UNION ALL SELECT event_id, 'actions', 'page_like', CAST(k + 1 AS VARCHAR) FROM e WHERE k >= 50
     """,
 )
 def metric_expand_long(t: Tables) -> DataFrame:
@@ -112,8 +112,8 @@ def results_split(t: Tables) -> DataFrame:
 
 def raw_events(t: Tables) -> DataFrame:
     """Raw delivery rows made of events; some payloads are missing or broken."""
-    payload = F.when(prop_k() % 10 == 3, F.lit('{"k": ')).when(prop_k() % 10 != 7, F.col("props"))
-    breakdowns = F.when(F.col("user_id") % 3 == 0, F.lit("age")).when(F.col("user_id") % 3 == 1, F.lit(""))
+    payload = F.when(F.col("value") < 2, F.lit('{"k": ')).when(F.col("value") < 30, F.col("props"))
+    breakdowns = F.when(F.col("value") > 20, F.lit("age")).when(F.col("value") > 10, F.lit(""))
     return t.events.select(
         F.col("event_id").alias("id"), F.col("event_type").alias("level"), F.to_date("ts").alias("date_start"),
         breakdowns.alias("breakdowns"), payload.alias("payload"),
@@ -125,7 +125,7 @@ def raw_events(t: Tables) -> DataFrame:
     f"""
     SELECT event_id AS _raw_id, CAST({K_SQL} AS DOUBLE) AS k FROM events
     WHERE event_type = 'click' AND CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25'
-      AND user_id % 3 <> 0 AND {K_SQL} % 10 NOT IN (3, 7)
+      AND value >= 2 AND value <= 20
     """,
 )
 def json_replay(t: Tables) -> DataFrame:
@@ -138,7 +138,7 @@ def json_replay(t: Tables) -> DataFrame:
 @query(
     "replay_breakdowns",
     """
-    SELECT event_type AS level, list_aggregate(list_sort(list(DISTINCT CASE user_id % 3 WHEN 0 THEN 'age' ELSE '' END)), 'string_agg', '|') AS sets
+    SELECT event_type AS level, list_aggregate(list_sort(list(DISTINCT CASE WHEN value > 20 THEN 'age' ELSE '' END)), 'string_agg', '|') AS sets
     FROM events GROUP BY event_type
     """,
 )
@@ -305,7 +305,7 @@ def part_field_map(t: Tables) -> DataFrame:
         F.lit("parts").alias("group_name"), F.col("p_type").alias("endpoint_or_pipeline"), sized.alias("api_field"),
         F.col("p_brand").alias("current_database_table"),
         F.when(F.col("p_size") > 10, F.concat_ws("_", F.lit("size"), m.text("p_size"))).alias("current_database_column"),
-        F.when(F.col("p_size") % 2 == 0, F.concat_ws("_", F.lit("even"), m.text("p_size"))).alias("rename_to"),
+        F.when(F.col("p_size") > 25, F.concat_ws("_", F.lit("big"), m.text("p_size"))).alias("rename_to"),
         F.coalesce(status, F.lit("approved")).alias("status"), F.lit(None).cast("string").alias("notes"),
     )
 
@@ -314,7 +314,7 @@ FIELD_SQL = """
     SELECT p_type AS feed, replace(p_name, ' ', '-') || '.' || p_size AS field, p_brand AS table_name,
            CASE p_brand WHEN 'Brand#1' THEN 'excluded' WHEN 'Brand#2' THEN 'pending' ELSE 'approved' END AS status,
            CASE WHEN p_size > 10 THEN 'size_' || p_size END AS old_name,
-           CASE WHEN p_size % 2 = 0 THEN 'even_' || p_size END AS new_name
+           CASE WHEN p_size > 25 THEN 'big_' || p_size END AS new_name
     FROM part
 """
 
@@ -347,19 +347,19 @@ def pending_fields(t: Tables) -> DataFrame:
 
 
 def part_catalog(t: Tables) -> DataFrame:
-    """Stored columns per table: for every brand those of its sizes above 20, and the even names from 30 on."""
-    old = t.part.where("p_size > 20").select(
+    """Stored columns per brand: plain names of its sizes above 35, new names of its sizes from 28 to 45."""
+    old = t.part.where("p_size > 35").select(
         F.col("p_brand").alias("table_name"), F.concat_ws("_", F.lit("size"), m.text("p_size")).alias("column_name")
     )
-    new = t.part.where("p_size >= 30").select(
-        F.col("p_brand").alias("table_name"), F.concat_ws("_", F.lit("even"), m.text("p_size")).alias("column_name")
+    new = t.part.where("p_size BETWEEN 28 AND 45").select(
+        F.col("p_brand").alias("table_name"), F.concat_ws("_", F.lit("big"), m.text("p_size")).alias("column_name")
     )
     return old.union(new).distinct()
 
 
 CATALOG_SQL = """
-    SELECT p_brand AS table_name, 'size_' || p_size AS column_name FROM part WHERE p_size > 20
-    UNION SELECT p_brand, 'even_' || p_size FROM part WHERE p_size >= 30
+    SELECT p_brand AS table_name, 'size_' || p_size AS column_name FROM part WHERE p_size > 35
+    UNION SELECT p_brand, 'big_' || p_size FROM part WHERE p_size BETWEEN 28 AND 45
 """
 
 

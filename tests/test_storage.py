@@ -229,9 +229,9 @@ def test_range_load_resumes_and_rolling_load_does_not_skip(spark, database):
         return spark.createDataFrame([("1", f"2024-01-{d:02d}", value, d) for d in range(1, 11)], "ad_id STRING, date_start STRING, spend STRING, _ingest INT")
 
     known = {"metric_types": {}, "numeric_text": ["spend"]}
-    first = loads.load_range(spark, records("1"), "ad", database, ["_ingest"], "2024-01-01", "2024-01-10", 4, **known)
+    first = loads.load_range(spark, records("1"), "ad", database, ["_ingest"], "2024-01-01", "2024-01-10", 4, windows_per_job=2, **known)
     assert rows(first, "since") == [(date(2024, 1, 1), date(2024, 1, 4), 4), (date(2024, 1, 5), date(2024, 1, 8), 4), (date(2024, 1, 9), date(2024, 1, 10), 2)]
-    again = loads.load_range(spark, records("2"), "ad", database, ["_ingest"], "2024-01-01", "2024-01-10", 4, **known)
+    again = loads.load_range(spark, records("2"), "ad", database, ["_ingest"], "2024-01-01", "2024-01-10", 4, windows_per_job=2, **known)
     assert again.count() == 0
     loads.load_rolling(spark, records("3"), "ad", database, ["_ingest"], date(2024, 1, 11), 2, **known)
     stored = spark.table(f"{database}.{fv.AD_FACT}")

@@ -20,7 +20,6 @@ def build_session(app_name: str = "adtally", master: str | None = None, **settin
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     if master:
         builder = builder.master(master)
@@ -50,12 +49,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/adtally/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the scratch folder and read it back.
+def write_stage(df: DataFrame, label: str) -> str:
+    """Write ``df`` to the scratch folder and return where.
 
-    Cuts the lineage with files that outlive a lost executor, and fixes the
-    contents before the tables they were read from are replaced.
+    The files outlive a lost executor, and fix the contents before the tables
+    they were read from are replaced.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """``df`` read back from its stage, which cuts its lineage."""
+    return df.sparkSession.read.schema(df.schema).parquet(write_stage(df, label))

@@ -9,8 +9,7 @@ the days a batch touches and not with the table.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from datetime import date
 
@@ -22,10 +21,9 @@ from adtally.operators.evolve import align_declared, columns_to_add, fit_stored,
 from adtally.operators.keyed import keep_last, reject_null_keys, require_columns, upsert
 from adtally.operators.profile import numeric_text_columns
 from adtally.operators.reshape import coalesce_duplicates
-from adtally.session import stage
+from adtally.session import write_stage
 
 _NEXT = "__next"
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 @dataclass(frozen=True)
@@ -150,15 +148,20 @@ def finish_replace(spark: SparkSession, table: str) -> None:
             spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
 
-@contextmanager
-def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrites inside replace only the partitions they write; tables take this from the session alone."""
-    before = spark.conf.get(_OVERWRITE_MODE)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(_OVERWRITE_MODE, before)
+def overwrite_partitions(rows: DataFrame, table: str) -> None:
+    """Stage the rows in full, then replace the partitions they hold and no others.
+
+    Whether an overwrite spares other partitions is a setting of the session,
+    so it is done in a session of its own and no other write can be affected.
+    """
+    spark = rows.sparkSession
+    name = table if "." in table else f"{spark.catalog.currentDatabase()}.{table}"
+    path = write_stage(rows, table.split(".")[-1])
+    writer = spark.newSession()
+    writer.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    staged = writer.read.schema(rows.schema).parquet(path)
+    laid_out(staged, stored_layout(spark, table)).write.insertInto(name, overwrite=True)
+    spark.catalog.refreshTable(table)
 
 
 def truncate_tables(spark: SparkSession, tables: Iterable[str]) -> None:
@@ -206,8 +209,7 @@ def upsert_table(
     target = spark.table(table)
     kept = [c for c in batch.columns if c in target.columns or c in order]
     batch = fit_stored(batch.select(*[quoted(c) for c in kept]), name, target.schema)
-    layout = stored_layout(spark, table)
-    partition = [p for p in layout.partition if p in keys]
+    partition = [p for p in stored_layout(spark, table).partition if p in keys]
     if partition:
         day = quoted(partition[0])
         if days is None:
@@ -220,9 +222,7 @@ def upsert_table(
         target = target.where(day.isin(list(days)))
     merged = upsert(target, batch, keys, order, absent).select(*[quoted(c) for c in target.columns])
     if partition:
-        shaped = laid_out(stage(merged, name), layout).select(*[quoted(c) for c in target.columns])
-        with dynamic_overwrite(spark):
-            shaped.write.insertInto(table, overwrite=True)
+        overwrite_partitions(merged, table)
     else:
         replace_table(merged, table)
 

@@ -287,3 +287,28 @@ def test_run_history(spark):
     assert [r.run_id for r in runs.latest_runs(log, 2).collect()] == ["2", "1"]
     stale = runs.stale_runs(log, "INTERVAL 90 MINUTES", F.lit("2024-01-01 03:00:00").cast("timestamp"))
     assert [r.run_id for r in stale.collect()] == ["0"]
+
+
+def test_hot_campaign_is_split_over_tasks_in_the_star_join(spark):
+    settings_ = {
+        "spark.sql.autoBroadcastJoinThreshold": -1, "spark.sql.adaptive.autoBroadcastJoinThreshold": -1,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": 2,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.shuffle.partitions": 20,
+    }
+    before = {k: spark.conf.get(k, None) for k in settings_}
+    for k, v in settings_.items():
+        spark.conf.set(k, v)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+        fact = spark.range(0, 100_000, 1, 16).select(
+            F.col("id").cast("string").alias("ad_id"), F.lit("2024-01-01").cast("date").alias("date_start"),
+            F.lit("1").alias("account_id"), hot.alias("campaign_id"), F.lit("s").alias("adset_id"), F.rand(1).alias("spend"))
+        campaigns = spark.range(0, 20_000).select(F.col("id").cast("string").alias("campaign_id"), F.lit("RUN").alias("status"))
+        report = star.level_report(fact, "campaign", {"campaigns": campaigns}, {"campaigns": ["status"]})
+        found = report.collect()
+        assert "SortMergeJoin(skew=true)" in report._jdf.queryExecution().executedPlan().toString()
+        assert len({r.ad_id for r in found}) == len(found) == 100_000
+        assert sum(r.campaigns_status is not None for r in found) == sum(i % 3 != 0 for i in range(20_000))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from adtally.session import stage
 
-__all__ = ["fresh", "in_slices", "per_text", "stage", "text_or_empty"]
+__all__ = ["fresh", "in_slices", "per_text", "repeat_rows", "stage", "text_or_empty"]
 
 #: Bytes of text that a Python worker turns into objects at a time.
 SLICE_BYTES = 4 << 20
@@ -58,3 +58,23 @@ def per_text(docs: DataFrame, score: Callable[[list[bytes]], list[pa.Array]], co
                 yield pa.RecordBatch.from_arrays([part.column(0), *score(part.column(1).to_pylist())], names=names)
 
     return narrow.mapInArrow(run, schema)
+
+
+def repeat_rows(docs: DataFrame, copies: Callable[[pa.RecordBatch, list[bytes]], list[int]]) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as ``copies`` says for a batch and its texts; 0 drops a row.
+
+    One pass without a shuffle or join.
+    """
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            binary = pa.RecordBatch.from_arrays([batch.column(at).cast(pa.binary())], names=["text"])
+            start = 0
+            for part in in_slices(binary, 0):
+                rows = batch.slice(start, part.num_rows)
+                start += part.num_rows
+                times = copies(rows, [t or b"" for t in part.column(0).to_pylist()])
+                yield rows.take(pa.array([i for i, n in enumerate(times) for _ in range(n)], pa.int64()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -90,6 +90,16 @@ def read_words(texts: list[bytes]) -> Words:
     return Words(features, sentence_of[starts], np.searchsorted(begin, starts, "right") - 1)
 
 
+def read_many(texts: list[bytes], together: int = 100) -> Words:
+    """As read_words, some texts at a time, so that what is held besides the result stays small."""
+    parts, sentences = [], 0
+    for start in range(0, len(texts), together):
+        found = read_words(texts[start:start + together])
+        parts.append(Words(found.features, found.sentence + sentences, found.text + start))
+        sentences += int(found.sentence[-1]) + 1 if len(found.sentence) else 0
+    return Words(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+
+
 def _features_of(words: list[str]) -> np.ndarray:
     return np.concatenate([read_words([w.encode()]).features[:1] for w in words])
 
@@ -124,7 +134,7 @@ def train(sample: list[tuple[bytes, int]], balance: float = BALANCE) -> Model:
     if not 0 < label.sum() < len(label):
         share = (label.sum() + 1) / (len(label) + 2)
         return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(share / (1 - share))))
-    found = read_words([t for t, _ in sample])
+    found = read_many([t for t, _ in sample])
     if not len(found.text):
         return Model(np.zeros(0, np.uint64), np.zeros(0), 0.0)
     columns = found.features.shape[1]

@@ -56,8 +56,8 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds)).cast("int")
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> list[tuple[bytes, int]]:
-    """Texts and labels of at most ``limit`` labelled rows, in the order of a hash of their id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int, also: tuple[str, ...] = ()) -> list[tuple]:
+    """Texts, labels and the columns ``also`` of at most ``limit`` labelled rows, in the order of a hash of their id.
 
     A label that is null or no 0 or 1, an id that is null, and an id with both labels teach nothing. Ids are chosen
     first, from the narrow table, so only chosen texts move. Rows that share an id count each, twice the limit at most.
@@ -69,9 +69,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int)
     order = F.xxhash64(F.col("doc_id").cast("string"))
     there = docs.select("doc_id").join(clean.select("doc_id", "label"), "doc_id").distinct()
     chosen = there.orderBy(order, "doc_id").limit(limit)
-    texts = docs.select("doc_id", text_or_empty().cast("binary").alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = texts.orderBy(order, "doc_id", "text").limit(2 * limit).select("text", "label").collect()
-    return [(bytes(r["text"]), r["label"]) for r in rows]
+    texts = docs.select("doc_id", text_or_empty().cast("binary").alias("text"), *also).join(F.broadcast(chosen), "doc_id")
+    rows = texts.orderBy(order, "doc_id", "text", *also).limit(2 * limit).select("text", "label", *also).collect()
+    return [(bytes(r["text"]), *r[1:]) for r in rows]
 
 
 def scored(docs: DataFrame, score, held_out: Column) -> DataFrame:

@@ -14,7 +14,7 @@ from adtally.session import stage
 __all__ = ["fresh", "in_slices", "per_text", "repeat_rows", "stage", "text_or_empty"]
 
 #: Bytes of text that a Python worker turns into objects at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def text_or_empty(column: str = "text") -> Column:

@@ -200,6 +200,21 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return narrow.mapInArrow(run, f"doc_id {id_type}, text string")
 
 
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, n_tokens, ids, and decoded (their labels) of every whole text, in one pass."""
+    shared = _load(docs.sparkSession, path)
+
+    def score(texts: list[bytes]) -> list[pa.Array]:
+        parts = [_parts(shared.value, t.decode("utf-8", "replace")) for t in texts]
+        ids = [[i for part in held for i in part[0]] for held in parts]
+        return [
+            pa.array(list(map(len, ids)), pa.int64()), pa.array(ids, pa.list_(pa.int32())),
+            pa.array([" ".join([part[2] for part in held]) for held in parts], pa.string()),
+        ]
+
+    return per_text(docs, score, "n_tokens long, ids array<int>, decoded string")
+
+
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text, encoded and decoded in one pass."""
     shared = _load(docs.sparkSession, path)

@@ -19,7 +19,7 @@ def con():
     return oracle.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_gives_the_rows_of_its_sql(spark, con, name):
     assert oracle.differences(QUERIES[name](spark, FOLDER), con, SQL[name]) == []
 

@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adtally.llm.rows import fresh, stage, text_or_empty
+from adtally.llm.rows import filter_bit, filter_slot, fresh, may_hold, stage, text_or_empty, without
 
 #: Different texts that a bucket may hold before it splits.
 CAPACITY = 16_384
 #: Leading key bits that a directory may use; buckets that are still overfull then only grow their chains.
-MAX_DEPTH = 14
+MAX_DEPTH = 14  # of the 18 that the table of counts has
 
 
 def directory(counts: dict[int, int], capacity: int, max_depth: int) -> list[int]:
@@ -52,21 +52,34 @@ def build_index(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_
 
     bucket, key, chain (1 for the first text of a key), text_sha256, keep_id (largest doc_id), group_size.
 
-    Counts come first: keys by prefix, at most 2**max_depth numbers, build the directory on the driver. Then each
-    task folds its own copies of a text into one row before anything is shuffled, so a text that holds a third
-    of all rows costs one row per task; equal bytes meet by (bucket, key, text). The narrow result goes to the
+    Counts come first: the keys by leading bits, a bounded table. It builds the directory on the driver, and a bitmap
+    of the keys that more than one row has. Only rows that the bitmap lets through bring their bytes along; others
+    have a key of their own. Each task folds its copies of a text into one row before the shuffle, so a text that
+    holds a third of all rows costs one row per task; equal bytes meet by (key, text). The narrow result goes to the
     owners of the buckets, which chain what shares a key and write.
     """
     rows = docs.select("doc_id", text_or_empty().alias("text")).withColumn("key", F.xxhash64("text"))
-    keys = rows.groupBy("key").agg(F.lit(1).alias("one"))
-    held = keys.groupBy(_prefix(F.col("key"), max_depth).alias("prefix")).count().collect()
-    entries = directory({r["prefix"]: r["count"] for r in held}, capacity, max_depth)
+    keys = rows.groupBy("key").count()
+    repeated = F.when(F.col("count") > 1, filter_bit("key")).otherwise(F.lit(0).cast("long"))
+    slots = stage(
+        keys.groupBy(filter_slot("key").alias("slot")).agg(
+            F.bit_or(repeated).alias("bits"), F.count(F.lit(1)).alias("held"),
+            F.min(_prefix(F.col("key"), max_depth)).alias("prefix"),
+        ), "exact-slots",
+    )
+    held = slots.groupBy("prefix").agg(F.sum("held").alias("held")).collect()
+    entries = directory({r["prefix"]: r["held"] for r in held}, capacity, max_depth)
     depth = len(entries).bit_length() - 1
     pointers = F.split(F.lit(",".join(map(str, entries))), ",").cast("array<int>")  # folded into a constant
     bucket = F.element_at(pointers, _prefix(F.col("key"), depth) + 1)
-    texts = rows.groupBy("key", "text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    marked = may_hold(rows, "key", slots.filter("bits <> 0").select("slot", "bits"), "shared")
+    texts = marked.groupBy(
+        "key", F.when(F.col("shared"), F.col("text")).alias("text"),
+        F.when(~F.col("shared"), F.sha2("text", 256)).alias("alone"),
+    ).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     narrow = texts.select(
-        bucket.alias("bucket"), "key", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size"
+        bucket.alias("bucket"), "key", F.coalesce("alone", F.sha2("text", 256)).alias("text_sha256"), "keep_id",
+        "group_size",
     )
     owners = narrow.repartition(max(1, len(set(entries))), "bucket")
     chain = F.row_number().over(Window.partitionBy("bucket", "key").orderBy("text_sha256"))
@@ -95,23 +108,26 @@ def decide(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH
 def deduplicate(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
     """The rows of ``docs`` that stay, with the columns they have.
 
-    Only the ids of dropped rows are joined, so the texts of the others need no shuffle while that list is small.
+    Only rows that a bitmap of the dropped ids lets through are joined with them, so most texts need no shuffle.
     """
-    sha, gone = fresh(docs, "text_sha256"), fresh(docs, "gone_id")
+    sha = fresh(docs, "text_sha256")
     out = stage(
         decide(docs, capacity, max_depth).filter(~F.col("kept")).select(
-            F.col("doc_id").alias(gone), F.col("text_sha256").alias(sha), "keep_id"
+            F.xxhash64("doc_id", "text_sha256").alias("h"), F.col("doc_id").alias("gone_id"),
+            F.col("text_sha256").alias("gone_sha"), "keep_id",
         ).distinct(), "exact-dropped",
     )
     marked = docs.withColumn(sha, F.sha2(text_or_empty(), 256))
 
-    def on(right: DataFrame) -> Column:
-        return marked[sha].eqNullSafe(right[sha]) & marked["doc_id"].eqNullSafe(right[gone])
+    def same(left: DataFrame, right: DataFrame) -> Column:
+        return left[sha].eqNullSafe(right["gone_sha"]) & left["doc_id"].eqNullSafe(right["gone_id"])
 
-    staying = marked.join(out, on(out), "left_anti")
+    staying = without(marked, F.xxhash64("doc_id", sha), out, same)
     # A row that stays but has twins of its own id and text is in that list too: one of them comes back.
-    twins = out.filter(F.col(gone).eqNullSafe(F.col("keep_id")))
-    back = marked.join(twins, on(twins), "left_semi").dropDuplicates(["doc_id", sha])
+    twins = out.filter(F.col("gone_id").eqNullSafe(F.col("keep_id")))
+    if twins.isEmpty():
+        return staying.drop(sha)
+    back = marked.join(twins, same(marked, twins), "left_semi").dropDuplicates(["doc_id", sha])
     return staying.unionByName(back).drop(sha)
 
 

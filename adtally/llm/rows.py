@@ -11,10 +11,12 @@ from pyspark.sql import types as T
 
 from adtally.session import stage
 
-__all__ = ["fresh", "in_slices", "per_text", "repeat_rows", "stage", "text_or_empty"]
+__all__ = ["bit_filter", "fresh", "in_slices", "may_hold", "per_text", "repeat_rows", "stage", "text_or_empty", "without"]
 
 #: Bytes of text that a Python worker turns into objects at a time.
 SLICE_BYTES = 1 << 20
+#: Bits of a filter that is broadcast: at most 2**(FILTER_BITS - 6) rows of 64 bits, 4 MB, whatever the input.
+FILTER_BITS = 24
 
 
 def text_or_empty(column: str = "text") -> Column:
@@ -42,6 +44,42 @@ def in_slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> It
         yield batch.slice(start)
 
 
+def filter_slot(hashed: str) -> Column:
+    """Where the bit of the long column ``hashed`` lies in a filter; filter_bit says which it is there."""
+    return F.shiftrightunsigned(F.col(hashed), 64 - (FILTER_BITS - 6)).cast("int")
+
+
+def filter_bit(hashed: str) -> Column:
+    return F.expr(f"shiftleft(1L, cast({hashed} & 63 AS int))")
+
+
+def bit_filter(hashes: DataFrame) -> DataFrame:
+    """slot, bits: a bitmap of the long column ``h``, of bounded size. The more it holds, the less it keeps out."""
+    return hashes.groupBy(filter_slot("h").alias("slot")).agg(F.bit_or(filter_bit("h")).alias("bits"))
+
+
+def may_hold(df: DataFrame, hashed: str, held: DataFrame, name: str) -> DataFrame:
+    """``df`` with a boolean ``name``: false only if the filter ``held`` lacks the long column ``hashed``."""
+    slot, bits = fresh(df, "filter_slot"), fresh(df, "filter_bits")
+    small = F.broadcast(held.select(F.col("slot").alias(slot), F.col("bits").alias(bits)))
+    joined = df.withColumn(slot, filter_slot(hashed)).join(small, slot, "left")
+    hit = F.coalesce(F.col(bits).bitwiseAND(filter_bit(hashed)) != 0, F.lit(False))
+    return joined.withColumn(name, hit).drop(slot, bits)
+
+
+def without(df: DataFrame, hash_of: Column, gone: DataFrame, same: Callable[[DataFrame, DataFrame], Column]) -> DataFrame:
+    """``df`` without the rows for which ``same(df, gone)`` holds with some row of ``gone``.
+
+    ``gone`` has ``h``, which equals ``hash_of`` for such rows. Only rows that a small bitmap of ``h`` lets through
+    are joined, so the texts of most rows aren't shuffled, however long the list is.
+    """
+    h, hit = fresh(df, "row_hash"), fresh(df, "row_hit")
+    marked = may_hold(df.withColumn(h, hash_of), h, bit_filter(gone.select("h")), hit)
+    sure = marked.filter(~F.col(hit)).select(*df.columns)
+    rest = marked.filter(F.col(hit)).select(*df.columns)
+    return sure.unionByName(rest.join(gone, same(rest, gone), "left_anti"))
+
+
 def per_text(docs: DataFrame, score: Callable[[list[bytes]], list[pa.Array]], columns: str) -> DataFrame:
     """doc_id and ``columns`` (DDL), which ``score`` gives for a list of whole texts in UTF-8.
 

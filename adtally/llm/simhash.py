@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm.rows import fresh, per_text, stage
+from adtally.llm.rows import per_text, stage, without
 
 SHINGLE = 3
 THRESHOLD = 3
@@ -249,12 +249,13 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def thin(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """``docs`` without the rows whose component has a smaller doc_id; rows of a component without ids stay."""
-    gone = fresh(docs, "gone_id")
     lost = near_duplicates(docs, block).filter(
         F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
-    out = stage(lost.select(F.col("doc_id").alias(gone)).distinct(), "simhash-dropped")
-    return docs.join(out, docs["doc_id"].eqNullSafe(out[gone]), "left_anti")
+    out = stage(
+        lost.select(F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("gone_id")).distinct(), "simhash-dropped"
+    )
+    return without(docs, F.xxhash64("doc_id"), out, lambda left, right: left["doc_id"].eqNullSafe(right["gone_id"]))
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

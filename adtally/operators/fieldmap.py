@@ -11,7 +11,7 @@ from adtally.fixed_values import FIELD_MAP_COLUMNS
 from adtally.functions.names import NAME_LIMIT, is_bookkeeping, quoted
 
 APPROVED, PENDING, EXCLUDED = "approved", "pending", "excluded"
-PENDING_NOTE = "Auto-detected: set rename_to and change status to approved to load"
+PENDING_NOTE = "New field, not loaded yet. Give it a name in rename_to and approve it here."
 
 
 @dataclass(frozen=True)

@@ -41,15 +41,21 @@ def metric_lists(df: DataFrame) -> list[str]:
     ]
 
 
-def expand_metrics(df: DataFrame, keys: Mapping[str, Iterable[str]] | None = None) -> DataFrame:
+def expand_metrics(
+    df: DataFrame, keys: Mapping[str, Iterable[str]] | None = None, unknown: str = "fail"
+) -> DataFrame:
     """One column ``<list>_<type>`` per metric type; within a list the last item of a type wins.
 
     ``keys`` gives the types per list column. Without it one aggregation job
     finds them: types are counted down per task before anything is shuffled,
     and only the distinct ones, which become columns, reach the driver.
-    A list column with no types at all is kept.
+    A list column with no types at all is kept. Types that ``keys`` lacks fail
+    the job, or with ``unknown="keep"`` go to ``<list>_other`` as JSON text.
     """
+    if unknown not in ("fail", "keep"):
+        raise ValueError(f"unknown is 'fail' or 'keep', not {unknown!r}")
     lists = metric_lists(df)
+    given = keys is not None
     if keys is None:
         keys = discover_metric_types(df, lists)
     wanted = {name: sorted(set(keys.get(name, ()))) for name in lists}
@@ -58,6 +64,12 @@ def expand_metrics(df: DataFrame, keys: Mapping[str, Iterable[str]] | None = Non
         return df
     helpers = {f"_{part}_{i}": c for i, name in enumerate(expanded) for part, c in _newest_first(df, name).items()}
     kept = [name for name in df.columns if name not in expanded]
+    if given and unknown == "fail":
+        for i, name in enumerate(expanded):
+            helpers[f"_types_{i}"] = _only_known(helpers[f"_types_{i}"], name, wanted[name])
+    others = [
+        _others(i, wanted[name]).alias(f"{name}_other") for i, name in enumerate(expanded) if given and unknown == "keep"
+    ]
     with_helpers = df.select(*[quoted(n) for n in kept], *[c.alias(n) for n, c in helpers.items()])
     return with_helpers.select(
         *[quoted(n) for n in kept],
@@ -66,9 +78,24 @@ def expand_metrics(df: DataFrame, keys: Mapping[str, Iterable[str]] | None = Non
             for i, name in enumerate(expanded)
             for key in wanted[name]
         ],
+        *others,
     )
 
 
+def _only_known(types: Column, name: str, wanted: list[str]) -> Column:
+    """The types, or a failure that names one the list column should not have."""
+    odd = F.array_except(F.array_compact(types), F.array(*[F.lit(w) for w in wanted]))
+    message = F.concat(F.lit(f"{name} has a metric type that was not named: "), F.get(odd, F.lit(0)))
+    return F.when(F.size(odd) > 0, F.raise_error(message).cast("array<string>")).otherwise(types)
+
+
+def _others(i: int, wanted: list[str]) -> Column:
+    """JSON text of the types that have no column, NULL without any."""
+    types = F.array_except(F.array_compact(quoted(f"_types_{i}")), F.array(*[F.lit(w) for w in wanted]))
+    values = F.transform(types, lambda t: F.get(quoted(f"_values_{i}"), F.array_position(quoted(f"_types_{i}"), t) - 1))
+    return F.when(F.size(types) > 0, F.to_json(F.map_from_arrays(types, values)))
+
+
 def discover_metric_types(df: DataFrame, lists: Iterable[str]) -> dict[str, list[str]]:
     """Distinct metric types per list column, from one job over all of them."""
     lists = list(lists)
@@ -275,12 +302,16 @@ def rename_if_absent(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
 
 
 def cast_numbers(df: DataFrame, numeric_text: Iterable[str]) -> DataFrame:
-    """Turn the text columns a profile found numeric into DOUBLE."""
+    """Turn the text columns a profile found numeric into DOUBLE; blank is missing, other text fails the job."""
     numeric_text = set(numeric_text)
 
     def cast(f: T.StructField) -> Column:
-        number = f.name in numeric_text and isinstance(f.dataType, T.StringType)
-        return strict_number(quoted(f.name)).alias(f.name) if number else quoted(f.name)
+        if f.name not in numeric_text or not isinstance(f.dataType, T.StringType):
+            return quoted(f.name)
+        text, number = quoted(f.name), strict_number(quoted(f.name))
+        message = F.concat(F.lit(f"{f.name} holds text that is no number: "), text)
+        odd = number.isNull() & (F.trim(text) != "")
+        return F.when(odd, F.raise_error(message).cast("double")).otherwise(number).alias(f.name)
 
     return df.select(*[cast(f) for f in df.schema])
 

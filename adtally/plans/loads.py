@@ -29,17 +29,20 @@ def normalise_facts(
     metric_types: Mapping[str, Iterable[str]] | None = None,
     numeric_text: Iterable[str] | None = None,
     keep_nulls: bool = False,
+    unknown_metrics: str = "fail",
 ) -> DataFrame:
     """Delivery records to a wide fact table.
 
     Two things depend on the data: the metric types that become columns and
     the text columns that are numbers. Unless given, one job finds both.
-    Giving them also keeps column types stable from batch to batch.
+    Giving them also keeps column types stable from batch to batch; then a type
+    that was not named fails the load or, with ``unknown_metrics="keep"``, stays
+    as JSON text, and text in a number column fails the load.
     """
     flat = reshape.flatten(reshape.split_results(records))
     if metric_types is None and numeric_text is None:
         metric_types, numeric_text = reshape.discover_shape(flat)
-    wide = reshape.expand_metrics(flat, metric_types)
+    wide = reshape.expand_metrics(flat, metric_types, unknown_metrics)
     if numeric_text is None:
         numeric_text = numeric_text_columns(wide)
     numeric = reshape.null_non_finite(reshape.coalesce_duplicates(reshape.cast_numbers(wide, numeric_text)))
@@ -68,7 +71,11 @@ def load_facts(
 
 
 def _between(records: DataFrame, first: date | str, last: date | str) -> DataFrame:
-    return records.withColumn("_day", F.col("date_start").try_cast("date")).where(windows.within(first, last, "_day"))
+    """Records of some days. A day that can't be read fails the job, as it does in a load of all days."""
+    day = F.col("date_start").try_cast("date")
+    shown = F.coalesce(F.col("date_start").cast("string"), F.lit("NULL"))
+    failed = F.raise_error(F.concat(F.lit("date_start is no date: "), shown)).cast("date")
+    return records.withColumn("_day", F.when(day.isNull(), failed).otherwise(day)).where(windows.within(first, last, "_day"))
 
 
 def load_range(

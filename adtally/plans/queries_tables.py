@@ -381,5 +381,5 @@ def stream_load(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "landing")
     newest = keep_last(landed_delivery(t), ["ad_id", "date_start"], ["_ingest"]).drop("_ingest")
     newest.write.json(path)
-    stream_facts(t.spark, path, "ad", database, **KNOWN).awaitTermination()
+    stream_facts(t.spark, path, "ad", database, scratch_path(t.spark, "landing-progress"), **KNOWN).awaitTermination()
     return m.doubles(t.spark.table(f"{database}.{fv.AD_FACT}").select(LOADED_COLUMNS))

@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app_name: str = "adtally", master: str | None = None, **settings: object) -> SparkSession:
+#: Shuffle partitions planned on a cluster: at 128 MB each, 0.5 TB a shuffle. Raise it with the input.
+SHUFFLE_WIDTH = 4000
+
+
+def build_session(
+    app_name: str = "adtally",
+    master: str | None = None,
+    shuffle_width: int | None = None,
+    scratch: str | None = None,
+    **settings: object,
+) -> SparkSession:
     """A session with the settings the library is written for.
 
-    Shuffle partitions are left to adaptive execution: many small ones are
-    planned and coalesced at run time to about 128 MB each.
+    ``shuffle_width`` partitions are planned for every shuffle, and adaptive
+    execution coalesces them to about 128 MB each; it never plans more. Local
+    sessions keep Spark's own count unless it is given. ``scratch`` is the
+    folder for written intermediates, which every executor must reach.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -21,6 +32,11 @@ def build_session(app_name: str = "adtally", master: str | None = None, **settin
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
     )
+    if shuffle_width or not (master or "").startswith("local"):
+        width = shuffle_width or SHUFFLE_WIDTH
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
+    if scratch:
+        builder = builder.config("spark.checkpoint.dir", scratch)
     if master:
         builder = builder.master(master)
     for key, value in settings.items():
@@ -31,17 +47,13 @@ def build_session(app_name: str = "adtally", master: str | None = None, **settin
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediates, from ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary
-    folder; on a cluster executors do not share one, so this raises there.
+    Without that setting it is a folder of the warehouse, which all executors
+    write tables to anyway.
     """
     configured = spark.conf.get("spark.checkpoint.dir", "")
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="adtally-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -63,3 +75,9 @@ def write_stage(df: DataFrame, label: str) -> str:
 def stage(df: DataFrame, label: str) -> DataFrame:
     """``df`` read back from its stage, which cuts its lineage."""
     return df.sparkSession.read.schema(df.schema).parquet(write_stage(df, label))
+
+
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Remove a stage whose rows have been written where they belong."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

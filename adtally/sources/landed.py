@@ -10,7 +10,7 @@ from adtally import fixed_values as fv
 from adtally.functions.names import breakdown_key, is_bookkeeping, quoted
 
 METRIC_LIST = "ARRAY<STRUCT<action_type: STRING, indicator: STRING, value: STRING>>"
-_BAD = "_unreadable"
+UNREADABLE = "_unreadable"
 
 
 def insight_schema(level: str, breakdowns: Iterable[str] = ()) -> T.StructType:
@@ -26,13 +26,37 @@ def entity_schema(entity: str) -> T.StructType:
 
 
 def read_records(spark: SparkSession, paths: str | list[str], schema: T.StructType | None = None) -> DataFrame:
-    """JSON-lines records from one or many paths; unreadable lines are skipped.
+    """JSON-lines records from one or many paths; lines that are no JSON object are skipped.
 
-    With a schema nothing is inferred and only its fields are parsed. Without
-    one Spark reads the files twice, the first time to find the fields.
+    With a schema nothing is inferred and only its fields are parsed; a field
+    of another shape is NULL and its record stays, whatever is selected.
+    Without one Spark reads the files twice, the first time to find the fields.
     """
-    reader = spark.read.option("mode", "DROPMALFORMED")
-    return (reader.schema(schema) if schema else reader).json(paths)
+    if not schema:
+        return spark.read.option("mode", "DROPMALFORMED").json(paths)
+    return readable(spark.read.schema(with_unreadable(schema)).option("columnNameOfCorruptRecord", UNREADABLE).json(paths))
+
+
+def with_unreadable(schema: T.StructType) -> T.StructType:
+    """The schema with a column for the text of records that don't fit it; ``readable`` takes it away again."""
+    return T.StructType([*schema.fields, T.StructField(UNREADABLE, T.StringType())])
+
+
+def readable(records: DataFrame) -> DataFrame:
+    """Records that are JSON objects. Whether a line is one is asked of its text, so selected columns don't matter.
+
+    The filter also names the first field: Spark refuses scans of the text column alone.
+    """
+    first = F.length(F.concat_ws("", quoted(records.columns[0]).cast("string"))) >= 0
+    whole = F.schema_of_variant(F.try_parse_json(UNREADABLE)).startswith("OBJECT")
+    return records.where(first & (F.col(UNREADABLE).isNull() | F.coalesce(whole, F.lit(False)))).drop(UNREADABLE)
+
+
+def unreadable_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The lines, as ``line``, that ``read_records`` skips: to count or to look at what was refused."""
+    lines = spark.read.text(paths).withColumnRenamed("value", "line").where(F.trim("line") != "")
+    shape = F.schema_of_variant(F.try_parse_json("line"))
+    return lines.where(~F.coalesce(shape.startswith("OBJECT"), F.lit(False)))
 
 
 ARRIVAL_ORDER = ["_arrived", "_file", "_offset", "_line"]
@@ -140,18 +164,21 @@ def single_breakdown(rows: DataFrame) -> list[str]:
 
 
 def decode_payload(rows: DataFrame, schema: T.StructType, keep: Iterable[str] = ("id",)) -> DataFrame:
-    """Payloads as columns, next to the kept raw columns under ``_raw_<name>``; unreadable and NULL ones are skipped.
+    """Payloads as columns, next to the kept raw columns under ``_raw_<name>``; NULL ones and non-objects are skipped.
 
-    Text is parsed once; a payload that is a struct already is used as it is.
+    A field of another shape is NULL and its record stays. A payload that is a
+    struct already is used as it is.
     """
     kept = [quoted(k).alias(f"_raw_{k}") for k in keep]
     if isinstance(rows.schema["payload"].dataType, T.StructType):
         return rows.where("payload IS NOT NULL").select(*kept, "payload.*")
-    checked = schema.add(T.StructField(_BAD, T.StringType()))
-    parsed = F.from_json("payload", checked, {"columnNameOfCorruptRecord": _BAD})
+    checked = schema.add(T.StructField(UNREADABLE, T.StringType()))
+    parsed = F.from_json("payload", checked, {"columnNameOfCorruptRecord": UNREADABLE})
     decoded = rows.where("payload IS NOT NULL").select(*kept, parsed.alias("_record"))
-    return decoded.where(F.col(f"_record.{_BAD}").isNull()).select(
-        *[f"_raw_{k}" for k in keep], *[F.col("_record").getField(f).alias(f) for f in schema.names if f != _BAD]
+    bad = F.col(f"_record.{UNREADABLE}")
+    whole = F.schema_of_variant(F.try_parse_json(bad)).startswith("OBJECT")
+    return decoded.where(bad.isNull() | F.coalesce(whole, F.lit(False))).select(
+        *[f"_raw_{k}" for k in keep], *[F.col("_record").getField(f).alias(f) for f in schema.names if f != UNREADABLE]
     )
 
 

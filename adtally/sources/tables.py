@@ -21,7 +21,7 @@ from adtally.operators.evolve import align_declared, columns_to_add, fit_stored,
 from adtally.operators.keyed import keep_last, reject_null_keys, require_columns, upsert
 from adtally.operators.profile import numeric_text_columns
 from adtally.operators.reshape import coalesce_duplicates
-from adtally.session import write_stage
+from adtally.session import drop_stage, write_stage
 
 _NEXT = "__next"
 
@@ -162,6 +162,7 @@ def overwrite_partitions(rows: DataFrame, table: str) -> None:
     staged = writer.read.schema(rows.schema).parquet(path)
     laid_out(staged, stored_layout(spark, table)).write.insertInto(name, overwrite=True)
     spark.catalog.refreshTable(table)
+    drop_stage(spark, path)
 
 
 def truncate_tables(spark: SparkSession, tables: Iterable[str]) -> None:
@@ -176,6 +177,16 @@ def add_columns(spark: SparkSession, table: str, fields: Iterable) -> None:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added})")
 
 
+def refuse_cut_collisions(names: Iterable[str]) -> None:
+    """Fail if different names become one only because stored names keep their last characters."""
+    whole: dict[str, str] = {}
+    for name in names:
+        if not is_bookkeeping(name):
+            stored, full = column_name(name), column_name(name, len(name) + 1)
+            if whole.setdefault(stored, full) != full:
+                raise ValueError(f"columns {whole[stored]} and {full} would both be stored as {stored}: rename one")
+
+
 def upsert_table(
     spark: SparkSession,
     batch: DataFrame,
@@ -196,6 +207,7 @@ def upsert_table(
     name = table.split(".")[-1]
     keys = list(keys or fv.NATURAL_KEYS[name])
     stored_names = [c if is_bookkeeping(c) else column_name(c) for c in batch.columns]
+    refuse_cut_collisions(batch.columns)
     batch = coalesce_duplicates(batch.toDF(*stored_names))
     require_columns(batch, keys)
     hidden = [c for c in batch.columns if is_bookkeeping(c)]
@@ -216,9 +228,9 @@ def upsert_table(
             # One value per day of the batch: bounded by the calendar.
             found = batch.select(day.cast("date")).distinct().collect()
             days = [r[0] for r in found if r[0] is not None]
-        else:
-            outside = F.raise_error(F.lit(f"{partition[0]} outside the days to load"))
-            batch = batch.withColumn(partition[0], F.when(day.isNull() | day.cast("date").isin(list(days)), day).otherwise(outside))
+        # Also where the days were found: the source may have changed since.
+        outside = F.raise_error(F.lit(f"{partition[0]} outside the days to load"))
+        batch = batch.withColumn(partition[0], F.when(day.isNull() | day.cast("date").isin(list(days)), day).otherwise(outside))
         target = target.where(day.isin(list(days)))
     merged = upsert(target, batch, keys, order, absent).select(*[quoted(c) for c in target.columns])
     if partition:

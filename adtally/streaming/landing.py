@@ -13,18 +13,19 @@ from pyspark.sql.streaming import StreamingQuery
 
 from adtally.fixed_values import LEVEL_IDS
 from adtally.plans.loads import load_facts
-from adtally.session import scratch_path
-from adtally.sources.landed import ARRIVAL_ORDER, arrival_columns, insight_schema
+from adtally.session import drop_stage, write_stage
+from adtally.sources.landed import ARRIVAL_ORDER, UNREADABLE, arrival_columns, insight_schema, readable, with_unreadable
 
 
 def read_landing(spark: SparkSession, path: str, level: str, breakdowns: Sequence[str] = (), files_per_batch: int = 1000) -> DataFrame:
-    """Stream of delivery records with the arrival of their file for order."""
+    """Stream of delivery records with the arrival of their file for order; lines that are no object are skipped."""
     records = (
-        spark.readStream.schema(insight_schema(level, breakdowns))
+        spark.readStream.schema(with_unreadable(insight_schema(level, breakdowns)))
+        .option("columnNameOfCorruptRecord", UNREADABLE)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(path)
     )
-    return arrival_columns(records)
+    return readable(arrival_columns(records))
 
 
 def stream_facts(
@@ -32,24 +33,28 @@ def stream_facts(
     path: str,
     level: str,
     database: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     breakdowns: Sequence[str] = (),
+    files_per_batch: int = 1000,
     **known: object,
 ) -> StreamingQuery:
-    """Upsert everything landed so far and stop; run again for what lands later."""
+    """Upsert everything landed so far and stop; run again with the same ``checkpoint`` for what lands later."""
     if level not in LEVEL_IDS:
         raise ValueError(f"unknown level: {level}")
 
     def load(batch: DataFrame, _epoch: int) -> None:
-        batch = batch.withColumn("_line", F.monotonically_increasing_id())
-        table = load_facts(batch.sparkSession, batch, level, database, ARRIVAL_ORDER, breakdowns, **known)
+        # Several jobs look at a batch; it is read from its files once.
+        own = batch.sparkSession
+        path = write_stage(batch.withColumn("_line", F.monotonically_increasing_id()), "landing-batch")
+        table = load_facts(own, own.read.parquet(path), level, database, ARRIVAL_ORDER, breakdowns, **known)
         # Batches run in a session of their own; the caller's must forget the files they replaced.
         spark.catalog.refreshTable(table)
+        drop_stage(spark, path)
 
     return (
-        read_landing(spark, path, level, breakdowns)
+        read_landing(spark, path, level, breakdowns, files_per_batch)
         .writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint or scratch_path(spark, "landing"))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )

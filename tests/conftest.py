@@ -8,11 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from adtally.session import build_session
 
     session = build_session(
-        "adtally-tests", "local[4]", spark__sql__shuffle__partitions=4, spark__ui__enabled="false",
+        "adtally-tests", "local[4]", scratch=str(tmp_path_factory.mktemp("scratch")), spark__sql__shuffle__partitions=4, spark__ui__enabled="false",
         spark__driver__memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")

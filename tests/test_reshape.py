@@ -43,8 +43,26 @@ def test_metric_lists_become_columns(spark):
 
 
 def test_declared_metric_types_need_no_job(spark):
-    wide = reshape.expand_metrics(metrics(spark), {"m": ["x", "never"]})
+    wide = reshape.expand_metrics(metrics(spark), {"m": ["x", "never"]}, unknown="keep")
     assert [(r["m_x"], r["m_never"]) for r in dicts(wide.orderBy("k"))] == [("3", None), (None, None), (None, None)]
+    # What has no column stays.
+    assert [r["m_other"] for r in dicts(wide.orderBy("k"))][:2] == ['{"a_b_c":"1"}', '{"by_indicator":"4"}']
+
+
+def test_metric_types_that_were_not_declared_fail(spark):
+    with pytest.raises(Exception, match="m has a metric type that was not named"):
+        reshape.expand_metrics(metrics(spark), {"m": ["x"]}).collect()
+    named = {"m": ["x", "a_b_c", "by_indicator"]}
+    assert reshape.expand_metrics(metrics(spark), named).count() == metrics(spark).count()
+
+
+def test_declared_numbers_that_are_text_fail(spark):
+    df = spark.createDataFrame([("1", " "), ("2.5", None)], "spend STRING, other STRING")
+    assert dicts(reshape.cast_numbers(df, ["spend", "other"])) == [
+        {"spend": 1.0, "other": None}, {"spend": 2.5, "other": None}
+    ]
+    with pytest.raises(Exception, match="spend holds text that is no number: 5 EUR"):
+        reshape.cast_numbers(spark.createDataFrame([("5 EUR",)], "spend STRING"), ["spend"]).collect()
 
 
 def test_long_metrics_pivot_back_to_the_wide_ones(spark):

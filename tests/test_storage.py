@@ -3,6 +3,7 @@
 import json
 import uuid
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -398,3 +399,70 @@ def test_text_days_become_dates_only_if_all_do(spark):
     bad = good.union(spark.createDataFrame([("soon",)], good.schema))
     assert day_if_all_parse(bad, "date_start").schema == bad.schema
     assert day_if_all_parse(good, "absent").columns == good.columns
+
+
+def test_rows_read_do_not_depend_on_the_columns_selected(spark, tmp_path):
+    path = put_lines(tmp_path / "in", [
+        {"ad_id": "1", "spend": "2", "actions": [{"action_type": "a", "value": "2"}]},
+        {"ad_id": "2", "spend": "3", "actions": {"action_type": "b"}}, '{"ad_id": "cut', "7", "[1]",
+    ])
+    records = landed.read_records(spark, path, landed.insight_schema("ad"))
+    assert rows(records.select("ad_id"), "ad_id") == [("1",), ("2",)]
+    assert [(r["ad_id"], r["spend"]) for r in records.select("ad_id", "spend", "actions").orderBy("ad_id").collect()] == [
+        ("1", "2"), ("2", "3")
+    ]
+    assert records.count() == 2 and landed.unreadable_lines(spark, path).count() == 3
+    raw = spark.createDataFrame([(1, '{"ad_id": "1", "actions": {"k": 1}}'), (2, "{cut"), (3, "7")], "id BIGINT, payload STRING")
+    decoded = landed.decode_payload(raw, landed.insight_schema("ad"))
+    assert rows(decoded.select("_raw_id", "ad_id")) == [(1, "1")] and decoded.count() == 1
+
+
+def test_names_that_only_cutting_makes_equal_are_refused():
+    tables.refuse_cut_collisions(["spend", "Spend", "a" * 70])
+    with pytest.raises(ValueError, match="would both be stored"):
+        tables.refuse_cut_collisions(["x_" + "a" * 70, "y_" + "a" * 70])
+
+
+def test_days_that_cannot_be_read_fail(spark):
+    for day in ("01.01.2024", None):
+        records = spark.createDataFrame([("2024-01-01",), (day,)], "date_start STRING")
+        with pytest.raises(Exception, match="date_start is no date"):
+            loads._between(records, "2024-01-01", "2024-01-02").collect()
+
+
+def test_stages_of_partitions_go_once_they_are_in_place(spark, tmp_path):
+    name = f"stages_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {name}")
+    facts = spark.sql("SELECT 'a' ad_id, DATE'2024-01-01' date_start, DATE'2024-01-01' date_stop, 1.0D spend, 1 _n")
+    before = set((Path(scratch_root(spark)) / "adtally").glob("*"))
+    for _ in range(3):
+        tables.upsert_table(spark, facts, f"{name}.{fv.AD_FACT}", ["_n"])
+    left = set((Path(scratch_root(spark)) / "adtally").glob("*")) - before
+    assert not [p for p in left if p.name.startswith(fv.AD_FACT)]
+
+
+def test_clusters_plan_many_shuffle_partitions(spark):
+    from adtally import session
+
+    class Builder:
+        settings: dict = {}
+
+        def appName(self, _):
+            return self
+
+        def config(self, key, value):
+            self.settings[key] = value
+            return self
+
+        master = appName
+
+        def getOrCreate(self):
+            return self.settings
+
+    original, session.SparkSession = session.SparkSession, type("S", (), {"builder": Builder()})
+    try:
+        built = session.build_session(scratch="/shared")
+    finally:
+        session.SparkSession = original
+    assert int(built["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) == session.SHUFFLE_WIDTH >= 4000
+    assert built["spark.checkpoint.dir"] == "/shared"

@@ -154,11 +154,15 @@ def train(sample: list[tuple[bytes, int]], balance: float = BALANCE) -> Model:
     text_of = np.concatenate([text_of, np.arange(len(sample))])
     origin, swapped = counterfactuals(found, sentence, terms)
     n, made = len(text_of), len(origin)
-    rows = np.repeat(np.concatenate([sentence, n + swapped.sentence]), columns)
-    place, hit = _look_up(vocabulary, np.concatenate([found.features.ravel(), swapped.features.ravel()]))
-    cells = np.unique(rows[hit] * len(vocabulary) + place[hit])  # a feature counts once in a sentence
+    cells = []
+    for part, of_sentence in ((found.features, sentence), (swapped.features, n + swapped.sentence)):
+        for column in range(columns):
+            place, hit = _look_up(vocabulary, part[:, column])
+            cells.append(of_sentence[hit] * len(vocabulary) + place[hit])
+    del found, swapped
+    cells = np.unique(np.concatenate(cells))  # a feature counts once in a sentence
     rows, place = cells // len(vocabulary), cells % len(vocabulary)
-    del found, cells, hit
+    del cells, hit
 
     # Start from how much likelier a feature is in texts with label 1.
     at, held = _look_up(vocabulary, known)

@@ -28,6 +28,8 @@ from adtally.llm.rows import per_text
 WORD_END = "</w>"
 #: Words whose encoding a worker remembers; then it starts anew.
 REMEMBERED = 150_000
+#: Symbols by which the longest arc that may follow is looked up.
+HEAD = 3
 #: Arcs whose fate a worker remembers.
 ARCS = 2_000_000
 
@@ -67,11 +69,21 @@ def compile_gadgets(model: str) -> dict:
     special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
     return {
         "vocab": vocab, "cuts": cuts, "made": made, "special": special,
-        "labels": {i: t for t, i in (vocab | special).items()}, "longest": max(map(len, vocab)),
+        "labels": {i: t for t, i in (vocab | special).items()}, "reach": _reach(vocab),
         "arcs": {}, "words": {},
     }
 
 
+def _reach(vocab: dict[str, int]) -> dict[str, int]:
+    """The length of the longest token, without the word's end, that begins with each ``HEAD`` symbols."""
+    longest: dict[str, int] = {}
+    for token in vocab:
+        symbols = token.removesuffix(WORD_END)
+        if len(symbols) >= HEAD:
+            longest[symbols[:HEAD]] = max(len(symbols), longest.get(symbols[:HEAD], 0))
+    return longest
+
+
 def arc_open(tables: dict, last: int, token: int) -> bool:
     """Whether the state after ``last`` has an arc ``token``."""
     cuts, made, never = tables["cuts"], tables["made"], len(tables["made"]) + 1
@@ -91,31 +103,39 @@ def arc_open(tables: dict, last: int, token: int) -> bool:
 
 
 def encode_word(tables: dict, word: str) -> list[int]:
-    """The token path of a pre-split word in byte symbols; each of its prefixes has just one."""
-    vocab, arcs, longest = tables["vocab"], tables["arcs"], tables["longest"]
-    last, came = [-1] * (len(word) + 1), [0] * (len(word) + 1)
-    for end in range(1, len(word) + 1):
-        closing = WORD_END if end == len(word) else ""
-        for start in range(max(0, end - longest), end):
-            token = vocab.get(word[start:end] + closing)
-            if token is None:
-                continue
-            if start:
-                key = last[start] << 32 | token
+    """The token path of a pre-split word in byte symbols; each of its prefixes has just one.
+
+    Longer arcs are tried first. As a prefix has one path only, a place that leads nowhere is given up for good.
+    """
+    vocab, arcs, reach, size = tables["vocab"], tables["arcs"], tables["reach"], len(word)
+    path, starts, lost = [], [], set()
+    at, last, end = 0, -1, min(size, reach.get(word[:HEAD], HEAD - 1))
+    while at < size:
+        while end > at:
+            token = vocab.get(word[at:end] if end < size else word[at:] + WORD_END)
+            if token is not None and end not in lost:
+                if not at:
+                    break
+                key = last << 32 | token
                 go = arcs.get(key)
                 if go is None:
                     if len(arcs) >= ARCS:
                         arcs.clear()
-                    go = arcs[key] = arc_open(tables, last[start], token)
-                if not go:
-                    continue
-            last[end], came[end] = token, start
-            break
-    path, end = [], len(word)
-    while end:
-        path.append(last[end])
-        end = came[end]
-    return path[::-1]
+                    go = arcs[key] = arc_open(tables, last, token)
+                if go:
+                    break
+            end -= 1
+        if end > at:
+            path.append(token)
+            starts.append(at)
+            last, at = token, end
+            end = min(size, at + reach.get(word[at:at + HEAD], HEAD - 1))
+        else:
+            lost.add(at)
+            path.pop()
+            at, end = starts.pop(), at - 1
+            last = path[-1] if path else -1
+    return path
 
 
 SYMBOLS = byte_symbols()
@@ -130,11 +150,13 @@ def _chunk(tables: dict, chunk: str) -> tuple[tuple[int, ...], str, str]:
     """Tokens of a run without blanks: ids, ids as text, labels as text."""
     words = tables["words"]
     ids: list[int] = []
-    for piece in PIECES.findall(chunk):
-        if piece in words:
-            ids += words[piece][0]
+    pieces = PIECES.findall(chunk)
+    for piece in pieces:
+        if len(pieces) > 1:
+            ids += (words.get(piece) or _chunk(tables, piece))[0]
         else:
-            ids += encode_word(tables, "".join([SYMBOLS[b] for b in piece.encode()]))
+            plain = piece.isascii() and piece.isprintable()
+            ids += encode_word(tables, piece if plain else "".join([SYMBOLS[b] for b in piece.encode()]))
     labels = tables["labels"]
     if len(words) >= REMEMBERED:
         words.clear()

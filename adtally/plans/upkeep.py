@@ -23,7 +23,7 @@ def erase_accounts(spark: SparkSession, database: str, delete_list: DataFrame, c
 
     Returns rows per table and in total, counted before anything changes. The
     links through dimensions are resolved on the state before the erasure, so
-    it does not matter which table goes first.
+    it does not matter which table goes first. Tables without such rows keep their files.
     """
     names = tables.table_names(spark, database)
     frames = {n: spark.table(f"{database}.{n}") for n in names}
@@ -32,7 +32,9 @@ def erase_accounts(spark: SparkSession, database: str, delete_list: DataFrame, c
     if confirm:
         linked = {n: k for n, k in _LINK_KEYS.items() if n in frames and "account_id" in frames[n].columns}
         dims = {n: stage(frames[n].select(k, "account_id"), n) for n, k in linked.items()}
-        for name in names:
+        # One row per table.
+        touched = {r["table_name"] for r in report.where("rows_erased > 0").collect()}
+        for name in (n for n in names if n in touched):
             kept = surviving_rows(name, frames[name], targets, {**frames, **dims})
             if kept is not None:
                 tables.replace_table(kept, f"{database}.{name}")

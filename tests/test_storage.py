@@ -279,6 +279,16 @@ def test_erasure_needs_confirmation(spark, database):
     assert rows(spark.table(f"{database}.{fv.ADS}").select("ad_id")) == [("a2",)]
 
 
+def test_erasure_leaves_files_of_untouched_tables_alone(spark, database):
+    tables.write_table(spark.sql("SELECT * FROM VALUES ('a1', '1'), ('a2', '2') AS t(ad_id, account_id)"), f"{database}.{fv.ADS}")
+    tables.write_table(spark.sql("SELECT 's2' AS adset_id, '2' AS account_id"), f"{database}.{fv.ADSETS}")
+    before = {r[0] for r in spark.table(f"{database}.{fv.ADSETS}").select("_metadata.file_path").collect()}
+    marked = spark.createDataFrame([("act_1", "x", "YES")], "account_id STRING, account_name STRING, delete STRING")
+    upkeep.erase_accounts(spark, database, marked, confirm=True)
+    assert {r[0] for r in spark.table(f"{database}.{fv.ADSETS}").select("_metadata.file_path").collect()} == before
+    assert rows(spark.table(f"{database}.{fv.ADS}").select("ad_id")) == [("a2",)]
+
+
 def test_combined_table_counts_its_rows(spark, database):
     for name, sql in {
         fv.AD_FACT: "SELECT 'a' AS ad_id, DATE'2024-01-01' AS date_start, '1' AS account_id, 2.0D AS spend",

@@ -13,9 +13,14 @@ NAME_LIMIT = 63
 MIRROR_NAME_LIMIT = 300
 
 
+def ticked(name: str) -> str:
+    """A literal name in SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
     """A column by its literal name, dots included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(ticked(name))
 
 
 def is_bookkeeping(name: str) -> bool:

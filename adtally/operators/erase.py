@@ -11,9 +11,6 @@ from adtally import fixed_values as fv
 from adtally.functions.accounts import both_spellings
 from adtally.functions.coerce import stripped
 
-# Where a table without an account column finds it: (entity column, dimension), first match wins.
-ENTITY_LINKS = [("ad_id", fv.ADS), ("adset_id", fv.ADSETS), ("campaign_id", fv.CAMPAIGNS)]
-
 
 def delete_targets(rows: DataFrame) -> DataFrame:
     """Account ids and names marked for deletion in an all-text list."""
@@ -37,7 +34,7 @@ def victim_keys(table: str, df: DataFrame, targets: DataFrame, dims: Mapping[str
         return "id", targets.select(F.col("account_id").alias("id")).distinct()
     if "account_id" in df.columns:
         return "account_id", spellings
-    for column, dim_name in ENTITY_LINKS:
+    for column, dim_name in fv.ENTITY_LINKS:
         dim = dims.get(dim_name)
         if column in df.columns and dim is not None and "account_id" in dim.columns:
             return column, dim.join(spellings, "account_id", "left_semi").select(column).distinct()

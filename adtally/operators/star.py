@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adtally import fixed_values as fv
 from adtally.functions.accounts import without_prefix
-from adtally.functions.names import quoted
+from adtally.functions.names import quoted, ticked
 
 
 def star_view(
@@ -27,47 +27,74 @@ def star_view(
     forced to broadcast: Spark does so below its size threshold and otherwise
     splits skewed partitions of the fact.
     """
-    picks = [
-        (fv.VIEW_ACCOUNTS, accounts), (fv.VIEW_ADS, ads), (fv.VIEW_CREATIVES, creatives),
-        (fv.VIEW_CAMPAIGNS, campaigns), (fv.VIEW_ADSETS, adsets),
-    ]
-    per_dim = [_selected(columns, dim) for columns, dim in picks]
-    of_account, of_ad, of_creative, of_campaign, of_adset = per_dim
-    fallbacks = _fallbacks(creatives)
-    fixed = [c for c in fv.VIEW_FACT if c in fact.columns]
-    dynamic = sorted(set(fact.columns) - fv.VIEW_NOT_DYNAMIC)
-    names = [n for part in per_dim for n in part] + list(fallbacks)
-    clashes = sorted(set(names) & set(fixed + dynamic))
-    if clashes:
-        raise ValueError(f"fact and dimension columns share names: {clashes}")
+    dims = {"accounts": accounts, "ads": ads, "creatives": creatives, "campaigns": campaigns, "adsets": adsets}
+    shown, sources = star_columns({n: d.columns for n, d in {"fact": fact, **dims}.items() if d is not None})
+    of = {dim: {n: F.coalesce(*map(quoted, cs)) for n, cs in part.items()} for dim, part in sources.items()}
 
     creative_side = creatives.select(
-        F.col("creative_id").alias("_creative"),
-        *[c.alias(n) for n, c in (of_creative | fallbacks).items()],
+        F.col("creative_id").alias("_creative"), *[c.alias(n) for n, c in of["creatives"].items()]
     )
     ad_side = ads.select(
         F.col("ad_id").alias("_ad"), F.col("creative_id").alias("_ad_creative"),
-        *[c.alias(n) for n, c in of_ad.items()],
+        *[c.alias(n) for n, c in of["ads"].items()],
     ).join(creative_side, F.col("_ad_creative") == F.col("_creative"), "left")
-    joined = _attach(fact, "account_id", accounts, without_prefix(F.col("id")), of_account)
+    joined = _attach(fact, "account_id", accounts, without_prefix(F.col("id")), of["accounts"])
     joined = joined.join(ad_side, F.col("ad_id") == F.col("_ad"), "left")
     if campaigns is not None:
-        joined = _attach(joined, "campaign_id", campaigns, F.col("campaign_id"), of_campaign)
+        joined = _attach(joined, "campaign_id", campaigns, F.col("campaign_id"), of["campaigns"])
     if adsets is not None:
-        joined = _attach(joined, "adset_id", adsets, F.col("adset_id"), of_adset)
-    return joined.select(*[quoted(c) for c in [*fixed, *names, *dynamic]])
-
+        joined = _attach(joined, "adset_id", adsets, F.col("adset_id"), of["adsets"])
+    return joined.select(*[quoted(c) for c in shown])
 
-def _selected(columns: Mapping[str, str], dim: DataFrame | None) -> dict[str, Column]:
-    if dim is None:
-        return {}
-    return {name: quoted(c) for c, name in columns.items() if c in dim.columns}
 
+def star_columns(have: Mapping[str, Sequence[str]]) -> tuple[list[str], dict[str, dict[str, list[str]]]]:
+    """The view's columns in order, and for each dimension its names in the view with the columns each comes from.
 
-def _fallbacks(creatives: DataFrame) -> dict[str, Column]:
-    """First available of several columns; a name with no source column is left out."""
-    found = {name: [quoted(c) for c in sources if c in creatives.columns] for name, sources in fv.VIEW_FALLBACKS.items()}
-    return {name: F.coalesce(*sources) for name, sources in found.items() if sources}
+    ``have`` lists the columns of ``fact`` and of the dimensions that exist. A name takes the first non-NULL of its
+    columns; a name with no column is left out.
+    """
+    picks = {
+        "accounts": fv.VIEW_ACCOUNTS, "ads": fv.VIEW_ADS, "creatives": fv.VIEW_CREATIVES,
+        "campaigns": fv.VIEW_CAMPAIGNS, "adsets": fv.VIEW_ADSETS,
+    }
+    of = {dim: {n: [c] for c, n in part.items() if c in have.get(dim, ())} for dim, part in picks.items()}
+    found = {n: [c for c in columns if c in have["creatives"]] for n, columns in fv.VIEW_FALLBACKS.items()}
+    fallbacks = {n: columns for n, columns in found.items() if columns}
+    fixed = [c for c in fv.VIEW_FACT if c in have["fact"]]
+    dynamic = sorted(set(have["fact"]) - fv.VIEW_NOT_DYNAMIC)
+    names = [n for part in of.values() for n in part] + list(fallbacks)
+    clashes = sorted(set(names) & set(fixed + dynamic))
+    if clashes:
+        raise ValueError(f"fact and dimension columns share names: {clashes}")
+    of["creatives"] |= fallbacks
+    return [*fixed, *names, *dynamic], of
+
+
+def star_sql(relations: Mapping[str, str], have: Mapping[str, Sequence[str]]) -> str:
+    """The view of ``star_view`` as SQL text over named tables, which a catalog can keep."""
+    shown, of = star_columns(have)
+    side = {n: "ads" if dim == "creatives" else dim for dim, part in of.items() for n in part}
+
+    def picked(dim: str) -> str:
+        sources = {n: ", ".join(f"{dim}.{ticked(c)}" for c in columns) for n, columns in of[dim].items()}
+        return "".join(f", coalesce({columns}) AS {ticked(n)}" for n, columns in sources.items())
+
+    account = f"regexp_replace(accounts.id, '^{fv.ACCOUNT_PREFIX}', '')"
+    joins = [
+        f"LEFT JOIN (SELECT {account} AS _key{picked('accounts')} FROM {relations['accounts']} AS accounts) AS accounts"
+        " ON fact.account_id = accounts._key",
+        f"LEFT JOIN (SELECT ads.ad_id AS _key{picked('ads')}{picked('creatives')} FROM {relations['ads']} AS ads"
+        f" LEFT JOIN {relations['creatives']} AS creatives ON ads.creative_id = creatives.creative_id) AS ads"
+        " ON fact.ad_id = ads._key",
+    ]
+    for dim, key in (("campaigns", "campaign_id"), ("adsets", "adset_id")):
+        if dim in relations:
+            joins.append(
+                f"LEFT JOIN (SELECT {dim}.{key} AS _key{picked(dim)} FROM {relations[dim]} AS {dim}) AS {dim}"
+                f" ON fact.{key} = {dim}._key"
+            )
+    columns = ", ".join(f"{side.get(c, 'fact')}.{ticked(c)}" for c in shown)
+    return f"SELECT {columns} FROM {relations['fact']} AS fact {' '.join(joins)}"
 
 
 def _attach(df: DataFrame, key: str, dim: DataFrame, dim_key: Column, columns: Mapping[str, Column]) -> DataFrame:

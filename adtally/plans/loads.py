@@ -10,15 +10,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adtally import fixed_values as fv
 from adtally.functions.coerce import to_utc_timestamp
-from adtally.functions.names import fact_table_name, is_bookkeeping, quoted
+from adtally.functions.names import column_name, fact_table_name, is_bookkeeping, quoted
 from adtally.operators import reshape, windows
 from adtally.operators.fieldmap import FieldMap, apply_field_map
 from adtally.operators.keyed import creatives_of_ads, keep_first
 from adtally.operators.profile import numeric_text_columns
-from adtally.operators.star import star_view
+from adtally.operators.star import star_sql, star_view
 from adtally.plans.sync import sync_tables
 from adtally.sources import landed
-from adtally.sources.tables import materialise, upsert_table, write_table
+from adtally.sources.tables import layout_of, materialise, upsert_table, write_table
+
+
+#: Windows that a job of a range load writes and marks together: a quarter of a year at seven days each.
+WINDOWS_PER_JOB = 13
 
 
 def normalise_facts(
@@ -60,13 +64,20 @@ def load_facts(
     breakdowns: Sequence[str] = (),
     fields: FieldMap | None = None,
     days: Sequence[date] | None = None,
+    buckets: int = 0,
     **known: object,
 ) -> str:
-    """Normalise and upsert delivery records; returns the table written. ``days`` spares the job that finds them."""
+    """Normalise and upsert delivery records; returns the table written.
+
+    ``days`` spares the job that finds them. Rows are keyed by entity, day and whatever breakdowns there are. A new
+    table is bucketed by its entity if ``buckets`` says into how many.
+    """
     table = f"{database}.{fact_table_name(level, breakdowns)}"
     facts = normalise_facts(records, level, breakdowns, fields, **known)
     dates = {c: F.to_date(quoted(c)) for c in ("date_start", "date_stop")}
-    upsert_table(spark, facts.withColumns(dates), table, order, days=days)
+    keys = [fv.LEVEL_IDS[level], "date_start", *(column_name(b) for b in breakdowns if b.strip())]
+    layout = layout_of(table, buckets, keys)
+    upsert_table(spark, facts.withColumns(dates), table, order, keys, days=days, layout=layout)
     return table
 
 
@@ -91,15 +102,15 @@ def load_range(
     breakdowns: Sequence[str] = (),
     fields: FieldMap | None = None,
     force: bool = False,
-    windows_per_job: int | None = None,
+    windows_per_job: int = WINDOWS_PER_JOB,
     **known: object,
 ) -> DataFrame:
     """Load the windows of a range that are not marked complete, and mark them once they are written.
 
-    All windows are one job, or several windows each with ``windows_per_job``;
-    then a failure costs only the windows of its job, but the records are read
-    once per job, so they should be stored by day. Returns the windows loaded
-    with the rows stored for each. A failed write marks nothing.
+    A job takes ``windows_per_job`` of them, and a failure costs only the
+    windows of its job. The records are read once per job, so they should be
+    stored by day. Returns the windows loaded with the rows stored for each.
+    A failed write marks nothing.
     """
     checkpoint_table = f"{database}.{fv.CHECKPOINT}"
     if not spark.catalog.tableExists(checkpoint_table):
@@ -110,10 +121,9 @@ def load_range(
     todo = windows.remaining_windows(windows.date_windows(bounds, days), done, force)
     # As short as the calendar, and fixed before the checkpoint it was derived from changes.
     listed = sorted(todo.collect())
-    per_job = windows_per_job or max(len(listed), 1)
     loaded = spark.createDataFrame([], "since DATE, until DATE, rows_loaded BIGINT")
-    for start in range(0, len(listed), per_job):
-        part = listed[start : start + per_job]
+    for start in range(0, len(listed), windows_per_job):
+        part = listed[start : start + windows_per_job]
         due = [since + timedelta(n) for since, until in part for n in range((until - since).days + 1)]
         chosen_windows = spark.createDataFrame(part, "since DATE, until DATE")
         chosen = windows.in_windows(_between(records, due[0], due[-1]), chosen_windows, "_day").drop("_day")
@@ -261,8 +271,7 @@ def _store_dimension(spark: SparkSession, rows: DataFrame, plan: Dimension, data
     table = f"{database}.{plan.table}"
     upsert_table(spark, rows, table, order, fv.NATURAL_KEYS[plan.table])
     if plan.table == fv.ADS:
-        creatives = creatives_of_ads(rows, order).withColumn("_one", F.lit(1))
-        upsert_table(spark, creatives, f"{database}.{fv.CREATIVES}", ["_one"])
+        upsert_table(spark, creatives_of_ads(rows, order), f"{database}.{fv.CREATIVES}", None)
     return table
 
 
@@ -301,10 +310,19 @@ def full_view(spark: SparkSession, database: str) -> DataFrame:
 
 
 def create_full_view(spark: SparkSession, database: str) -> bool:
-    """Define the view anew, as after any change to its tables; False while a required table is missing."""
-    if not all(spark.catalog.tableExists(f"{database}.{n}") for n in (fv.AD_FACT, fv.ACCOUNTS, fv.ADS, fv.CREATIVES)):
+    """Define the database's view, which reads its tables by name; False while a required table is missing.
+
+    It stays readable after any later load; columns that tables gain show once it is defined anew.
+    """
+    names = {
+        "fact": fv.AD_FACT, "accounts": fv.ACCOUNTS, "ads": fv.ADS, "creatives": fv.CREATIVES,
+        "campaigns": fv.CAMPAIGNS, "adsets": fv.ADSETS,
+    }
+    stored = {n: f"{database}.{table}" for n, table in names.items() if spark.catalog.tableExists(f"{database}.{table}")}
+    if not {"fact", "accounts", "ads", "creatives"} <= set(stored):
         return False
-    full_view(spark, database).createOrReplaceTempView(fv.FULL_VIEW)
+    columns = {n: spark.table(table).columns for n, table in stored.items()}
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.{fv.FULL_VIEW} AS {star_sql(stored, columns)}")
     return True
 
 

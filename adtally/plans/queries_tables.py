@@ -15,7 +15,7 @@ from adtally.operators.keyed import keep_last
 from adtally.plans import driver_model as m, loads, upkeep
 from adtally.plans.driver_model import Tables
 from adtally.plans.queries_keyed import account_tables, delete_list
-from adtally.plans.queries_reporting import goal_rows
+from adtally.plans.queries_reporting import STAR_SQL, goal_rows
 from adtally.plans.refresh import refresh_range
 from adtally.plans.registered import query
 from adtally.plans.sync import sync_tables
@@ -291,6 +291,59 @@ def sync_merge(t: Tables) -> DataFrame:
     return m.doubles(merged.withColumn("reach", F.col("reach").cast("double")))
 
 
+@query(
+    "sync_merge_days",
+    f"""
+    SELECT CAST(o_custkey AS VARCHAR) AS ad_id, {MONTH_SQL} AS date_start,
+           CASE WHEN {MONTH_SQL} < DATE '1995-01-01' THEN CAST(max(o_orderkey) AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS clicks
+    FROM orders GROUP BY 1, 2
+    """,
+)
+def sync_merge_days(t: Tables) -> DataFrame:
+    """Facts mirrored once, changed, and mirrored again for the days of some years only."""
+    database, mirror = _source(t, "merge_days")
+    facts = t.orders.groupBy(m.text("o_custkey").alias("ad_id"), month().alias("date_start")).agg(F.max("o_orderkey").alias("clicks"))
+    tables.write_table(facts, f"{database}.{fv.AD_FACT}")
+    tables.write_table(facts.withColumn("clicks", F.lit(0).cast("bigint")), f"{mirror}.{fv.AD_FACT}")
+    early = t.spark.table(f"{database}.{fv.AD_FACT}").where("date_start < DATE'1995-01-01'").select("date_start").distinct()
+    sync_tables(t.spark, database, mirror, [fv.AD_FACT], days=[r[0] for r in early.collect()])
+    stored = t.spark.table(f"{mirror}.{fv.AD_FACT}")
+    return stored.select("ad_id", "date_start", F.col("clicks").cast("double").alias("clicks"))
+
+
+def _star_tables(t: Tables, database: str) -> None:
+    frames = {
+        fv.AD_FACT: m.delivery(t), fv.ACCOUNTS: m.accounts(t), fv.ADS: m.ads(t), fv.CAMPAIGNS: m.campaigns(t),
+        fv.ADSETS: m.adsets(t), fv.CREATIVES: m.creatives(t).withColumn("title", F.lit("old")),
+    }
+    for name, df in frames.items():
+        tables.write_table(df, f"{database}.{name}", layout=tables.Layout())
+
+
+@query("full_view_table", STAR_SQL)
+def full_view_table(t: Tables) -> DataFrame:
+    """The catalog's view, read after a dimension below it was replaced."""
+    database = m.new_database(t.spark, "view")
+    _star_tables(t, database)
+    loads.create_full_view(t.spark, database)
+    tables.replace_table(m.creatives(t), f"{database}.{fv.CREATIVES}")
+    return m.doubles(t.spark.table(f"{database}.{fv.FULL_VIEW}"))
+
+
+@query(
+    "sync_view",
+    f"SELECT account_id, count(*) AS row_count, CAST(sum(spend) AS DOUBLE) AS spend FROM ({m.DELIVERY_SQL}) GROUP BY account_id",
+)
+def sync_view(t: Tables) -> DataFrame:
+    """The catalog's view mirrored as a table, counted per account from there."""
+    database, mirror = _source(t, "view")
+    _star_tables(t, database)
+    loads.create_full_view(t.spark, database)
+    sync_tables(t.spark, database, mirror, [fv.FULL_VIEW], create=True)
+    per_account = t.spark.table(f"{mirror}.{fv.FULL_VIEW}").groupBy("account_id")
+    return m.doubles(per_account.agg(F.count(F.lit(1)).alias("row_count"), F.sum("spend").alias("spend")))
+
+
 @query(
     "backup_restore",
     "SELECT CAST(o_orderkey AS VARCHAR) AS ad_id, o_orderstatus AS status FROM orders",

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adtally import fixed_values as fv
 from adtally.operators.keyed import prepare_for_mirror
@@ -48,11 +49,13 @@ def sync_tables(
     create: bool = False,
     exclude: Mapping[str, Sequence[str]] | None = None,
     rename: str | None = None,
+    days: Sequence[date] | None = None,
 ) -> list[str]:
-    """Mirror tables of database ``source`` into database ``mirror``; returns the mirrored names.
+    """Mirror tables, or named views, of database ``source`` into database ``mirror``; returns the mirrored names.
 
     Every table is checked before the first one is written. Partitions of the
-    source are the unit of work, so there are no chunks to size.
+    source are the unit of work, so there are no chunks to size. With ``days``
+    a fact table that is merged into an existing mirror takes only those along.
     """
     names = choose_tables(tables, table_names(spark, source), table_names(spark, mirror), create)
     if rename and len(names) != 1:
@@ -66,18 +69,23 @@ def sync_tables(
             raise ValueError(f"mirror table does not exist: {mirror}.{target}")
     for name, target in targets.items():
         rows = spark.table(f"{source}.{name}").drop(*(exclude or {}).get(name, ()))
-        _mirror(spark, rows, name, f"{mirror}.{target}", modes[name])
+        _mirror(spark, rows, name, f"{mirror}.{target}", modes[name], days)
     return names
 
 
-def _mirror(spark: SparkSession, rows: DataFrame, name: str, target: str, mode: str) -> None:
+def _mirror(
+    spark: SparkSession, rows: DataFrame, name: str, target: str, mode: str, days: Sequence[date] | None
+) -> None:
+    if mode != "merge" or fv.DATE_PARTITION not in fv.NATURAL_KEYS[name] or not spark.catalog.tableExists(target):
+        days = None
+    if days is not None:
+        rows = rows.where(F.col(fv.DATE_PARTITION).cast("date").isin(list(days)))
     prepared = prepare_for_mirror(rows, name)
     if name.startswith(fv.FACT_TABLE_PREFIX):
         prepared = day_if_all_parse(prepared, fv.DATE_PARTITION)
     if mode == "merge":
-        keys = fv.NATURAL_KEYS[name]
-        # Source tables hold a key once, so any order picks the same row.
-        upsert_table(spark, prepared, target, order=keys, keys=keys)
+        # Source tables hold a key once.
+        upsert_table(spark, prepared, target, order=None, keys=fv.NATURAL_KEYS[name], days=days)
     elif mode == "truncate" and prepared.isEmpty():
         truncate_tables(spark, [target])
     else:

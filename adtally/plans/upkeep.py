@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adtally import fixed_values as fv
 from adtally.operators import fieldmap
-from adtally.operators.erase import delete_targets, erase_report, surviving_rows
-from adtally.operators.goals import goals_vs_actual, read_goals
+from adtally.operators.erase import delete_targets, erase_report, erased_rows, surviving_rows
+from adtally.operators.goals import goals_sql, read_goals
 from adtally.operators.registry import merge_registry, registry_from_accounts, sort_registry
 from adtally.plans.loads import create_full_view
 from adtally.plans.sync import sync_tables
@@ -23,7 +23,8 @@ def erase_accounts(spark: SparkSession, database: str, delete_list: DataFrame, c
 
     Returns rows per table and in total, counted before anything changes. The
     links through dimensions are resolved on the state before the erasure, so
-    it does not matter which table goes first. Tables without such rows keep their files.
+    it does not matter which table goes first. Tables, and days of facts,
+    without such rows keep their files.
     """
     names = tables.table_names(spark, database)
     frames = {n: spark.table(f"{database}.{n}") for n in names}
@@ -35,9 +36,10 @@ def erase_accounts(spark: SparkSession, database: str, delete_list: DataFrame, c
         # One row per table.
         touched = {r["table_name"] for r in report.where("rows_erased > 0").collect()}
         for name in (n for n in names if n in touched):
-            kept = surviving_rows(name, frames[name], targets, {**frames, **dims})
+            links = {**frames, **dims}
+            kept = surviving_rows(name, frames[name], targets, links)
             if kept is not None:
-                tables.replace_table(kept, f"{database}.{name}")
+                tables.remove_rows(erased_rows(name, frames[name], targets, links), kept, f"{database}.{name}")
         create_full_view(spark, database)
     return report
 
@@ -81,8 +83,9 @@ def load_goals(spark: SparkSession, database: str, csv_path: str, mirror: str |
         sync_tables(spark, database, mirror, [fv.GOALS], create=True)
     for place in filter(None, (mirror, database)):
         if spark.catalog.tableExists(f"{place}.{fv.COMBINED}"):
-            report = goals_vs_actual(spark.table(f"{place}.{fv.COMBINED}"), spark.table(f"{place}.{fv.GOALS}"))
-            report.createOrReplaceTempView(fv.GOALS_VIEW)
+            delivery = f"{place}.{fv.COMBINED}"
+            text = goals_sql(delivery, f"{place}.{fv.GOALS}", spark.table(delivery).columns)
+            spark.sql(f"CREATE OR REPLACE VIEW {place}.{fv.GOALS_VIEW} AS {text}")
             break
     return spark.table(f"{database}.{fv.GOALS}")
 

@@ -13,7 +13,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from adtally import fixed_values as fv
 from adtally.functions.names import column_name, is_bookkeeping, quoted
@@ -36,17 +36,19 @@ class Layout:
     buckets: int = 0
 
 
-def layout_of(table: str, buckets: int = 0) -> Layout:
+def layout_of(table: str, buckets: int = 0, keys: Sequence[str] | None = None) -> Layout:
     """The layout for a table name; with ``buckets`` it is bucketed by its entity id.
 
     Facts and a dimension bucketed by the same id into the same number join
-    without shuffling either.
+    without shuffling either. Such a join has no shuffle to split, so an id
+    with very many rows is one task.
     """
     name = table.split(".")[-1]
-    keys = fv.NATURAL_KEYS.get(name, [""])
-    if name.startswith(fv.FACT_TABLE_PREFIX):
-        return Layout((fv.DATE_PARTITION,), tuple(fv.FACT_CLUSTER), keys[0], buckets)
-    return Layout(bucket_key=keys[0], buckets=buckets if keys[0] else 0)
+    entity = (keys or fv.NATURAL_KEYS.get(name, [""]))[0]
+    buckets = buckets if entity else 0
+    if name.startswith(fv.FACT_TABLE_PREFIX) or name == fv.COMBINED:
+        return Layout((fv.DATE_PARTITION,), tuple(fv.FACT_CLUSTER), entity, buckets)
+    return Layout(bucket_key=entity, buckets=buckets)
 
 
 def stored_layout(spark: SparkSession, table: str) -> Layout:
@@ -165,6 +167,31 @@ def overwrite_partitions(rows: DataFrame, table: str) -> None:
     drop_stage(spark, path)
 
 
+def remove_rows(doomed: DataFrame, kept: DataFrame, table: str) -> None:
+    """Leave the rows ``kept`` of a table, which are its rows without ``doomed``.
+
+    Of a table by day only the days that lose rows are rewritten; a day left empty goes.
+    """
+    spark = kept.sparkSession
+    kept = kept.select(*[quoted(c) for c in spark.table(table).columns])
+    partition = stored_layout(spark, table).partition
+    if len(partition) != 1 or not isinstance(kept.schema[partition[0]].dataType, T.DateType):
+        replace_table(kept, table)
+        return
+    day = quoted(partition[0])
+    # Bounded by the calendar.
+    days = {r[0] for r in doomed.select(day).distinct().collect()}
+    if None in days:
+        replace_table(kept, table)
+        return
+    staying = {r[0] for r in kept.where(day.isin(list(days))).select(day).distinct().collect()}
+    if staying:
+        overwrite_partitions(kept.where(day.isin(list(staying))), table)
+    for empty in sorted(days - staying):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition[0]} = DATE'{empty}')")
+    spark.catalog.refreshTable(table)
+
+
 def truncate_tables(spark: SparkSession, tables: Iterable[str]) -> None:
     for table in tables:
         if spark.catalog.tableExists(table):
@@ -191,18 +218,20 @@ def upsert_table(
     spark: SparkSession,
     batch: DataFrame,
     table: str,
-    order: Sequence[str],
+    order: Sequence[str] | None,
     keys: Sequence[str] | None = None,
     absent: str = "keep",
     days: Sequence[date] | None = None,
+    layout: Layout | None = None,
 ) -> None:
     """Upsert a batch into a table, creating it or growing its columns first.
 
-    ``order`` says which batch row of a key is newest; bookkeeping columns are
-    not stored. Of a fact table only the day partitions the batch touches are
-    read and rewritten, staged in full before any is replaced. They are found
-    by a job over the batch's days, or given as ``days``, and then a batch row
-    of another day fails the load.
+    ``order`` says which batch row of a key is newest, or is None for a batch
+    that holds each key once; bookkeeping columns are not stored. Of a fact
+    table only the day partitions the batch touches are read and rewritten,
+    staged in full before any is replaced. They are found by a job over the
+    batch's days, or given as ``days``, and then a batch row of another day
+    fails the load. ``layout`` is that of a new table.
     """
     name = table.split(".")[-1]
     keys = list(keys or fv.NATURAL_KEYS[name])
@@ -212,14 +241,16 @@ def upsert_table(
     require_columns(batch, keys)
     hidden = [c for c in batch.columns if is_bookkeeping(c)]
     if not spark.catalog.tableExists(table):
-        first = keep_last(reject_null_keys(batch, keys), keys, order).drop(*hidden)
-        created = align_declared(first, name)
+        first = reject_null_keys(batch, keys)
+        if order is not None:
+            first = keep_last(first, keys, order)
+        created = align_declared(first.drop(*hidden), name)
         flat = created.select(*[quoted(f.name) for f in columns_to_add(created, [])])
-        write_table(flat, table)
+        write_table(flat, table, layout=layout)
         return
     add_columns(spark, table, columns_to_add(batch.drop(*hidden), spark.table(table).columns, name))
     target = spark.table(table)
-    kept = [c for c in batch.columns if c in target.columns or c in order]
+    kept = [c for c in batch.columns if c in target.columns or c in (order or ())]
     batch = fit_stored(batch.select(*[quoted(c) for c in kept]), name, target.schema)
     partition = [p for p in stored_layout(spark, table).partition if p in keys]
     if partition:
@@ -260,17 +291,13 @@ def rename_columns(spark: SparkSession, table: str, renames: dict[str, str]) ->
 
 def catalog_columns(spark: SparkSession, database: str) -> DataFrame:
     """(table_name, column_name) of every table of a database."""
-    rows = [
-        (t.name, c.name)
-        for t in spark.catalog.listTables(database)
-        if not t.isTemporary
-        for c in spark.catalog.listColumns(f"{database}.{t.name}")
-    ]
+    rows = [(n, c.name) for n in table_names(spark, database) for c in spark.catalog.listColumns(f"{database}.{n}")]
     return spark.createDataFrame(rows, "table_name STRING, column_name STRING")
 
 
 def table_names(spark: SparkSession, database: str) -> list[str]:
-    names = (t.name for t in spark.catalog.listTables(database) if not t.isTemporary)
+    """The tables of a database, without views and unfinished versions."""
+    names = (t.name for t in spark.catalog.listTables(database) if not t.isTemporary and t.tableType != "VIEW")
     return sorted(n for n in names if _NEXT not in n)
 
 
@@ -313,5 +340,5 @@ def restore(spark: SparkSession, backup_database: str, database: str, dry_run: b
 def materialise(df: DataFrame, table: str) -> int:
     """Write a view's rows as a table and return how many there are, counted while writing."""
     counter = Observation("rows")
-    write_table(df.observe(counter, F.count(F.lit(1)).alias("n")), table, "truncate", Layout())
+    write_table(df.observe(counter, F.count(F.lit(1)).alias("n")), table, "truncate")
     return counter.get["n"]

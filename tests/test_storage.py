@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from adtally import fixed_values as fv
 from adtally.operators import fieldmap
+from adtally.operators.goals import goals_vs_actual
 from adtally.plans import loads, refresh, upkeep
 from adtally.plans.driver_model import new_database
 from adtally.plans.sync import choose_tables, sync_mode, sync_tables
@@ -299,10 +300,86 @@ def test_combined_table_counts_its_rows(spark, database):
     assert not loads.create_full_view(spark, database)
     tables.write_table(spark.sql("SELECT 'k' AS creative_id, 'T' AS title"), f"{database}.{fv.CREATIVES}")
     assert loads.create_full_view(spark, database)
-    assert spark.table(fv.FULL_VIEW).first().currency == "EUR"
+    view = f"{database}.{fv.FULL_VIEW}"
+    assert spark.table(view).first().currency == "EUR"
+    assert spark.table(view).columns == loads.full_view(spark, database).columns
     mirror = new_database(spark, "combined")
     assert loads.materialise_combined(spark, database, mirror) == 1
-    assert spark.table(f"{mirror}.{fv.COMBINED}").first().creative_title == "T"
+    combined = f"{mirror}.{fv.COMBINED}"
+    assert spark.table(combined).first().creative_title == "T"
+    assert tables.stored_layout(spark, combined).partition == ("date_start",)
+    # The view outlives a load that replaces a table's files, can be mirrored, and is no table to back up or erase.
+    known = spark.sql("SELECT 'k' AS id, 'U' AS title, 'cr' AS name, 1 AS _ingest")
+    loads.load_dimension(spark, known, "creatives", database, ["_ingest"], numeric_text=[])
+    assert spark.table(view).first().creative_title == "U"
+    sync_tables(spark, database, mirror, [fv.FULL_VIEW], create=True)
+    assert spark.table(f"{mirror}.{fv.FULL_VIEW}").first().creative_title == "U"
+    assert fv.FULL_VIEW not in tables.table_names(spark, database)
+
+
+def test_goals_view_is_kept_by_the_catalog(spark, database, tmp_path):
+    tables.write_table(spark.sql("SELECT '1' AS account_id, DATE'2024-05-03' AS date_start, 5.0D AS spend, 2.0D AS actions_purchase"), f"{database}.{fv.COMBINED}")
+    (tmp_path / "goals.csv").write_text("account_id,month,goal_spend,goal_purchases\n1,2024-05-01,10,8\n")
+    goals = upkeep.load_goals(spark, database, str(tmp_path / "goals.csv"))
+    got = spark.table(f"{database}.{fv.GOALS_VIEW}")
+    assert got.columns == goals_vs_actual(spark.table(f"{database}.{fv.COMBINED}"), goals).columns
+    row = got.first()
+    assert (row.pct_spend_goal, row.pct_purchases_goal, row.roas) == (0.5, 0.25, None)
+
+
+def files(spark, table, day):
+    return {r[0] for r in spark.table(table).where(f"date_start = DATE'{day}'").select("_metadata.file_path").collect()}
+
+
+def test_mirror_takes_only_the_days_named(spark, database):
+    mirror, table = new_database(spark, "days"), fv.AD_FACT
+    loaded = fact(spark, [("1", date(2024, 1, d), 1.0, 1) for d in (1, 2)])
+    tables.upsert_table(spark, loaded, f"{database}.{table}", ["_ingest"])
+    sync_tables(spark, database, mirror, [table], create=True, days=[date(2024, 1, 2)])
+    assert spark.table(f"{mirror}.{table}").count() == 2  # a new mirror takes all days
+    before = files(spark, f"{mirror}.{table}", "2024-01-01")
+    tables.upsert_table(spark, loaded.withColumn("spend", F.lit(4.0)), f"{database}.{table}", ["_ingest"])
+    sync_tables(spark, database, mirror, [table], days=[date(2024, 1, 2)])
+    spends = spark.table(f"{mirror}.{table}").orderBy("date_start").collect()
+    assert [float(r.spend) for r in spends] == [1.0, 4.0]
+    assert files(spark, f"{mirror}.{table}", "2024-01-01") == before
+
+
+def test_erasure_rewrites_only_days_that_lose_rows(spark, database):
+    tables.write_table(spark.sql("SELECT * FROM VALUES ('a1', '1'), ('a2', '2') AS t(ad_id, account_id)"), f"{database}.{fv.ADS}")
+    table = f"{database}.{fv.AD_FACT}"
+    facts = [("a2", date(2024, 1, 1)), ("a1", date(2024, 1, 2)), ("a2", date(2024, 1, 2)), ("a1", date(2024, 1, 3))]
+    tables.write_table(spark.createDataFrame(facts, "ad_id STRING, date_start DATE"), table)
+    before = files(spark, table, "2024-01-01")
+    marked = spark.createDataFrame([("act_1", "x", "YES")], "account_id STRING, account_name STRING, delete STRING")
+    upkeep.erase_accounts(spark, database, marked, confirm=True)
+    assert rows(spark.table(table), "date_start") == [("a2", date(2024, 1, 1)), ("a2", date(2024, 1, 2))]
+    assert files(spark, table, "2024-01-01") == before
+    assert [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()] == ["date_start=2024-01-01", "date_start=2024-01-02"]
+
+
+def test_range_load_keeps_the_marks_of_jobs_before_a_failure(spark, database):
+    records = spark.createDataFrame(
+        [("1", "2024-01-01", "1", 1), ("1", "2024-01-03", "1", 2), (None, "2024-01-05", "1", 3)],
+        "ad_id STRING, date_start STRING, spend STRING, _ingest INT")
+    with pytest.raises(Exception, match="ad_id contains NULL"):
+        loads.load_range(
+            spark, records, "ad", database, ["_ingest"], "2024-01-01", "2024-01-06", 2, windows_per_job=2,
+            metric_types={}, numeric_text=["spend"])
+    marked = spark.table(f"{database}.{fv.CHECKPOINT}").select("since")
+    assert rows(marked, "since") == [(date(2024, 1, 1),), (date(2024, 1, 3),)]
+
+
+def test_any_breakdown_is_part_of_the_key_and_buckets_reach_the_table(spark, database):
+    records = spark.createDataFrame(
+        [("1", "2024-01-01", p, "1", n) for n, p in enumerate(["web", "app", "web"])],
+        "ad_id STRING, date_start STRING, publisher_platform STRING, spend STRING, _ingest INT")
+    known = {"metric_types": {}, "numeric_text": ["spend"]}
+    for _ in range(2):
+        table = loads.load_facts(spark, records, "ad", database, ["_ingest"], ["publisher_platform"], buckets=2, **known)
+    assert rows(spark.table(table).select("publisher_platform"), "publisher_platform") == [("app",), ("web",)]
+    layout = tables.stored_layout(spark, table)
+    assert (layout.partition, layout.bucket_key, layout.buckets) == (("date_start",), "ad_id", 2)
 
 
 def test_stream_takes_each_file_once_and_late_data_wins(spark, database, tmp_path):

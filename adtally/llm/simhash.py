@@ -15,10 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm.rows import per_text, stage, without
+from adtally.llm.rows import fresh, per_text, stage, text_or_empty, without
 
 SHINGLE = 3
 THRESHOLD = 3
@@ -234,28 +234,54 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     rows; an empty table gives none.
     """
     prints = stage(fingerprints(docs), "simhash-prints")
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    return _with_least(prints, F.col("doc_id"), block).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("least").alias("component_id"), "links"
+    )
+
+
+def _with_least(prints: DataFrame, order: Column, block: int) -> DataFrame:
+    """``prints`` with the least ``order`` of each row's component, nulls left out, and whether fp has links."""
+    nodes = prints.groupBy("fp").agg(F.min(order).alias("least"))
     roots = components(links(nodes.select("fp"), block))
     tied = nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "root", "least")
     least = tied.groupBy("root").agg(F.min("least").alias("reach"))
     reach = tied.join(least, "root").select("fp", "reach")
     of = nodes.join(reach, "fp", "left").select(
-        "fp", F.coalesce("reach", "least").alias("component_id"), F.col("reach").isNotNull().alias("links")
-    )
-    return prints.join(of, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "links"
+        "fp", F.coalesce("reach", "least").alias("least"), F.col("reach").isNotNull().alias("links")
     )
+    return prints.join(of, "fp")
 
 
 def thin(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller doc_id; rows of a component without ids stay."""
-    lost = near_duplicates(docs, block).filter(
-        F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
-    )
+    """One row of ``docs`` for each component: the smallest doc_id's, and where that repeats, one of its least text hash.
+
+    Rows are told apart by doc_id and text, so ids may repeat or be null. Rows of a component without ids stay.
+    """
+    sha = fresh(docs, "text_sha256")
+    text_hash = F.sha2(text_or_empty(), 256)
+    # The id and the hash travel together where fingerprints() carries the id.
+    named = docs.select(F.struct("doc_id", text_hash.alias("sha")).alias("doc_id"), "text")
+    prints = stage(fingerprints(named).select("doc_id.doc_id", "doc_id.sha", "fp"), "simhash-prints")
+    staying = F.struct("doc_id", "sha")
+    rows = _with_least(prints, F.when(F.col("doc_id").isNotNull(), staying), block).filter(F.col("least").isNotNull())
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("sha") == F.col("least.sha"))
     out = stage(
-        lost.select(F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("gone_id")).distinct(), "simhash-dropped"
+        rows.groupBy(F.col("doc_id").alias("gone_id"), F.col("sha").alias("gone_sha"), stays.alias("stays"))
+        .agg(F.count(F.lit(1)).alias("times")).filter(~F.col("stays") | (F.col("times") > 1))
+        .select(F.xxhash64("gone_id", "gone_sha").alias("h"), "gone_id", "gone_sha", "stays"), "simhash-dropped",
     )
-    return without(docs, F.xxhash64("doc_id"), out, lambda left, right: left["doc_id"].eqNullSafe(right["gone_id"]))
+    marked = docs.withColumn(sha, text_hash)
+
+    def same(left: DataFrame, right: DataFrame) -> Column:
+        return (left[sha] == right["gone_sha"]) & left["doc_id"].eqNullSafe(right["gone_id"])
+
+    left = without(marked, F.xxhash64("doc_id", sha), out, same)
+    # A row that stays but has twins of its own id and text is in that list too: one of them comes back.
+    twins = out.filter("stays")
+    if twins.isEmpty():
+        return left.drop(sha)
+    back = marked.join(twins, same(marked, twins), "left_semi").dropDuplicates(["doc_id", sha])
+    return left.unionByName(back).drop(sha)
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:

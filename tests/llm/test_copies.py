@@ -104,6 +104,27 @@ def test_near_duplicates_match_brute_force(spark, texts, block):
     assert all(c is None or i == c for (i, _), c in zip(texts, components, strict=True) if i in {r["doc_id"] for r in kept})
 
 
+def test_thin_leaves_one_row_of_each_component_whatever_the_ids(spark):
+    words = [f"w{i}" for i in range(120)]
+    near = " ".join(words)
+    nearer = next(
+        t for i in range(120) for t in [" ".join([*words[:i], "other", *words[i + 1:]])]
+        if 0 < (brute_fingerprint(t) ^ brute_fingerprint(near)).bit_count() <= 3
+    )
+    alone, lonely = "a text of its own that nothing else is like", "one more without any copy near or far"
+
+    def left(rows):
+        return sorted(((r["doc_id"], r["text"]) for r in simhash.thin(frame(spark, rows)).collect()), key=str)
+
+    assert left([(3, nearer), (5, near), (5, alone)]) == sorted([(3, nearer), (5, alone)], key=str)
+    got = left([(3, nearer), (None, near), (None, alone), (None, lonely), (None, lonely)])
+    assert got == sorted([(3, nearer), (None, alone), (None, lonely), (None, lonely)], key=str)
+    for rows in ([(3, nearer), (3, near)], [(3, near), (3, near)], [(3, near), (3, near), (3, nearer), (4, near)]):
+        got = left([*rows, (3, alone)])
+        assert len(got) == 2 and (3, alone) in got and {i for i, _ in got} == {3}
+    assert len(left([(None, near), (None, nearer)])) == 2
+
+
 def test_anchors_reach_every_pair_within_three_bits():
     rng = np.random.default_rng(3)
     for _ in range(200):

@@ -1,15 +1,18 @@
-"""Licence scan by a positional index of each notice's rarest words.
+"""Licence scan by a positional index of the notices, asked for each file's rarest words.
 
-The corpus tells how rare the words of the notices are. The index holds the postings (notice, position) of the
-rarest words of every notice. A file's words that are in it fetch postings; a posting at position q met at word p
-of the file proposes that the notice starts at p - q, and starts that enough rare words agree on are verified: the
-notice's key phrases must stand there in full, and most of its words.
+The corpus tells how rare the words of the notices are. The index holds the postings (notice, position) of all words
+of the dozen notices. A file looks up its own rarest ones: of each notice that it has enough words of, so many that a
+start which most of the notice's words fit has to meet some of them. A posting at position q met at word p of the file
+proposes that the notice starts at p - q, and starts that enough rare words agree on are verified: the notice's key
+phrases must stand there in full, and most of its words.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,8 +40,8 @@ NOTICES = (
      ("source and binary forms",)),
     ("mpl", "subject to the terms of the mozilla public license v 2 0", ("mozilla public license",)),
 )
-#: Index entries of a notice, how many of them must agree on a start, and the share of its words that must match.
-RARE, AGREE, SHARE = 3, 2, 0.6
+#: How many of a file's rare words must agree on a start, and the share of a notice's words that must match there.
+AGREE, SHARE = 2, 0.6
 
 #: A-Z in lower case; whatever is no digit, letter or byte of a longer UTF-8 character becomes a blank.
 _TABLE = bytes(
@@ -77,13 +80,47 @@ def document_frequencies(docs: DataFrame) -> dict[bytes, int]:
     return {bytes(r["word"]): r["n"] for r in counted.collect()}
 
 
-def rare_index(frequency: dict[bytes, int]) -> dict[bytes, list[tuple[int, int]]]:
-    """Postings (pattern, position) of each pattern's rarest words; words that no text has are rarest of all."""
-    index = defaultdict(list)
-    for number, (_, words, _, base) in enumerate(patterns()):
+class Entry(NamedTuple):
+    """A pattern in the index: its words with their positions, rarest first, those it can't do without, and how many
+    words must match at a start, and how many of the words looked up must agree on it."""
+
+    places: dict[bytes, list[int]]
+    required: frozenset[bytes]
+    need: int
+    votes: int
+
+
+def word_index(frequency: dict[bytes, int]) -> list[Entry]:
+    """An entry for each pattern; words that no text has are rarest of all."""
+    entries = []
+    for _, words, keys, base in patterns():
         ranked = sorted(set(words), key=lambda w: (frequency.get(w, 0), w))
-        for word in ranked[: 1 if base else RARE]:
-            index[word] += [(number, q) for q, w in enumerate(words) if w == word]
+        places = {word: [q for q, w in enumerate(words) if w == word] for word in ranked}
+        need = len(words) if base else math.ceil(SHARE * len(words))
+        entries.append(Entry(places, frozenset(w for key in keys for w in key), need, 1 if base else min(AGREE, need)))
+    return entries
+
+
+def rarest_of(words: set[bytes], entries: list[Entry]) -> dict[bytes, list[tuple[int, int]]]:
+    """Postings (pattern, position) of the rarest words that a file with these words has, for each pattern it may hold.
+
+    At a start that is verified, at least ``need`` positions match, so at most ``have - need`` of those whose word the
+    file has don't; with ``votes`` positions more than that looked up, no start is missed.
+    """
+    index = defaultdict(list)
+    for number, entry in enumerate(entries):
+        if not entry.required <= words:
+            continue
+        own = [w for w in entry.places if w in words]
+        left = sum(len(entry.places[w]) for w in own) - entry.need
+        if left < 0:
+            continue
+        left += entry.votes
+        for word in own:
+            if left <= 0:
+                break
+            index[word] += [(number, q) for q in entry.places[word]]
+            left -= len(entry.places[word])
     return dict(index)
 
 
@@ -91,10 +128,11 @@ def _holds(words: list[bytes], phrase: tuple[bytes, ...], at: int) -> bool:
     return at >= 0 and tuple(words[at:at + len(phrase)]) == phrase
 
 
-def scan(words: list[bytes], index: dict, searched: list) -> tuple[list[int], set[str], set[str], float]:
+def scan(words: list[bytes], entries: list[Entry], searched: list) -> tuple[list[int], set[str], set[str], float]:
     """Starts of base phrases, base labels, all labels, and the best share of a verified notice."""
     agreed: Counter[tuple[int, int]] = Counter()
-    for p, word in enumerate(words):
+    index = rarest_of(set(words), entries)
+    for p, word in enumerate(words) if index else ():
         for number, q in index.get(word, ()):
             agreed[number, p - q] += 1
     starts, base, labels, best = [], set(), set(), 0.0
@@ -105,7 +143,7 @@ def scan(words: list[bytes], index: dict, searched: list) -> tuple[list[int], se
                 starts.append(start)
                 base.add(label)
             continue
-        if votes < min(AGREE, len(set(pattern))):
+        if votes < entries[number].votes:
             continue
         if all(any(_holds(words, key, start + q) for q in range(len(pattern)) if pattern[q:q + len(key)] == key) for key in keys):
             same = sum(0 <= start + q < len(words) and words[start + q] == w for q, w in enumerate(pattern))
@@ -123,13 +161,13 @@ def find_licences(docs: DataFrame) -> DataFrame:
     that repeat give rows that repeat; an empty table gives none. Two passes over the texts, nothing shuffled but
     the word counts.
     """
-    index, searched = rare_index(document_frequencies(docs)), patterns()
+    entries, searched = word_index(document_frequencies(docs)), patterns()
 
     def score(texts: list[bytes]) -> list[pa.Array]:
         rows = []
         for raw in texts:
             words = words_of(raw)
-            starts, base, labels, best = scan(words, index, searched)
+            starts, base, labels, best = scan(words, entries, searched)
             rows.append((
                 len(words), len(starts), min(starts, default=None), max(starts, default=None),
                 ",".join(sorted(base)), ",".join(sorted(labels)), best,

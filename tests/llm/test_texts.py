@@ -75,6 +75,43 @@ def test_base_licences_equal_a_plain_search(spark):
     assert licences.find_licences(documents(spark, texts).limit(0)).count() == 0
 
 
+def brute_notices(words):
+    labels, best = set(), 0.0
+    for label, text, keys in licences.NOTICES:
+        notice = text.split()
+        for start in range(-len(notice), len(words)):
+            same = sum(0 <= start + q < len(words) and words[start + q] == w for q, w in enumerate(notice))
+            held = all(
+                any(
+                    notice[q:q + len(key.split())] == key.split() and start + q >= 0
+                    and words[start + q:start + q + len(key.split())] == key.split() for q in range(len(notice))
+                ) for key in keys
+            )
+            if held and same >= licences.SHARE * len(notice):
+                labels, best = labels | {label}, max(best, same / len(notice))
+    return labels, best
+
+
+CUT = "Permission is hereby granted free of charge to any person obtaining a copy of this software"
+
+
+def test_notices_are_found_whatever_words_a_file_lacks(spark):
+    rng = random.Random(9)
+    texts = [CUT, f"associated files, documentation: {CUT}", f"{CUT} and documentation of files that are associated"]
+    for _, notice, _ in licences.NOTICES:
+        words = notice.split()
+        for _ in range(25):
+            part = [w if rng.random() < 0.8 else rng.choice(["other", *words]) for w in words][rng.randrange(3):]
+            texts.append(" ".join([*rng.choices(words, k=rng.randrange(4)), *part, *rng.choices(words, k=rng.randrange(9))]))
+    alone = licences.find_licences(documents(spark, [CUT])).first()
+    assert (alone["labels"], alone["score"]) == ("mit", 0.8)
+    for r in licences.find_licences(documents(spark, texts)).collect():
+        labels, best = brute_notices(re.findall(r"[a-z0-9]+", texts[r["doc_id"]].lower()))
+        base = set(filter(None, r["base_labels"].split(",")))
+        assert set(filter(None, r["labels"].split(","))) == labels | base, texts[r["doc_id"]]
+        assert r["score"] == max(best, 0.5 if base else 0.0)
+
+
 @pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="driver tables are absent")
 def test_licences_of_the_whole_table(spark):
     folder = "/root/testdata/sf0.001"

@@ -9,6 +9,7 @@ gets one vector of sums back, and a rate is a function of the posterior and the
 
 from __future__ import annotations
 
+import warnings
 import zlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -31,8 +32,10 @@ TARGETS = {
 #: Of these domains nothing has to be given up: the mix is as large as the scarcest of them in relation asks, and more.
 COVERED, MARGIN = "/high", 1.05
 BITS, STEPS, RATE = 12, 150, 0.05
-#: Rounds of the fit, and the largest residual, as a share of all tokens, that ends it.
-ROUNDS, TOLERANCE = 60, 1e-4
+#: The largest residual, as a share of all tokens, that ends the fit, and rounds without a gain that end it otherwise.
+TOLERANCE, STALL = 1e-4, 60
+#: What the largest residual has to fall to, as a share of the least so far, to be a gain.
+GAIN = 0.99
 
 
 class Model(NamedTuple):
@@ -143,28 +146,41 @@ def fit(members: DataFrame, domains: list[str], targets: dict[str, float] | None
     """Steps of a projected gradient with Barzilai-Borwein sizes; residuals are shares of all tokens.
 
     Targets of domains that the model doesn't know are left out and the others scaled up; a domain without a target
-    is to have no tokens. The driver holds numbers per domain only.
+    keeps its present share of the tokens, and the others divide the rest. The fit goes on until the tolerance is met
+    or no round of ``STALL`` brings the residual down; then the best round counts, and a warning tells what is missed.
+    The driver holds numbers per domain only.
     """
     wanted = TARGETS if targets is None else targets
     weight = np.array([wanted.get(d, 0.0) for d in domains])
+    free = np.array([d not in wanted for d in domains])
     first = _sums(members, [], len(domains))
-    if not first[0] or not weight.sum():
+    if not first[0]:
         return Plan([], weight, first[2:])
-    weight /= weight.sum()
     have = first[2:] / first[0]
-    covered = [h / w for h, w, d in zip(have, weight, domains, strict=True) if d.endswith(COVERED) and w > 0]
+    if not weight.sum():
+        return Plan([], have, have)
+    weight = np.where(free, have, weight / weight.sum() * (1 - have[free].sum()))
+    kept = [d.endswith(COVERED) or f for d, f in zip(domains, free.tolist(), strict=True)]
+    covered = [h / w for h, w, k in zip(have, weight, kept, strict=True) if k and w > 0]
     goal = weight * (MARGIN * max(covered) if covered else 1.0)
     steps, residual, size = [], have - goal, 1.0
-    for _ in range(ROUNDS):
-        if np.abs(residual).max() <= TOLERANCE:
-            break
+    best, gained = (np.abs(residual).max(), 0, residual), 0
+    mark = best[0]
+    while best[0] > TOLERANCE and len(steps) - gained < STALL:
         steps.append((size, residual))
         sums = _sums(members, steps, len(domains))
         now = sums[2:] / sums[0] - goal
         moved = float(((now - residual) ** 2).sum())
         size = float(sums[1] / sums[0] / moved) if moved > 1e-18 else 1.0
-        residual = now
-    return Plan(steps, goal, residual + goal)
+        residual, largest = now, np.abs(now).max()
+        if largest < best[0]:
+            best = largest, len(steps), now
+        if largest <= GAIN * mark:
+            mark, gained = largest, len(steps)
+    if best[0] > TOLERANCE:
+        missed = ", ".join(f"{d} {r:+.4g}" for d, r in zip(domains, best[2], strict=True) if abs(r) > TOLERANCE)
+        warnings.warn(f"mixing misses its targets after {len(steps)} rounds, as shares of all tokens: {missed}", stacklevel=2)
+    return Plan(steps[:best[1]], goal, best[2] + goal)
 
 
 def copies_of(rates: np.ndarray, ids: list) -> list[int]:

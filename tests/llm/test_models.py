@@ -96,6 +96,46 @@ def test_rates_meet_the_targets(spark):
     assert np.mean([d == f"{k['lang']}/{'high' if k['quality'] else 'low'}" for d, k in likeliest]) > 0.9
 
 
+def test_a_language_without_a_target_keeps_its_share(spark):
+    rng = np.random.default_rng(7)
+    letters = {"en": "abcd", "de": "efgh", "fr": "ijkl", "es": "mnop", "it": "qrst"}
+
+    def text(lang, good):
+        return " ".join("".join(rng.choice(list(letters[lang]), 5)) + ("" if good else "zz") for _ in range(30))
+
+    rows = [(lang, good) for lang in letters for good in (1, 1, 0) for _ in range(20)]
+    docs = spark.createDataFrame([(i, text(*r), r[0], "s") for i, r in enumerate(rows)], DOCS)
+    labels = spark.createDataFrame([(i, good, 0, "l") for i, (_, good) in enumerate(rows)], LABELS)
+    model, _, plan = mixing.plan(docs, labels)
+    share = {d: x / plan.reached.sum() for d, x in zip(model.domains, plan.reached.tolist(), strict=True)}
+    assert np.abs(plan.reached - plan.targets).max() <= mixing.TOLERANCE
+    assert abs(share["it/high"] - 2 / 15) < 0.01 and abs(share["it/low"] - 1 / 15) < 0.01
+    assert abs(share["en/high"] / share["de/high"] - 50 / 18) < 0.05
+    clean = {i for i, (lang, good) in enumerate(rows) if lang == "it" and good}
+    assert clean <= {r["doc_id"] for r in mixing.mix(docs, labels).collect()}
+
+
+def local_fit(monkeypatch, posterior, domains, targets):
+    tokens = np.ones(len(posterior))
+
+    def sums(_, steps, n):
+        rates, before = mixing.replay(posterior, steps)
+        return np.concatenate([[tokens.sum(), tokens @ (rates - before) ** 2], (tokens * rates) @ posterior])
+
+    monkeypatch.setattr(mixing, "_sums", sums)
+    return mixing.fit(None, domains, targets)
+
+
+def test_the_fit_goes_on_until_its_targets_are_met_or_says_that_they_are_not(monkeypatch):
+    domains = [f"d{i}" for i in range(8)]
+    blurred = np.random.default_rng(11).dirichlet(np.full(8, 0.3), 3000)
+    plan = local_fit(monkeypatch, blurred, domains, {d: 1.6**-i for i, d in enumerate(domains)})
+    assert len(plan.steps) > 60 and np.abs(plan.reached - plan.targets).max() <= mixing.TOLERANCE
+    with pytest.warns(UserWarning, match="misses its targets.*d0"):  # no text tells the two apart
+        plan = local_fit(monkeypatch, np.full((10, 2), 0.5), ["d0", "d1"], {"d0": 0.9, "d1": 0.1})
+    assert np.abs(plan.reached - plan.targets).max() > mixing.TOLERANCE
+
+
 def brute_top(vectors, queries, k):
     out = set()
     for q in queries:

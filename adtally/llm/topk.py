@@ -29,18 +29,20 @@ SAMPLE, CENTRES, QUERY_BLOCK, DATA_BLOCK = 2048, 256, 2048, 8192
 LEAF, FAN = 128, 16
 
 
-def quantised(embeddings: DataFrame, factor: int = 64) -> DataFrame:
+def quantised_rows(embeddings: DataFrame, factor: int = 64) -> DataFrame:
     """vec_id and v: floor(factor * x) of each component, taken as double.
 
-    Rows with a null id, a null vector, or a null or non-finite component take no part; of rows that share an id, the
-    one with the least vector does.
+    Rows with a null id, a null vector, or a null or non-finite component take no part; rows that share an id all do.
     """
     value = F.col("embedding")
     sound = F.forall(value, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     v = F.transform(value, lambda x: F.floor(x.cast("double") * factor).cast("long")).alias("v")
-    return embeddings.filter(F.col("vec_id").isNotNull() & value.isNotNull() & sound).select("vec_id", v).groupBy(
-        "vec_id"
-    ).agg(F.min("v").alias("v"))
+    return embeddings.filter(F.col("vec_id").isNotNull() & value.isNotNull() & sound).select("vec_id", v)
+
+
+def quantised(embeddings: DataFrame, factor: int = 64) -> DataFrame:
+    """As ``quantised_rows``, but of rows that share an id only the least vector, for callers that want one per id."""
+    return quantised_rows(embeddings, factor).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def matrix(rows, width: int) -> np.ndarray:
@@ -170,7 +172,7 @@ def _assigned(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
 
 def _block(blocks: list[int]) -> Column:
     counts = F.array(*[F.lit(n) for n in blocks])
-    return F.pmod(F.xxhash64("vec_id"), F.element_at(counts, F.col("node") + 1)).cast("int")
+    return F.pmod(F.xxhash64("vec_id", "row"), F.element_at(counts, F.col("node") + 1)).cast("int")
 
 
 def _cells(rows: DataFrame, partners: list[list[tuple[int, int]]], side: str, other: str) -> DataFrame:
@@ -233,20 +235,22 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k largest integer inner products of each query with rows of another id.
 
-    Both have vec_id (long, unique) and v (array of long); ties go to the smaller vec_id; fewer than k rows give fewer.
+    Both have vec_id (long) and v (array of long); ties go to the smaller vec_id; fewer than k rows give fewer. Rows that
+    share an id are candidates each, but not for each other; queries that share one have k products together.
     Shorter vectors count as ending in zeros; products must stay below 2**53. Equal vectors are separate rows. Without
     queries or other rows there are no rows.
     """
     spark = vectors.sparkSession
     none = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    data = stage(vectors, "topk-data")
-    wanted = stage(queries, "topk-queries")
+    row = F.monotonically_increasing_id().alias("row")  # fixed by the stage; rows of one id are dealt by it
+    data = stage(vectors.select("vec_id", "v", row), "topk-data")
+    wanted = stage(queries.select("vec_id", "v", row), "topk-queries")
     size = data.agg(F.max(F.size("v")).alias("width"), F.count(F.lit(1)).alias("n")).first()
     asked = wanted.agg(F.max(F.size("v")).alias("width"), F.count(F.lit(1)).alias("n")).first()
     if not size["n"] or not asked["n"]:
         return none
     width = max(1, size["width"], asked["width"])
-    sample = [r["v"] for r in data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()]
+    sample = [r["v"] for r in data.orderBy(F.xxhash64("vec_id", "row"), "vec_id", "row").limit(SAMPLE).select("v").collect()]
     points = matrix(sample, width)
     chosen = points[spread_centres(points, min(CENTRES, -(-size["n"] // data_block)))]
     for_queries = points[spread_centres(points, min(CENTRES, -(-asked["n"] // query_block)))]
@@ -282,7 +286,7 @@ def top_k(
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = quantised(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    vectors = quantised_rows(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0), 20)
 
 

@@ -4,7 +4,9 @@ import hashlib
 import zlib
 from pathlib import Path
 
+import duckdb
 import numpy as np
+import oracle
 import pytest
 
 import corpus_pipeline
@@ -161,6 +163,19 @@ def test_top_k_equals_brute_force(spark):
     assert topk.top_k(few, few.filter("vec_id = 0"), 20).count() == 2
 
 
+def test_rows_that_share_an_id_are_all_candidates_as_in_the_sql(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    rows = [(i % 90, rng.normal(size=4).tolist()) for i in range(240)] + [(7, [9.0] * 4)] * 3 + [(20, [1.0] * 4)] * 30
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    table.write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    assert not oracle.differences(topk.op2(spark, str(tmp_path)), con, topk.OP2_SQL)
+    vectors = topk.quantised_rows(table)
+    cut = topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), 20, 5, 20)
+    assert not oracle.differences(cut, con, topk.OP2_SQL)
+
+
 def test_bounds_hold_for_nodes_of_a_tree():
     rng = np.random.default_rng(2)
     points = np.floor(rng.normal(size=(700, 6)) * 20)

@@ -39,6 +39,17 @@ def test_toxicity_holds_on_rows_it_never_saw(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
 
 
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="driver tables are absent")
+def test_toxic_rows_are_found_and_clean_ones_are_left(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    held = [r for r in toxicity.op9(spark, folder).collect() if r["held_out"] and labels.get(r["doc_id"]) in (0, 1)]
+    found = [r["predicted"] for r in held if labels[r["doc_id"]]]
+    lost = [r["predicted"] for r in held if not labels[r["doc_id"]]]
+    print("held out: toxic", len(found), sum(found), "clean", len(lost), sum(lost))
+    assert len(found) >= 30 and np.mean(found) >= 0.9 and np.mean(lost) <= 0.02
+
+
 def test_swapped_identity_terms_score_alike():
     groups = ["muslims", "christians", "jews", "hindus"]
     # What is said differs each time, so that only the group tells the labels apart.

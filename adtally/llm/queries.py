@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adtally.llm import bpe, chat, exact, licences, mixing, quality, simhash, topk, toxicity, urls
+from adtally.llm import bpe, chat, exact, licences, mixing, quality, repair, simhash, topk, toxicity, urls
 
 QUERIES = {
     "op1_licence_scan": licences.op1,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_exact_dedup": exact.op8,
     "op9_toxicity": toxicity.op9,
     "op10_chat_format": chat.op10,
+    "op13_conversation_repair": repair.op13,
 }
 SQL = {
     "op2_exact_topk": topk.OP2_SQL,
     "op7_url_filter": urls.OP7_SQL,
     "op8_exact_dedup": exact.OP8_SQL,
     "op10_chat_format": chat.OP10_SQL,
+    "op13_conversation_repair": repair.OP13_SQL,
 }

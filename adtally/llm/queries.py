@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adtally.llm import bpe, chat, exact, licences, mixing, quality, repair, simhash, topk, toxicity, urls
+from adtally.llm import bpe, chat, exact, jaccard, licences, mixing, quality, repair, simhash, topk, toxicity, urls
 
 QUERIES = {
     "op1_licence_scan": licences.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_exact_dedup": exact.op8,
     "op9_toxicity": toxicity.op9,
     "op10_chat_format": chat.op10,
+    "op11_jaccard_join": jaccard.op11,
     "op13_conversation_repair": repair.op13,
 }
 SQL = {

@@ -11,12 +11,14 @@ from pyspark.sql import types as T
 
 from adtally.session import stage
 
-__all__ = ["bit_filter", "fresh", "in_slices", "may_hold", "per_text", "repeat_rows", "stage", "text_or_empty", "without"]
+__all__ = ["bit_filter", "fresh", "in_slices", "join_split", "may_hold", "per_text", "repeat_rows", "stage", "text_or_empty", "without"]
 
 #: Bytes of text that a Python worker turns into objects at a time.
 SLICE_BYTES = 1 << 20
 #: Bits of a filter that is broadcast: at most 2**(FILTER_BITS - 6) rows of 64 bits, 4 MB, whatever the input.
 FILTER_BITS = 24
+#: Rows of one key from which join_split broadcasts what the key is joined with, and such keys at most.
+HOT_ROWS, HOT_KEYS = 4096, 10_000
 
 
 def text_or_empty(column: str = "text") -> Column:
@@ -80,6 +82,19 @@ def without(df: DataFrame, hash_of: Column, gone: DataFrame, same: Callable[[Dat
     return sure.unionByName(rest.join(gone, same(rest, gone), "left_anti"))
 
 
+def join_split(left: DataFrame, right: DataFrame, key: str, rows: int = HOT_ROWS) -> DataFrame:
+    """Inner join of ``left`` with the one row that ``right`` has for each ``key``, no key of ``left`` meeting in one task.
+
+    Keys with more than ``rows`` rows on the left, or more than a ``HOT_KEYS``-th of all if that is more, get their right
+    row by broadcast, so at most ``HOT_KEYS`` rows are sent; the others meet in a shuffle. ``left`` is read twice.
+    """
+    least = F.lit(max(rows, left.count() // HOT_KEYS))
+    hot = left.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > least).select(key)
+    small = F.broadcast(stage(right.join(F.broadcast(hot), key, "left_semi"), "hot-keys"))
+    rest = left.join(small.select(key), key, "left_anti").join(right, key)
+    return left.join(small, key).unionByName(rest)
+
+
 def per_text(docs: DataFrame, score: Callable[[list[bytes]], list[pa.Array]], columns: str) -> DataFrame:
     """doc_id and ``columns`` (DDL), which ``score`` gives for a list of whole texts in UTF-8.
 

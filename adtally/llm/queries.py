@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adtally.llm import bpe, chat, exact, jaccard, licences, mixing, quality, repair, simhash, topk, toxicity, urls
+from adtally.llm import align, bpe, chat, exact, jaccard, licences, mixing, quality, repair, simhash, topk, toxicity, urls
 
 QUERIES = {
     "op1_licence_scan": licences.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_toxicity": toxicity.op9,
     "op10_chat_format": chat.op10,
     "op11_jaccard_join": jaccard.op11,
+    "op12_token_alignment": align.op12,
     "op13_conversation_repair": repair.op13,
 }
 SQL = {

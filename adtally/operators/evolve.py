@@ -95,6 +95,47 @@ def repair_types(df: DataFrame, table: str = "", to_number: Iterable[str] = ())
     return df.select(*[repaired(f) for f in df.schema])
 
 
+def type_changes(stored: DataFrame, table: str, batch: DataFrame) -> tuple[list[str], list[str], list[str]]:
+    """Columns of ``stored`` whose types the next batch asks to change: whole-number ids, days kept as text, and texts
+    that the batch has as numbers. The last two depend on the stored values too; ``unfit_values`` looks at them. Ids that
+    are declared as whole numbers stay so."""
+    declared = {f.name: f.dataType for f in declared_schema(table)}
+    incoming = {f.name: f.dataType for f in batch.schema}
+    ids, days, numbers = [], [], []
+    for f in stored.schema:
+        if is_id_column(f.name):
+            if isinstance(f.dataType, T.IntegralType) and not isinstance(declared.get(f.name), T.IntegralType):
+                ids.append(f.name)
+        elif isinstance(declared.get(f.name), T.DateType):
+            if not isinstance(f.dataType, T.DateType):
+                days.append(f.name)
+        elif isinstance(f.dataType, T.StringType) and not isinstance(declared.get(f.name), T.StringType):
+            if isinstance(incoming.get(f.name), T.NumericType):
+                numbers.append(f.name)
+    return ids, days, numbers
+
+
+def unfit_values(stored: DataFrame, batch: DataFrame, days: Iterable[str], numbers: Iterable[str]) -> dict[str, str | None]:
+    """For each column one value that is no day or no number, None if all are, from one job over both sides.
+
+    Blank texts are missing values.
+    """
+    rules = {n: to_day for n in days} | {n: strict_number for n in numbers}
+    names = list(rules)
+    if not names:
+        return {}
+
+    def odd(df: DataFrame) -> DataFrame:
+        have = set(df.columns)
+        texts = [(quoted(n) if n in have else F.lit(None)).cast("string") for n in names]
+        unread = [F.when((F.btrim(x) != "") & rules[n](x).isNull(), x) for n, x in zip(names, texts, strict=True)]
+        return df.select(*[F.min(u).alias(f"c{i}") for i, u in enumerate(unread)])
+
+    both = odd(stored).unionByName(odd(batch))
+    found = both.agg(*[F.min(f"c{i}").alias(f"c{i}") for i in range(len(names))]).first()
+    return dict(zip(names, found, strict=True))
+
+
 def promotable(stored_numeric: Iterable[str], batch_numeric: Iterable[str]) -> list[str]:
     """Text columns that are numeric on both sides; one old text value is enough to stay text."""
     return sorted(set(stored_numeric) & set(batch_numeric))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -52,6 +54,7 @@ def upsert(
     order: Sequence[str] | None = None,
     absent: str = "keep",
     new_columns: str = "add",
+    changed: str | None = None,
 ) -> DataFrame:
     """Target rows updated by the batch, plus the batch's new keys.
 
@@ -60,7 +63,8 @@ def upsert(
     rows with ``absent="null"``. Columns new to the target are added or
     dropped. With ``order`` the newest batch row of each key counts; without
     it the caller vouches that the batch holds a key once. NULL keys in the
-    batch fail the job.
+    batch fail the job. A column ``changed`` tells rows that are new or differ
+    from the target's.
 
     Keys are unique on both sides of the join, so no key is hot. It takes one
     shuffle per side, and the one of the batch also serves its deduplication.
@@ -74,7 +78,8 @@ def upsert(
     incoming = batch.select(
         *[quoted(k) for k in keys], *[quoted(c).alias(n) for c, n in names.items()], F.lit(True).alias("_touched")
     )
-    joined = target.join(incoming, list(keys), "full_outer")
+    old = target.withColumn("_stored", F.lit(True)) if changed else target
+    joined = old.join(incoming, list(keys), "full_outer")
 
     def value(name: str) -> Column:
         if name in keys:
@@ -87,7 +92,14 @@ def upsert(
         return quoted(name)
 
     added = [quoted(n).alias(c) for c, n in names.items() if c not in target.columns and new_columns == "add"]
-    return joined.select(*[value(c) for c in target.columns], *added)
+    flag = []
+    if changed:
+        new = [~value(c).eqNullSafe(quoted(c)) for c in target.columns if c not in keys and (c in names or absent == "null")]
+        grown = [n for c, n in names.items() if c not in target.columns and c not in (order or ())]
+        new += [quoted(n).isNotNull() for n in grown if new_columns == "add"]
+        differs = reduce(or_, new, F.col("_stored").isNull())
+        flag = [(F.coalesce(F.col("_touched"), F.lit(False)) & differs).alias(changed)]
+    return joined.select(*[value(c) for c in target.columns], *added, *flag)
 
 
 def prepare_for_mirror(batch: DataFrame, table: str, extra: str = "keep") -> DataFrame:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from adtally.functions.coerce import strict_number, to_day
 from adtally.functions.names import is_bookkeeping, is_id_column, quoted
@@ -49,6 +49,20 @@ def numeric_text_columns(df: DataFrame, blank_is_missing: bool = False) -> list[
     return [row["column_name"] for row in profile.where("is_numeric").collect()]
 
 
+def observed_profile(df: DataFrame) -> tuple[DataFrame, Callable[[], list[str]]]:
+    """``df``, and what tells its numeric text columns once a job has read all of it: the profile rides on that job."""
+    names = text_columns(df)
+    counter = Observation("profile")
+    counts = [F.count(quoted(n)).alias(f"v{i}") for i, n in enumerate(names)]
+    counts += [F.count(strict_number(quoted(n))).alias(f"n{i}") for i, n in enumerate(names)]
+
+    def numeric() -> list[str]:
+        got = counter.get
+        return [n for i, n in enumerate(names) if got[f"v{i}"] and got[f"v{i}"] == got[f"n{i}"]]
+
+    return (df.observe(counter, *counts), numeric) if names else (df, list)
+
+
 def day_if_all_parse(df: DataFrame, column: str) -> DataFrame:
     """Turn a text column into DATE when every value is one. Runs one job for a text column, none otherwise."""
     if column not in df.columns or not isinstance(df.schema[column].dataType, T.StringType):

@@ -5,12 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from adtally.functions.coerce import strict_number
 from adtally.functions.names import is_bookkeeping, is_id_column, quoted
 
 METRIC_KEYS = {"action_type", "indicator"}
+#: Metric types of one list that become columns, at most. More are a vocabulary, which belongs into a map or long rows.
+MOST_TYPES = 2000
 
 
 def flatten(df: DataFrame) -> DataFrame:
@@ -50,16 +52,18 @@ def expand_metrics(
     finds them: types are counted down per task before anything is shuffled,
     and only the distinct ones, which become columns, reach the driver.
     A list column with no types at all is kept. Types that ``keys`` lacks fail
-    the job, or with ``unknown="keep"`` go to ``<list>_other`` as JSON text.
+    the job, or go to ``<list>_other``: with ``unknown="keep"`` as JSON text,
+    with ``unknown="map"`` as a MAP from type to value, which takes any
+    vocabulary; nothing is looked for then, and without ``keys`` all types go there.
     """
-    if unknown not in ("fail", "keep"):
-        raise ValueError(f"unknown is 'fail' or 'keep', not {unknown!r}")
+    if unknown not in ("fail", "keep", "map"):
+        raise ValueError(f"unknown is 'fail', 'keep' or 'map', not {unknown!r}")
     lists = metric_lists(df)
-    given = keys is not None
+    given = keys is not None or unknown == "map"
     if keys is None:
-        keys = discover_metric_types(df, lists)
+        keys = {} if unknown == "map" else discover_metric_types(df, lists)
     wanted = {name: sorted(set(keys.get(name, ()))) for name in lists}
-    expanded = [name for name in lists if wanted[name]]
+    expanded = [name for name in lists if wanted[name] or unknown == "map"]
     if not expanded:
         return df
     helpers = {f"_{part}_{i}": c for i, name in enumerate(expanded) for part, c in _newest_first(df, name).items()}
@@ -68,7 +72,8 @@ def expand_metrics(
         for i, name in enumerate(expanded):
             helpers[f"_types_{i}"] = _only_known(helpers[f"_types_{i}"], name, wanted[name])
     others = [
-        _others(i, wanted[name]).alias(f"{name}_other") for i, name in enumerate(expanded) if given and unknown == "keep"
+        _others(i, wanted[name], unknown).alias(f"{name}_other")
+        for i, name in enumerate(expanded) if given and unknown != "fail"
     ]
     with_helpers = df.select(*[quoted(n) for n in kept], *[c.alias(n) for n, c in helpers.items()])
     return with_helpers.select(
@@ -89,15 +94,26 @@ def _only_known(types: Column, name: str, wanted: list[str]) -> Column:
     return F.when(F.size(odd) > 0, F.raise_error(message).cast("array<string>")).otherwise(types)
 
 
-def _others(i: int, wanted: list[str]) -> Column:
-    """JSON text of the types that have no column, NULL without any."""
-    types = F.array_except(F.array_compact(quoted(f"_types_{i}")), F.array(*[F.lit(w) for w in wanted]))
+def _others(i: int, wanted: list[str], how: str) -> Column:
+    """The types that have no column with their values, as JSON text or as a map; NULL without any."""
+    named = F.array(*[F.lit(w) for w in wanted]).cast("array<string>")
+    types = F.array_except(F.array_compact(quoted(f"_types_{i}")), named)
     values = F.transform(types, lambda t: F.get(quoted(f"_values_{i}"), F.array_position(quoted(f"_types_{i}"), t) - 1))
-    return F.when(F.size(types) > 0, F.to_json(F.map_from_arrays(types, values)))
+    rest = F.map_from_arrays(types, values)
+    return F.when(F.size(types) > 0, F.to_json(rest) if how == "keep" else rest)
 
 
-def discover_metric_types(df: DataFrame, lists: Iterable[str]) -> dict[str, list[str]]:
-    """Distinct metric types per list column, from one job over all of them."""
+def _refuse_vocabulary(types: DataFrame, lists: Iterable[str], most: int) -> None:
+    """Fail with the number of types of a list that has more than ``most``; counted where they are."""
+    counts = types.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).orderBy("list").collect()
+    for row in counts:
+        raise ValueError(
+            f"{row['list']} has {row['n']} metric types, more than {most}: name those to be columns, or keep them in a map"
+        )
+
+
+def discover_metric_types(df: DataFrame, lists: Iterable[str], most: int = MOST_TYPES) -> dict[str, list[str]]:
+    """Distinct metric types per list column, from one job over all of them; more than ``most`` of a list fail."""
     lists = list(lists)
     if not lists:
         return {}
@@ -113,16 +129,26 @@ def discover_metric_types(df: DataFrame, lists: Iterable[str]) -> dict[str, list
         .distinct()
     )
     types: dict[str, list[str]] = {name: [] for name in lists}
-    for row in found.collect():
+    for row in _bounded(found, lists, most):
         types[row["list"]].append(row["type"])
     return types
 
 
-def discover_shape(df: DataFrame) -> tuple[dict[str, list[str]], list[str]]:
+def _bounded(found: DataFrame, lists: Iterable[str], most: int) -> list:
+    """Rows of different types, no more of a list than ``most``: each task and the driver stop at one more."""
+    first = Window.partitionBy("list").orderBy("type")
+    rows = found.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= most + 1).collect()
+    if any(r["_nth"] > most and r["list"] for r in rows):
+        _refuse_vocabulary(found, lists, most)
+    return rows
+
+
+def discover_shape(df: DataFrame, most: int = MOST_TYPES) -> tuple[dict[str, list[str]], list[str]]:
     """Metric types per list column, and the text columns that hold only numbers once the lists are expanded.
 
     Both decisions come from one job over long rows (list, name, value), which
-    are counted per task before the shuffle; one row per column reaches the driver.
+    are counted per task before the shuffle; one row per column reaches the
+    driver. More than ``most`` types of a list fail, before they are columns.
     """
     lists = metric_lists(df)
     texts = [
@@ -139,7 +165,7 @@ def discover_shape(df: DataFrame) -> tuple[dict[str, list[str]], list[str]]:
     )
     types: dict[str, list[str]] = {name: [] for name in lists}
     numeric = []
-    for row in counted.collect():
+    for row in _bounded(counted, lists, max(most, len(texts))):
         if row["list"]:
             types[row["list"]].append(row["type"])
         name = f"{row['list']}_{row['type']}" if row["list"] else row["type"]
@@ -310,8 +336,9 @@ def cast_numbers(df: DataFrame, numeric_text: Iterable[str]) -> DataFrame:
             return quoted(f.name)
         text, number = quoted(f.name), strict_number(quoted(f.name))
         message = F.concat(F.lit(f"{f.name} holds text that is no number: "), text)
-        odd = number.isNull() & (F.trim(text) != "")
-        return F.when(odd, F.raise_error(message).cast("double")).otherwise(number).alias(f.name)
+        # The number is worked out once; only what has none is looked at again.
+        odd = F.when(F.trim(text) != "", F.raise_error(message).cast("double"))
+        return F.coalesce(number, odd).alias(f.name)
 
     return df.select(*[cast(f) for f in df.schema])
 

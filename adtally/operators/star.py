@@ -18,6 +18,7 @@ def star_view(
     creatives: DataFrame,
     campaigns: DataFrame | None = None,
     adsets: DataFrame | None = None,
+    few_ads: DataFrame | None = None,
 ) -> DataFrame:
     """Every fact row with the attributes of its account, ad, creative, campaign and ad set.
 
@@ -25,7 +26,8 @@ def star_view(
     fixed list follow at the end in name order. Creatives hang off ads, so the
     two are joined first and the fact meets each dimension once. No side is
     forced to broadcast: Spark does so below its size threshold and otherwise
-    splits skewed partitions of the fact.
+    splits skewed partitions of the fact. ``few_ads``, a bounded number of ids,
+    says that the fact has no others; then their ads are sent to it.
     """
     dims = {"accounts": accounts, "ads": ads, "creatives": creatives, "campaigns": campaigns, "adsets": adsets}
     shown, sources = star_columns({n: d.columns for n, d in {"fact": fact, **dims}.items() if d is not None})
@@ -38,8 +40,11 @@ def star_view(
         F.col("ad_id").alias("_ad"), F.col("creative_id").alias("_ad_creative"),
         *[c.alias(n) for n, c in of["ads"].items()],
     ).join(creative_side, F.col("_ad_creative") == F.col("_creative"), "left")
-    joined = _attach(fact, "account_id", accounts, without_prefix(F.col("id")), of["accounts"])
-    joined = joined.join(ad_side, F.col("ad_id") == F.col("_ad"), "left")
+    if few_ads is not None:
+        ad_side = F.broadcast(ad_side.join(F.broadcast(few_ads), ad_side["_ad"] == few_ads["ad_id"], "left_semi"))
+    # The ads come first: a fact bucketed by them is still arranged so.
+    joined = fact.join(ad_side, F.col("ad_id") == F.col("_ad"), "left")
+    joined = _attach(joined, "account_id", accounts, without_prefix(F.col("id")), of["accounts"])
     if campaigns is not None:
         joined = _attach(joined, "campaign_id", campaigns, F.col("campaign_id"), of["campaigns"])
     if adsets is not None:
@@ -47,6 +52,30 @@ def star_view(
     return joined.select(*[quoted(c) for c in shown])
 
 
+#: Rows of one ad from which star_of_buckets sends its ad to them, and such ads at most.
+HOT_ROWS, HOT_ADS = 1_000_000, 10_000
+
+
+def star_of_buckets(fact: DataFrame, *dims: DataFrame | None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``star_view`` of a fact that is bucketed by its ads, which is joined as it lies, without a shuffle of its rows.
+
+    A bucket can't be split, so ads with more than ``hot_rows`` rows, or a ``HOT_ADS``-th of all if that is more, are
+    left out of it: their rows get the few ads they need by broadcast. One count by ad, also without a shuffle, finds
+    them.
+    """
+    counts = fact.groupBy("ad_id").agg(F.count(F.lit(1)).alias("n"))
+    least = max(hot_rows, (counts.agg(F.sum("n")).first()[0] or 0) // HOT_ADS)
+    found = counts.where((F.col("n") > least) & F.col("ad_id").isNotNull()).select("ad_id").collect()
+    if not found:
+        return star_view(fact, *dims)
+    # At most HOT_ADS ids.
+    hot = fact.sparkSession.createDataFrame(found, "ad_id STRING")
+    of = hot.select(F.col("ad_id").alias("_hot"))
+    cold = fact.join(F.broadcast(of), F.col("ad_id") == F.col("_hot"), "left_anti")
+    warm = fact.join(F.broadcast(of), F.col("ad_id") == F.col("_hot"), "left_semi")
+    return star_view(cold, *dims).unionByName(star_view(warm, *dims, few_ads=hot))
+
+
 def star_columns(have: Mapping[str, Sequence[str]]) -> tuple[list[str], dict[str, dict[str, list[str]]]]:
     """The view's columns in order, and for each dimension its names in the view with the columns each comes from.
 

@@ -5,20 +5,24 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from adtally import fixed_values as fv
+from adtally.functions.accounts import without_prefix
 from adtally.functions.coerce import to_utc_timestamp
 from adtally.functions.names import column_name, fact_table_name, is_bookkeeping, quoted
 from adtally.operators import reshape, windows
 from adtally.operators.fieldmap import FieldMap, apply_field_map
 from adtally.operators.keyed import creatives_of_ads, keep_first
-from adtally.operators.profile import numeric_text_columns
+from adtally.operators.profile import numeric_text_columns, observed_profile
 from adtally.operators.star import star_sql, star_view
 from adtally.plans.sync import sync_tables
+from adtally.session import drop_stage, write_stage
 from adtally.sources import landed
-from adtally.sources.tables import layout_of, materialise, upsert_table, write_table
+from adtally.sources import changes
+from adtally.sources.tables import Layout, layout_of, replace_days, replace_table, upsert_table, write_table
 
 
 #: Windows that a job of a range load writes and marks together: a quarter of a year at seven days each.
@@ -82,11 +86,19 @@ def load_facts(
 
 
 def _between(records: DataFrame, first: date | str, last: date | str) -> DataFrame:
-    """Records of some days. A day that can't be read fails the job, as it does in a load of all days."""
-    day = F.col("date_start").try_cast("date")
-    shown = F.coalesce(F.col("date_start").cast("string"), F.lit("NULL"))
+    """Records of some days. A day that can't be read fails the job, as it does in a load of all days.
+
+    Days that are stored as dates are a filter for the scan. Texts are not: any of them may be unreadable.
+    """
+    raw = F.col("date_start")
+    near = F.lit(True)
+    if isinstance(records.schema["date_start"].dataType, T.DateType):
+        near = raw.between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
+    day = raw.try_cast("date")
+    shown = F.coalesce(raw.cast("string"), F.lit("NULL"))
     failed = F.raise_error(F.concat(F.lit("date_start is no date: "), shown)).cast("date")
-    return records.withColumn("_day", F.when(day.isNull(), failed).otherwise(day)).where(windows.within(first, last, "_day"))
+    read = records.where(near | raw.isNull()).withColumn("_day", F.coalesce(day, failed))
+    return read.where(windows.within(first, last, "_day"))
 
 
 def load_range(
@@ -187,9 +199,15 @@ def replay_facts(
     limit: int | None = None,
     **known: object,
 ) -> str:
-    """Load facts again from their raw payloads; the raw id says which payload of a key is newest."""
+    """Load facts again from their raw payloads; the raw id says which payload of a key is newest.
+
+    Of raw rows kept by level and day only those asked for are read, and only the newest payload of a key is decoded.
+    """
     rows = landed.replay_insights(raw, level, breakdowns, from_date, to_date, limit)
     chosen = landed.single_breakdown(rows) if breakdowns is None else breakdowns
+    keys = [fv.LEVEL_IDS[level], "date_start", *(b.strip() for b in chosen if b.strip())]
+    if _kept_as_is(fields, *keys):
+        rows = landed.newest_payloads(rows, keys)
     records = landed.decode_payload(rows, landed.insight_schema(level, chosen))
     return load_facts(spark, records, level, database, ["_raw_id"], chosen, fields, **known)
 
@@ -228,6 +246,19 @@ RAW_TABLES = {
 IMAGE_LIST = "asset_feed_spec.images"
 
 
+def shape_dimension(
+    records: DataFrame, entity: str, fields: FieldMap | None = None, statuses: Sequence[str] = ()
+) -> DataFrame:
+    """Entity records flattened, named and with their times read; numbers are still text."""
+    plan = DIMENSIONS[entity]
+    rows = records.where(F.col("effective_status").isin(list(statuses))) if statuses else records
+    flat = reshape.rename_if_absent(reshape.flatten(rows), {"id": plan.id_column, "name": plan.name_column})
+    flat = reshape.first_element(flat, IMAGE_LIST, plan.images)
+    mapped = apply_field_map(flat, fields)
+    times = {c: to_utc_timestamp(quoted(c).cast("string")) for c in plan.timestamps if c in mapped.columns}
+    return mapped.withColumns(times) if times else mapped
+
+
 def normalise_dimension(
     records: DataFrame,
     entity: str,
@@ -236,16 +267,10 @@ def normalise_dimension(
     numeric_text: Iterable[str] | None = None,
 ) -> DataFrame:
     """Entity records to rows of their dimension, optionally only those of some effective statuses."""
-    plan = DIMENSIONS[entity]
-    rows = records.where(F.col("effective_status").isin(list(statuses))) if statuses else records
-    flat = reshape.rename_if_absent(reshape.flatten(rows), {"id": plan.id_column, "name": plan.name_column})
-    flat = reshape.first_element(flat, IMAGE_LIST, plan.images)
-    mapped = apply_field_map(flat, fields)
-    times = {c: to_utc_timestamp(quoted(c).cast("string")) for c in plan.timestamps if c in mapped.columns}
-    timed = mapped.withColumns(times) if times else mapped
+    shaped = shape_dimension(records, entity, fields, statuses)
     if numeric_text is None:
-        numeric_text = numeric_text_columns(timed)
-    return reshape.fill_numbers(reshape.cast_numbers(timed, numeric_text))
+        numeric_text = numeric_text_columns(shaped)
+    return reshape.fill_numbers(reshape.cast_numbers(shaped, numeric_text))
 
 
 def load_dimension(
@@ -255,37 +280,76 @@ def load_dimension(
     database: str,
     order: Sequence[str],
     csv_path: str | None = None,
+    buckets: int = 0,
     **options: object,
 ) -> str:
-    """Normalise and upsert one entity; ads also seed the creatives they name. ``csv_path`` gets a copy of the rows."""
+    """Normalise and upsert one entity; ads also seed the creatives they name. ``csv_path`` gets a copy of the rows.
+
+    The records are read once: shaped, profiled and staged by one job, and all else reads the stage. New tables are
+    bucketed by their key if ``buckets`` says into how many.
+    """
     plan = DIMENSIONS[entity]
-    rows = normalise_dimension(records, entity, **options)
+    rows, path = _staged_dimension(records, entity, **options)
     if plan.keep_first:
         rows = keep_first(rows, [plan.id_column], order)
     if csv_path:
         landed.write_csv(stored_columns(rows), csv_path)
-    return _store_dimension(spark, rows, plan, database, order)
+    table = _store_dimension(spark, rows, plan, database, order, buckets)
+    drop_stage(spark, path)
+    return table
+
 
+def _staged_dimension(
+    records: DataFrame, entity: str, numeric_text: Iterable[str] | None = None, **options: object
+) -> tuple[DataFrame, str]:
+    """Normalised rows read from a stage, and where that is."""
+    shaped = shape_dimension(records, entity, **options)
+    untyped = {f.name: quoted(f.name).cast("string") for f in shaped.schema if isinstance(f.dataType, T.NullType)}
+    observed, numeric = observed_profile(shaped.withColumns(untyped) if untyped else shaped)
+    path = write_stage(observed, f"dim-{entity}")
+    staged = records.sparkSession.read.schema(observed.schema).parquet(path)
+    known = numeric() if numeric_text is None else numeric_text
+    return reshape.fill_numbers(reshape.cast_numbers(staged, known)), path
 
-def _store_dimension(spark: SparkSession, rows: DataFrame, plan: Dimension, database: str, order: Sequence[str]) -> str:
+
+def _store_dimension(
+    spark: SparkSession, rows: DataFrame, plan: Dimension, database: str, order: Sequence[str], buckets: int = 0
+) -> str:
     table = f"{database}.{plan.table}"
-    upsert_table(spark, rows, table, order, fv.NATURAL_KEYS[plan.table])
+    upsert_table(spark, rows, table, order, fv.NATURAL_KEYS[plan.table], layout=layout_of(table, buckets))
     if plan.table == fv.ADS:
-        upsert_table(spark, creatives_of_ads(rows, order), f"{database}.{fv.CREATIVES}", None)
+        creatives = f"{database}.{fv.CREATIVES}"
+        upsert_table(spark, creatives_of_ads(rows, order), creatives, None, layout=layout_of(creatives, buckets))
     return table
 
 
 def replay_dimension(
     spark: SparkSession, raw: DataFrame, entity: str, database: str, limit: int | None = None, **options: object
 ) -> str:
-    """Load a dimension again from its raw payloads, the newest of each key.
+    """Load a dimension again from its raw payloads, the newest of each key; only those are decoded.
 
     Entities without declared fields take those found in the payloads, by one job.
     """
+    plan = DIMENSIONS[entity]
     rows = landed.first_ids(raw, limit)
     schema = landed.entity_schema(entity) if entity in fv.ENTITY_FIELDS else landed.payload_schema(rows)
-    records = normalise_dimension(landed.decode_payload(rows, schema), entity, **options)
-    return _store_dimension(spark, records, DIMENSIONS[entity], database, ["_raw_id"])
+    key = plan.id_column if plan.id_column in schema.names else "id"
+    if _kept_as_is(options.get("fields"), plan.id_column, key) and not options.get("statuses"):
+        rows = landed.newest_payloads(rows, [key])
+    records, path = _staged_dimension(landed.decode_payload(rows, schema), entity, **options)
+    table = _store_dimension(spark, records, plan, database, ["_raw_id"])
+    drop_stage(spark, path)
+    return table
+
+
+def _kept_as_is(fields: FieldMap | None, *names: str) -> bool:
+    """Whether a field map leaves these fields under their names and gives none of the names to another field."""
+    if fields is None:
+        return True
+    hidden = fields.excluded | fields.pending
+    return not any(n in hidden or fields.renames.get(n, n) != n for n in names) and not any(
+        new in names and old != new for old, new in fields.renames.items()
+    )
 
 
 def stored_columns(df: DataFrame) -> DataFrame:
@@ -326,9 +390,64 @@ def create_full_view(spark: SparkSession, database: str) -> bool:
     return True
 
 
+#: The month of a combined row, by which that table is kept: a day's rows are too few for files of their own.
+COMBINED_MONTH = "date_month"
+_COMBINED = "combined"
+#: For each dimension of the view, the fact's column that holds its key.
+_FACT_KEYS = {fv.ADS: "ad_id", fv.CAMPAIGNS: "campaign_id", fv.ADSETS: "adset_id", fv.ACCOUNTS: "account_id"}
+
+
 def materialise_combined(spark: SparkSession, database: str, mirror: str | None = None) -> int:
-    """Write the full view as a table, mirror it if asked, and return its row count."""
-    rows = materialise(full_view(spark, database), f"{database}.{fv.COMBINED}")
+    """Keep the full view as a table, mirror it if asked, and return its row count.
+
+    The table is kept by month. Once it stands, only months are written anew that hold a changed day of the fact, or a
+    fact row whose account, ad, creative, campaign or ad set changed; all other months keep their files. What changed
+    comes from the database's ledger. The whole table is written where columns changed or a table was replaced whole.
+    """
+    table = f"{database}.{fv.COMBINED}"
+    changes.start(spark, database)
+    sources = [fv.AD_FACT, *_FACT_KEYS, fv.CREATIVES]
+    present = [n for n in sources if spark.catalog.tableExists(f"{database}.{n}")]
+    due, before = changes.owed(spark, database, _COMBINED, present), changes.logged(spark, database)
+    view = full_view(spark, database)
+    rows = view.withColumn(COMBINED_MONTH, F.trunc(F.col(fv.DATE_PARTITION).cast("date"), "MM"))
+    months = _months_due(spark, database, due, table, rows)
+    if months is None:
+        replace_table(rows, table, layout=Layout((COMBINED_MONTH,), tuple(fv.FACT_CLUSTER)))
+    elif months:
+        replace_days(rows, table, months)
+    for name in present:
+        changes.take(spark, database, _COMBINED, name, before if due[name] is None else due[name], whole=due[name] is None)
+    changes.prune(spark, database)
     if mirror:
-        sync_tables(spark, database, mirror, [fv.COMBINED], create=True)
-    return rows
+        sync_tables(spark, database, mirror, [fv.COMBINED], create=True, owed=True)
+    return spark.table(table).count()
+
+
+def _months_due(
+    spark: SparkSession, database: str, due: Mapping[str, list | None], table: str, rows: DataFrame
+) -> set[date] | None:
+    """Months of the combined table to be written anew, None for all of them."""
+    whole = any(entries is None or any(e.day is None and not e.has_keys for e in entries) for entries in due.values())
+    if whole or not spark.catalog.tableExists(table) or set(spark.table(table).columns) != set(rows.columns):
+        return None
+    months = {e.day.replace(day=1) for e in due[fv.AD_FACT]}
+    fact = spark.table(f"{database}.{fv.AD_FACT}")
+    touched = []
+    for name, entries in due.items():
+        if not entries or name == fv.AD_FACT:
+            continue
+        keys = changes.changed_keys(spark, database, entries)
+        column = _FACT_KEYS.get(name, "ad_id")
+        if name == fv.CREATIVES:
+            ads = spark.table(f"{database}.{fv.ADS}")
+            keys = ads.join(keys, ads["creative_id"] == keys["key"], "left_semi").select(F.col("ad_id").alias("key"))
+        elif name == fv.ACCOUNTS:
+            keys = keys.select(without_prefix(F.col("key")).alias("key"))
+        if column in fact.columns:
+            hit = fact.join(keys, fact[column] == keys["key"], "left_semi")
+            touched.append(hit.select(F.trunc(F.col(fv.DATE_PARTITION).cast("date"), "MM").alias("month")))
+    if touched:
+        # Bounded by the calendar.
+        months |= {r[0] for r in reduce(DataFrame.union, touched).distinct().collect()}
+    return None if None in months else months

@@ -6,12 +6,12 @@ A step that fails raises, so a job never reports success over a failed write.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from adtally import fixed_values as fv
-from adtally.operators.windows import rolling_range
+from adtally.functions.names import fact_table_name
 from adtally.plans.loads import create_full_view, load_dimension, load_range, load_rolling, materialise_combined
 from adtally.plans.sync import sync_tables
 from adtally.sources.tables import backup
@@ -41,15 +41,15 @@ def refresh_delivery(
 ) -> None:
     """The light job of every few hours: accounts and the last days of delivery, today included.
 
-    The mirror gets those days only, so a day that a failed run left out of it comes with the next run that loads it,
-    or with ``refresh_range``, which mirrors every day.
+    The mirror gets the accounts and the fact of ``level`` as far as they changed since it last got them, by whatever
+    load, and what a failed run left out.
     """
     load_dimension(spark, accounts, "accounts", database, order)
     load_rolling(spark, delivery, level, database, order, today, days_back, include_today=True, **options)
     create_full_view(spark, database)
     if mirror:
-        days = _days(*rolling_range(today, days_back, include_today=True))
-        sync_tables(spark, database, mirror, [fv.ACCOUNTS, fv.AD_FACT], create=True, days=days)
+        fact = fact_table_name(level, options.get("breakdowns", ()))
+        sync_tables(spark, database, mirror, [fv.ACCOUNTS, fact], create=True, owed=True)
 
 
 def refresh_daily(
@@ -64,10 +64,10 @@ def refresh_daily(
     mirror: str | None = None,
     **options: object,
 ) -> None:
-    """Dimensions and the last days of delivery up to yesterday; the mirror gets those days."""
+    """Dimensions and the last days of delivery up to yesterday; the mirror gets what changed."""
     _load_entities(spark, database, entities, order)
     load_rolling(spark, delivery, level, database, order, today, days_back, **options)
-    _publish(spark, database, mirror, ["all"], _days(*rolling_range(today, days_back)))
+    _publish(spark, database, mirror, ["all"])
 
 
 def refresh_range(
@@ -98,18 +98,12 @@ def _load_entities(spark: SparkSession, database: str, entities: Mapping[str, Da
             load_dimension(spark, entities[entity], entity, database, order)
 
 
-def _days(first: date, last: date) -> list[date]:
-    return [first + timedelta(n) for n in range((last - first).days + 1)]
-
-
-def _publish(
-    spark: SparkSession, database: str, mirror: str | None, names: Sequence[str], days: Sequence[date] | None = None
-) -> None:
+def _publish(spark: SparkSession, database: str, mirror: str | None, names: Sequence[str]) -> None:
     complete = create_full_view(spark, database)
     if not mirror:
         return
     present = [n for n in names if n == "all" or spark.catalog.tableExists(f"{database}.{n}")]
     if present:
-        sync_tables(spark, database, mirror, present, create=True, days=days)
+        sync_tables(spark, database, mirror, present, create=True, owed=True)
     if complete:
         materialise_combined(spark, database, mirror)

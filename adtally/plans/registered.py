@@ -26,4 +26,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], Dat
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from adtally.plans import queries_keyed, queries_reporting, queries_reshape, queries_tables  # noqa: F401
+    from adtally.plans import queries_changes, queries_keyed, queries_reporting, queries_reshape, queries_tables  # noqa: F401

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from adtally import fixed_values as fv
 from adtally.operators.keyed import prepare_for_mirror
 from adtally.operators.profile import day_if_all_parse
-from adtally.sources.tables import table_names, truncate_tables, upsert_table, write_table
+from adtally.sources import changes
+from adtally.sources.tables import (
+    Layout, replace_days, stored_layout, table_names, truncate_tables, upsert_table, write_table,
+)
 
 MODES = ("auto", "merge", "truncate", "append")
 
@@ -50,12 +54,18 @@ def sync_tables(
     exclude: Mapping[str, Sequence[str]] | None = None,
     rename: str | None = None,
     days: Sequence[date] | None = None,
+    owed: bool = False,
 ) -> list[str]:
     """Mirror tables, or named views, of database ``source`` into database ``mirror``; returns the mirrored names.
 
     Every table is checked before the first one is written. Partitions of the
     source are the unit of work, so there are no chunks to size. With ``days``
     a fact table that is merged into an existing mirror takes only those along.
+
+    With ``owed`` the source keeps a ledger of its changes, and the mirror gets
+    what it lacks: the changed days of tables that are merged or kept by day,
+    other tables whole, and nothing of a table that did not change. What a
+    failed run left out comes with the next one.
     """
     names = choose_tables(tables, table_names(spark, source), table_names(spark, mirror), create)
     if rename and len(names) != 1:
@@ -67,15 +77,49 @@ def sync_tables(
             raise ValueError(f"source table does not exist: {source}.{name}")
         if not create and not spark.catalog.tableExists(f"{mirror}.{target}"):
             raise ValueError(f"mirror table does not exist: {mirror}.{target}")
+    consumer = f"mirror {mirror}" + (f".{rename}" if rename else "")
+    if owed:
+        changes.start(spark, source)
+        due, before = changes.owed(spark, source, consumer, names), changes.logged(spark, source)
     for name, target in targets.items():
         rows = spark.table(f"{source}.{name}").drop(*(exclude or {}).get(name, ()))
-        _mirror(spark, rows, name, f"{mirror}.{target}", modes[name], days)
+        target = f"{mirror}.{target}"
+        is_view = spark.catalog.getTable(f"{source}.{name}").tableType == "VIEW"
+        layout = None if is_view else replace(stored_layout(spark, f"{source}.{name}"), bucket_key="", buckets=0)
+        if not owed or is_view or modes[name] == "append":
+            _mirror(spark, rows, name, target, modes[name], days, layout)
+            continue
+        entries = due[name] if spark.catalog.tableExists(target) else None
+        if entries is None:
+            _mirror(spark, rows, name, target, modes[name], None, layout)
+        elif entries:
+            changed = {e.day for e in entries}
+            by_day = None if None in changed else sorted(changed)
+            if modes[name] == "merge" or by_day is None or not _replace_days(spark, rows, name, target, by_day):
+                _mirror(spark, rows, name, target, modes[name], by_day, layout)
+        changes.take(spark, source, consumer, name, before if due[name] is None else due[name], whole=due[name] is None)
+    if owed:
+        changes.prune(spark, source)
     return names
 
 
+def _replace_days(spark: SparkSession, rows: DataFrame, name: str, target: str, days: Sequence[date]) -> bool:
+    """Replace some days of a mirror table that is kept by the same days as its source; False if it isn't."""
+    partition = stored_layout(spark, target).partition
+    prepared = prepare_for_mirror(rows, name)
+    if len(partition) != 1 or prepared.columns != spark.table(target).columns:
+        return False
+    if prepared.schema[partition[0]].dataType != spark.table(target).schema[partition[0]].dataType:
+        return False
+    replace_days(prepared, target, days)
+    return True
+
+
 def _mirror(
-    spark: SparkSession, rows: DataFrame, name: str, target: str, mode: str, days: Sequence[date] | None
+    spark: SparkSession, rows: DataFrame, name: str, target: str, mode: str, days: Sequence[date] | None, layout: Layout | None
 ) -> None:
+    """Write one mirror table; a new one is laid out like its source, where that is kept by day or month."""
+    layout = layout if layout and layout.partition else None
     if mode != "merge" or fv.DATE_PARTITION not in fv.NATURAL_KEYS[name] or not spark.catalog.tableExists(target):
         days = None
     if days is not None:
@@ -85,8 +129,8 @@ def _mirror(
         prepared = day_if_all_parse(prepared, fv.DATE_PARTITION)
     if mode == "merge":
         # Source tables hold a key once.
-        upsert_table(spark, prepared, target, order=None, keys=fv.NATURAL_KEYS[name], days=days)
+        upsert_table(spark, prepared, target, order=None, keys=fv.NATURAL_KEYS[name], days=days, layout=layout)
     elif mode == "truncate" and prepared.isEmpty():
         truncate_tables(spark, [target])
     else:
-        write_table(prepared, target, mode)
+        write_table(prepared, target, mode, layout)

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from adtally import fixed_values as fv
 from adtally.functions.names import breakdown_key, is_bookkeeping, quoted
+from adtally.session import drop_stage
 
 METRIC_LIST = "ARRAY<STRUCT<action_type: STRING, indicator: STRING, value: STRING>>"
 UNREADABLE = "_unreadable"
@@ -86,10 +87,12 @@ def read_text_csv(spark: SparkSession, path: str, required: Iterable[str] = ())
 
 
 def write_csv(df: DataFrame, path: str) -> bool:
-    """CSV with a header, one file per task; nothing is written for no rows."""
-    if df.isEmpty():
+    """CSV with a header, one file per task; nothing is left for no rows. The rows are counted while they are written."""
+    counter = Observation("csv")
+    df.observe(counter, F.count(F.lit(1)).alias("n")).write.option("header", True).csv(path)
+    if not counter.get["n"]:
+        drop_stage(df.sparkSession, path)
         return False
-    df.write.option("header", True).csv(path)
     return True
 
 
@@ -182,6 +185,21 @@ def decode_payload(rows: DataFrame, schema: T.StructType, keep: Iterable[str] =
     )
 
 
+def newest_payloads(rows: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Raw rows without those that a later row of the same key replaces, told from the payload's text.
+
+    Only the fields that make the key are read, so payloads that lose are never decoded; each task keeps one row of a
+    key before anything is shuffled. Rows whose payload is no object or lacks a key all stay: the load decides on them.
+    """
+    if not isinstance(rows.schema["payload"].dataType, T.StringType):
+        return rows
+    found = {f"_key_{i}": F.get_json_object("payload", f"$['{key}']") for i, key in enumerate(keys)}
+    keyed = rows.withColumns(found)
+    lone = F.when(F.concat(*[F.col(c) for c in found]).isNull(), F.col("id"))
+    newest = Window.partitionBy(*found, lone).orderBy(F.col("id").desc_nulls_last())
+    return keyed.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank", *found)
+
+
 def payload_schema(rows: DataFrame) -> T.StructType:
     """Schema of the object payloads, from one aggregation job; fields of mixed shapes are text."""
     shape = F.schema_of_variant(F.try_parse_json("payload"))

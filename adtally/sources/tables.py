@@ -17,13 +17,18 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from adtally import fixed_values as fv
 from adtally.functions.names import column_name, is_bookkeeping, quoted
-from adtally.operators.evolve import align_declared, columns_to_add, fit_stored, promotable, repair_types
+from adtally.operators.evolve import (
+    align_declared, columns_to_add, fit_stored, promotable, repair_types, type_changes, unfit_values,
+)
 from adtally.operators.keyed import keep_last, reject_null_keys, require_columns, upsert
 from adtally.operators.profile import numeric_text_columns
 from adtally.operators.reshape import coalesce_duplicates
 from adtally.session import drop_stage, write_stage
+from adtally.sources import changes
 
 _NEXT = "__next"
+#: Comment of a text column that stays text although batches have numbers for it.
+KEPT_TEXT = "holds text that is no number"
 
 
 @dataclass(frozen=True)
@@ -46,6 +51,8 @@ def layout_of(table: str, buckets: int = 0, keys: Sequence[str] | None = None) -
     name = table.split(".")[-1]
     entity = (keys or fv.NATURAL_KEYS.get(name, [""]))[0]
     buckets = buckets if entity else 0
+    if name == fv.RAW_INSIGHTS:
+        return Layout(("level", fv.DATE_PARTITION))
     if name.startswith(fv.FACT_TABLE_PREFIX):
         return Layout((fv.DATE_PARTITION,), tuple(fv.FACT_CLUSTER), entity, buckets)
     return Layout(bucket_key=entity, buckets=buckets)
@@ -78,8 +85,9 @@ def laid_out(df: DataFrame, layout: Layout) -> DataFrame:
     return shaped.select(*[quoted(c) for c in columns])
 
 
-def _create(df: DataFrame, table: str, layout: Layout) -> None:
-    writer = laid_out(df, layout).write.format("parquet")
+def _create(df: DataFrame, table: str, layout: Layout, arranged: bool = False) -> None:
+    """``arranged`` rows come from files of the same layout and are written in their order."""
+    writer = (df if arranged and not layout.buckets else laid_out(df, layout)).write.format("parquet")
     if layout.partition:
         writer = writer.partitionBy(*layout.partition)
     if layout.buckets:
@@ -106,6 +114,7 @@ def write_table(df: DataFrame, table: str, mode: str = "append", layout: Layout
         wanted = layout or layout_of(table)
         _create(df, table, replace(wanted, partition=tuple(p for p in wanted.partition if p in df.columns)))
         return
+    changes.record(spark, table, None)
     add_columns(spark, table, columns_to_add(df, spark.table(table).columns))
     stored = spark.table(table).schema
     shaped = laid_out(fit_stored(df, table.split(".")[-1], stored), stored_layout(spark, table))
@@ -114,10 +123,12 @@ def write_table(df: DataFrame, table: str, mode: str = "append", layout: Layout
     ]).write.insertInto(table)
 
 
-def replace_table(df: DataFrame, table: str) -> None:
-    """Put ``df``, which may read the table, in its place with the same layout.
+def replace_table(
+    df: DataFrame, table: str, arranged: bool = False, keys: DataFrame | None = None, layout: Layout | None = None
+) -> None:
+    """Put ``df``, which may read the table, in its place with the same or the given layout.
 
-    A failed write leaves the table as it was. Between the drop and the rename
+    If only rows with some ``keys`` change, the ledger of changes gets these. A failed write leaves the table as it was. Between the drop and the rename
     the new version exists complete beside the table, and ``finish_replace``
     completes an interrupted swap.
     """
@@ -126,13 +137,26 @@ def replace_table(df: DataFrame, table: str) -> None:
     for leftover in _next_versions(spark, table):
         spark.sql(f"DROP TABLE {leftover}")
     fresh = f"{table}{_NEXT}{uuid.uuid4().hex[:8]}"
-    layout = stored_layout(spark, table) if spark.catalog.tableExists(table) else layout_of(table)
+    if layout is None:
+        layout = stored_layout(spark, table) if spark.catalog.tableExists(table) else layout_of(table)
     layout = replace(layout, partition=tuple(p for p in layout.partition if p in df.columns))
-    _create(df, fresh, layout)
+    _create(df, fresh, layout, arranged)
+    changes.record(spark, table, None, keys)
+    _note_kept_text(spark, fresh, _kept_text(spark, table) if spark.catalog.tableExists(table) else set())
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     finish_replace(spark, table)
 
 
+def _kept_text(spark: SparkSession, table: str) -> set[str]:
+    return {c.name for c in spark.catalog.listColumns(table) if c.description == KEPT_TEXT}
+
+
+def _note_kept_text(spark: SparkSession, table: str, columns: Iterable[str]) -> None:
+    texts = {f.name for f in spark.table(table).schema if isinstance(f.dataType, T.StringType)}
+    for column in sorted(texts & set(columns)):
+        spark.sql(f"ALTER TABLE {table} ALTER COLUMN `{column}` COMMENT '{KEPT_TEXT}'")
+
+
 def _next_versions(spark: SparkSession, table: str) -> list[str]:
     database, _, name = table.rpartition(".")
     found = spark.catalog.listTables(database or None)
@@ -150,20 +174,33 @@ def finish_replace(spark: SparkSession, table: str) -> None:
             spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
 
-def overwrite_partitions(rows: DataFrame, table: str) -> None:
+def overwrite_partitions(rows: DataFrame, table: str, changed: str | None = None) -> None:
     """Stage the rows in full, then replace the partitions they hold and no others.
 
+    With a column ``changed``, a day without a row for which it holds keeps the files it has.
+
     Whether an overwrite spares other partitions is a setting of the session,
     so it is done in a session of its own and no other write can be affected.
     """
     spark = rows.sparkSession
     name = table if "." in table else f"{spark.catalog.currentDatabase()}.{table}"
+    layout = stored_layout(spark, table)
+    day = quoted(layout.partition[0])
     path = write_stage(rows, table.split(".")[-1])
     writer = spark.newSession()
     writer.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     staged = writer.read.schema(rows.schema).parquet(path)
-    laid_out(staged, stored_layout(spark, table)).write.insertInto(name, overwrite=True)
-    spark.catalog.refreshTable(table)
+    days = []
+    if changed or changes.is_kept(spark, table):
+        # Bounded by the calendar.
+        days = [r[0] for r in (staged.where(quoted(changed)) if changed else staged).select(day).distinct().collect()]
+        changes.record(spark, table, None if None in days else days)
+    if changed:
+        found = day.isin([d for d in days if d is not None])
+        staged = staged.where(found | day.isNull() if None in days else found).drop(changed)
+    if days or not changed:
+        laid_out(staged, layout).write.insertInto(name, overwrite=True)
+        spark.catalog.refreshTable(table)
     drop_stage(spark, path)
 
 
@@ -184,17 +221,29 @@ def remove_rows(doomed: DataFrame, kept: DataFrame, table: str) -> None:
     if None in days:
         replace_table(kept, table)
         return
-    staying = {r[0] for r in kept.where(day.isin(list(days))).select(day).distinct().collect()}
+    replace_days(kept, table, days)
+
+
+def replace_days(rows: DataFrame, table: str, days: Iterable[date]) -> None:
+    """Replace some partitions of a table by day with what ``rows`` have for those days; a day without rows goes."""
+    spark, days = rows.sparkSession, set(days)
+    partition = stored_layout(spark, table).partition[0]
+    day = quoted(partition)
+    chosen = rows.select(*[quoted(c) for c in spark.table(table).columns]).where(day.isin(list(days)))
+    staying = {r[0] for r in chosen.select(day).distinct().collect()}
+    if days - staying:
+        changes.record(spark, table, days - staying)
     if staying:
-        overwrite_partitions(kept.where(day.isin(list(staying))), table)
+        overwrite_partitions(chosen.where(day.isin(list(staying))), table)
     for empty in sorted(days - staying):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition[0]} = DATE'{empty}')")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition} = DATE'{empty}')")
     spark.catalog.refreshTable(table)
 
 
 def truncate_tables(spark: SparkSession, tables: Iterable[str]) -> None:
     for table in tables:
         if spark.catalog.tableExists(table):
+            changes.record(spark, table, None)
             spark.sql(f"TRUNCATE TABLE {table}")
 
 
@@ -232,6 +281,10 @@ def upsert_table(
     staged in full before any is replaced. They are found by a job over the
     batch's days, or given as ``days``, and then a batch row of another day
     fails the load. ``layout`` is that of a new table.
+
+    Types that the batch has outgrown are changed first (``migrate_types``).
+    Days, and tables that are not kept by day, in which no row changes keep
+    their files. What changes is noted in the database's ledger.
     """
     name = table.split(".")[-1]
     keys = list(keys or fv.NATURAL_KEYS[name])
@@ -248,6 +301,7 @@ def upsert_table(
         flat = created.select(*[quoted(f.name) for f in columns_to_add(created, [])])
         write_table(flat, table, layout=layout)
         return
+    migrate_types(spark, table, batch)
     add_columns(spark, table, columns_to_add(batch.drop(*hidden), spark.table(table).columns, name))
     target = spark.table(table)
     kept = [c for c in batch.columns if c in target.columns or c in (order or ())]
@@ -263,11 +317,47 @@ def upsert_table(
         outside = F.raise_error(F.lit(f"{partition[0]} outside the days to load"))
         batch = batch.withColumn(partition[0], F.when(day.isNull() | day.cast("date").isin(list(days)), day).otherwise(outside))
         target = target.where(day.isin(list(days)))
-    merged = upsert(target, batch, keys, order, absent).select(*[quoted(c) for c in target.columns])
+    merged = upsert(target, batch, keys, order, absent, changed="_changed")
+    merged = merged.select(*[quoted(c) for c in target.columns], "_changed")
     if partition:
-        overwrite_partitions(merged, table)
-    else:
-        replace_table(merged, table)
+        overwrite_partitions(merged, table, "_changed")
+        return
+    path = write_stage(merged, name)
+    staged = spark.read.schema(merged.schema).parquet(path)
+    touched = staged.where("_changed")
+    if not touched.isEmpty():
+        replace_table(staged.drop("_changed"), table, keys=touched.select(quoted(keys[0])) if len(keys) == 1 else None)
+    drop_stage(spark, path)
+
+
+def migrate_types(spark: SparkSession, table: str, batch: DataFrame) -> list[str]:
+    """Change the stored types that ``batch`` has outgrown; returns the columns changed.
+
+    Whole-number ids become text and declared days DATE. Texts that the batch has as numbers become DOUBLE if all
+    stored ones are numbers; else they stay text, which is noted so that no later load looks at them again. A stored
+    text that is no day fails, naming table and column. The files are rewritten as they lie, in one job, and swapped in
+    whole. A table whose types fit costs no job.
+    """
+    stored, name = spark.table(table), table.split(".")[-1]
+    ids, days, numbers = type_changes(stored, name, batch)
+    if numbers:
+        kept = _kept_text(spark, table)
+        numbers = [n for n in numbers if n not in kept]
+    if not ids and not days and not numbers:
+        return []
+    unfit = unfit_values(stored, batch, days, numbers)
+    for day in days:
+        if unfit[day] is not None:
+            raise ValueError(f"{table}.{day} is to be a day, but holds {unfit[day]!r}")
+    texts = [n for n in numbers if unfit[n] is not None]
+    promoted = [n for n in numbers if unfit[n] is None]
+    if ids or days or promoted:
+        layout = stored_layout(spark, table)
+        repaired = repair_types(stored, name, promoted)
+        unsorted = any(c in layout.partition for c in days)
+        replace_table(repaired, table, arranged=not unsorted, layout=layout)
+    _note_kept_text(spark, table, texts)
+    return [*ids, *days, *promoted]
 
 
 def repair_table(spark: SparkSession, table: str, batch: DataFrame | None = None) -> None:
@@ -298,7 +388,7 @@ def catalog_columns(spark: SparkSession, database: str) -> DataFrame:
 def table_names(spark: SparkSession, database: str) -> list[str]:
     """The tables of a database, without views and unfinished versions."""
     names = (t.name for t in spark.catalog.listTables(database) if not t.isTemporary and t.tableType != "VIEW")
-    return sorted(n for n in names if _NEXT not in n)
+    return sorted(n for n in names if _NEXT not in n and n not in changes.SCHEMAS)
 
 
 def recognised_tables() -> set[str]:
@@ -332,6 +422,7 @@ def restore(spark: SparkSession, backup_database: str, database: str, dry_run: b
             spark.sql(f"DROP TABLE {leftover}")
         _create(spark.table(source), f"{target}{_NEXT}{uuid.uuid4().hex[:8]}", stored_layout(spark, source))
     for name in tables:
+        changes.record(spark, f"{database}.{name}", None)
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         finish_replace(spark, f"{database}.{name}")
     return tables

@@ -28,6 +28,9 @@ SAMPLE, CENTRES, QUERY_BLOCK, DATA_BLOCK = 2048, 256, 2048, 8192
 #: Points of a leaf, and most children of a node.
 LEAF, FAN = 128, 16
 
+#: Room for rounding where scores are too large for floating point.
+ROUNDING = 1e-12
+
 
 def quantised_rows(embeddings: DataFrame, factor: int = 64) -> DataFrame:
     """vec_id and v: floor(factor * x) of each component, taken as double.
@@ -45,9 +48,9 @@ def quantised(embeddings: DataFrame, factor: int = 64) -> DataFrame:
     return quantised_rows(embeddings, factor).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
-def matrix(rows, width: int) -> np.ndarray:
+def matrix(rows, width: int, kind: type = float) -> np.ndarray:
     """Vectors as rows; shorter ones end in zeros."""
-    out = np.zeros((len(rows), width))
+    out = np.zeros((len(rows), width), kind)
     for i, row in enumerate(rows):
         out[i, :len(row)] = row
     return out
@@ -117,10 +120,17 @@ def bound(a: Node, b: Node) -> float:
     return top + 1e-9 * (1 + abs(top))
 
 
-def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.ndarray, floor: np.ndarray, k: int):
-    """The k best of ``data`` for each query with a score of ``floor`` or more: rows of query, id, score."""
+def search(
+    queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np.ndarray, floor: np.ndarray, k: int, whole=None
+):
+    """The k best of ``data`` for each query with a score of ``floor`` or more: rows of query, id, score.
+
+    ``whole`` has both sides as whole numbers where products are too large for floating point; bounds have room for it.
+    """
     q_order, q_root = cover_tree(queries, LEAF)
     d_order, d_root = cover_tree(data, LEAF)
+    if whole is not None:
+        queries, data = whole
     queries, query_ids, kth = queries[q_order], query_ids[q_order], floor[q_order].astype(float)
     data, ids = data[d_order], ids[d_order]
     kept_q, kept_id, kept_score = (np.zeros(0, np.int64) for _ in range(3))
@@ -137,7 +147,7 @@ def search(queries: np.ndarray, query_ids: np.ndarray, data: np.ndarray, ids: np
             top = np.lexsort((name, -score))[:k]
             best[q] = (score[top], name[top])
             if len(top) == k:
-                kth[q] = max(kth[q], float(score[top[-1]]))
+                kth[q] = max(kth[q], float(score[top[-1]]) * (1 if whole is None else 1 - np.sign(score[top[-1]]) * ROUNDING))
 
     pairs = [(bound(q_root, d_root), q_root, d_root)]
     while pairs:
@@ -175,18 +185,18 @@ def _block(blocks: list[int]) -> Column:
     return F.pmod(F.xxhash64("vec_id", "row"), F.element_at(counts, F.col("node") + 1)).cast("int")
 
 
-def _cells(rows: DataFrame, partners: list[list[tuple[int, int]]], side: str, other: str) -> DataFrame:
-    """Each row once for every block that its node is paired with; ``partners`` has those by node."""
-    lists = F.array(*[
-        F.array(*[F.struct(F.lit(n).alias("node"), F.lit(b).alias("block")) for n, b in held]).cast(
-            "array<struct<node:int,block:int>>"
-        )
-        for held in partners
-    ])
-    return rows.withColumn("partner", F.explode(F.element_at(lists, F.col("node") + 1))).select(
+def _cells(rows: DataFrame, pairs: DataFrame, side: str, other: str) -> DataFrame:
+    """Each row once for every block of the nodes that its own node is paired with.
+
+    ``pairs`` has q_node, d_node and the blocks of both: CENTRES squared rows at most, whatever the table.
+    """
+    partner = pairs.select(F.col(f"{side}_node").alias("node"), f"{other}_node", f"{other}_blocks")
+    met = rows.join(F.broadcast(partner), "node").withColumn(
+        f"{other}_block", F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))
+    )
+    return met.select(
         *[c for c in rows.columns if c not in ("node", "block", "away")],
-        F.col("node").alias(f"{side}_node"), F.col("block").alias(f"{side}_block"),
-        F.col("partner.node").alias(f"{other}_node"), F.col("partner.block").alias(f"{other}_block"),
+        F.col("node").alias(f"{side}_node"), F.col("block").alias(f"{side}_block"), f"{other}_node", f"{other}_block",
     )
 
 
@@ -205,20 +215,24 @@ def _level(rows: DataFrame, centres: int, block: int) -> Level:
     return Level(counts, radii, [max(1, -(-n // block)) for n in counts])
 
 
-def _searched(queries: DataFrame, data: DataFrame, pairs: list[tuple[int, int]], q: Level, d: Level, width: int, k: int):
+def _searched(
+    queries: DataFrame, data: DataFrame, pairs: list[tuple[int, int]], q: Level, d: Level, width: int, k: int, exact: bool
+):
     """query_id, vec_id, score of the pairs of nodes; each query's best in each block."""
-    of_query = [[(m, b) for n2, m in pairs if n2 == n for b in range(d.blocks[m])] for n in range(len(q.counts))]
-    of_data = [[(n, b) for n, m2 in pairs if m2 == m for b in range(q.blocks[n])] for m in range(len(d.counts))]
+    held = queries.sparkSession.createDataFrame(
+        [(n, m, q.blocks[n], d.blocks[m]) for n, m in pairs], "q_node int, d_node int, q_blocks int, d_blocks int"
+    )
     key = ["q_node", "q_block", "d_node", "d_block"]
-    left = _cells(queries, of_query, "q", "d").groupBy(*key)
-    right = _cells(data, of_data, "d", "q").groupBy(*key)
+    left = _cells(queries, held, "q", "d").groupBy(*key)
+    right = _cells(data, held, "d", "q").groupBy(*key)
 
     def run(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         found = ([], [], [])
         if len(mine) and len(theirs):
+            whole = tuple(matrix(side["v"], width, np.int64) for side in (mine, theirs)) if exact else None
             found = search(
                 matrix(mine["v"], width), mine["vec_id"].to_numpy(), matrix(theirs["v"], width),
-                theirs["vec_id"].to_numpy(), mine["floor"].to_numpy(), k,
+                theirs["vec_id"].to_numpy(), mine["floor"].to_numpy(), k, whole,
             )
         return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found, strict=True)), dtype="int64")
 
@@ -237,18 +251,27 @@ def top_k(
 
     Both have vec_id (long) and v (array of long); ties go to the smaller vec_id; fewer than k rows give fewer. Rows that
     share an id are candidates each, but not for each other; queries that share one have k products together.
-    Shorter vectors count as ending in zeros; products must stay below 2**53. Equal vectors are separate rows. Without
-    queries or other rows there are no rows.
+    Shorter vectors count as ending in zeros. Equal vectors are separate rows. Without queries or other rows there are
+    no rows. Scores are floating-point products while the longest vectors show that none reaches 2**53, else products of
+    whole numbers; where one might reach 2**62, it fails.
+
+    A data row goes to each block of queries whose node is paired with its own. Bounds that prune nothing leave all
+    pairs of blocks to compare, which is what an exact search then costs.
     """
     spark = vectors.sparkSession
     none = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     row = F.monotonically_increasing_id().alias("row")  # fixed by the stage; rows of one id are dealt by it
     data = stage(vectors.select("vec_id", "v", row), "topk-data")
     wanted = stage(queries.select("vec_id", "v", row), "topk-queries")
-    size = data.agg(F.max(F.size("v")).alias("width"), F.count(F.lit(1)).alias("n")).first()
-    asked = wanted.agg(F.max(F.size("v")).alias("width"), F.count(F.lit(1)).alias("n")).first()
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    known = F.max(F.size("v")).alias("width"), F.count(F.lit(1)).alias("n"), F.max(F.sqrt(square)).alias("length")
+    size, asked = data.agg(*known).first(), wanted.agg(*known).first()
     if not size["n"] or not asked["n"]:
         return none
+    largest = size["length"] * asked["length"] * (1 + ROUNDING)
+    if largest >= 2.0**62:
+        raise ValueError(f"inner products may reach {largest:.3g}, which whole numbers of 64 bits don't hold for sure")
+    exact = largest >= 2.0**53
     width = max(1, size["width"], asked["width"])
     sample = [r["v"] for r in data.orderBy(F.xxhash64("vec_id", "row"), "vec_id", "row").limit(SAMPLE).select("v").collect()]
     points = matrix(sample, width)
@@ -274,14 +297,16 @@ def top_k(
                 first.append((n, m))
                 held += d.counts[m]
     lowest = F.lit(float("-inf"))
-    near = stage(_best(_searched(wanted.withColumn("floor", lowest), data, first, q, d, width, k), k), "topk-first")
-    worst = near.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("floor"))
+    near = stage(_best(_searched(wanted.withColumn("floor", lowest), data, first, q, d, width, k, exact), k), "topk-first")
+    worst = near.filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), (
+        F.col("score").cast("double") - (F.abs(F.col("score").cast("double")) * ROUNDING if exact else F.lit(0.0))
+    ).alias("floor"))
     known = wanted.join(worst, "vec_id", "left").withColumn("floor", F.coalesce("floor", lowest))
     floors = {r["node"]: r["floor"] for r in known.groupBy("node").agg(F.min("floor").alias("floor")).collect()}
     rest = [p for p in bounds if p not in set(first) and bounds[p] >= floors[p[0]]]
     found = near.select("query_id", "vec_id", "score")
     if rest:
-        found = found.union(_searched(known, data, rest, q, d, width, k))
+        found = found.union(_searched(known, data, rest, q, d, width, k, exact))
     return _best(found, k).select("query_id", "rank", "vec_id", "score")
 
 

@@ -238,3 +238,23 @@ def test_pipeline_equals_a_plain_one(spark):
 def test_folds_follow_the_checksum(spark):
     got = spark.range(50).select("id", features.fold(__import__("pyspark").sql.functions.col("id"), 3).alias("f")).collect()
     assert all(r["f"] == zlib.crc32(str(r["id"]).encode()) % 3 for r in got)
+
+
+def test_products_beyond_floating_point_are_exact_or_refused(spark):
+    big = 2**27 + 1
+    rows = [(1, [big, 3]), (2, [big, 5]), (3, [big, 4]), (4, [-big, 1])]
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>")
+    got = [tuple(r) for r in topk.top_k(df, df.filter("vec_id = 1"), 2).orderBy("rank").collect()]
+    assert got == [(1, 1, 2, big * big + 15), (1, 2, 3, big * big + 12)]
+    huge = spark.createDataFrame([(1, [2**40]), (2, [2**40])], "vec_id long, v array<long>")
+    with pytest.raises(ValueError, match="inner products"):
+        topk.top_k(huge, huge, 1)
+
+
+def test_search_plans_do_not_grow_with_the_rows(spark):
+    sizes = []
+    for n in (300, 3000):
+        df = spark.range(n).selectExpr("id AS vec_id", "array(id % 97, id % 13, id % 7) AS v")
+        plan = topk.top_k(df, df, 3, 64, 128)._jdf.queryExecution().optimizedPlan().toString()
+        sizes.append(len(plan))
+    assert sizes[1] < 1.2 * sizes[0]

@@ -1,21 +1,26 @@
 """Exact deduplication by an extendible-hash index on shared files (DataFrame functions only).
 
-A text's key is its 64-bit XXH64. The directory starts with one bucket and doubles while a bucket holds
-more texts than ``capacity`` and depth is left: a split tells its texts apart by one further leading bit
-of their keys. Texts that share a key are a chain; they are told apart by their bytes.
+A text's key is its 64-bit XXH64. The directory starts with one bucket and doubles while a bucket holds more texts
+than ``capacity``: a split tells its texts apart by one further leading bit of their keys. Each bucket has one owner
+task. It gets the bytes of texts whose key is not their own, compares them, chains different texts of one key, and
+says which row of each link stays.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adtally.llm.rows import filter_bit, filter_slot, fresh, may_hold, stage, text_or_empty, without
 
-#: Different texts that a bucket may hold before it splits.
+#: Different texts that a bucket may hold before it splits; more, if a directory of MOST_BITS can't tell so many apart.
 CAPACITY = 16_384
-#: Leading key bits that a directory may use; buckets that are still overfull then only grow their chains.
-MAX_DEPTH = 14  # of the 18 that the table of counts has
+#: Leading key bits that a directory uses at most: it is built on the driver, from as many counts.
+MOST_BITS = 14  # of the 18 that the table of counts has
+#: Copies of a text that reach its owner are folded into so many rows at most, however many tasks saw some.
+FOLDS = 16
 
 
 def directory(counts: dict[int, int], capacity: int, max_depth: int) -> list[int]:
@@ -47,72 +52,100 @@ def _prefix(key: Column, bits: int) -> Column:
     return F.shiftrightunsigned(key, 64 - bits).cast("int") if bits else F.lit(0)
 
 
-def build_index(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """One row per different text, written to the shared folder bucket by bucket.
+def _hashed(docs: DataFrame, key_of: Callable[[Column], Column]) -> DataFrame:
+    """doc_id, key, text_sha256 of every row, written once: all but the bytes."""
+    text = text_or_empty()
+    return stage(docs.select("doc_id", key_of(text).alias("key"), F.sha2(text, 256).alias("text_sha256")), "exact-rows")
+
+
+def build_index(
+    docs: DataFrame, capacity: int = CAPACITY, most_bits: int = MOST_BITS, key_of: Callable[[Column], Column] = F.xxhash64
+) -> DataFrame:
+    """One row per different text, written to the shared folder by the owners of the buckets.
 
     bucket, key, chain (1 for the first text of a key), text_sha256, keep_id (largest doc_id), group_size.
+    """
+    return _index(docs, _hashed(docs, key_of), capacity, most_bits, key_of)
+
+
+def _index(
+    docs: DataFrame, rows: DataFrame, capacity: int, most_bits: int, key_of: Callable[[Column], Column]
+) -> DataFrame:
+    """``build_index`` with the rows that ``_hashed`` wrote.
 
     Counts come first: the keys by leading bits, a bounded table. It builds the directory on the driver, and a bitmap
     of the keys that more than one row has. Only rows that the bitmap lets through bring their bytes along; others
-    have a key of their own. Each task folds its copies of a text into one row before the shuffle, so a text that
-    holds a third of all rows costs one row per task; equal bytes meet by (key, text). The narrow result goes to the
-    owners of the buckets, which chain what shares a key and write.
+    have a key of their own. Each task folds its copies of a text before the shuffle, and these meet in FOLDS rows a
+    text; so an owner never reads a hot text more often than that.
     """
-    rows = docs.select("doc_id", text_or_empty().alias("text")).withColumn("key", F.xxhash64("text"))
-    keys = rows.groupBy("key").count()
     repeated = F.when(F.col("count") > 1, filter_bit("key")).otherwise(F.lit(0).cast("long"))
     slots = stage(
-        keys.groupBy(filter_slot("key").alias("slot")).agg(
+        rows.groupBy("key").count().groupBy(filter_slot("key").alias("slot")).agg(
             F.bit_or(repeated).alias("bits"), F.count(F.lit(1)).alias("held"),
-            F.min(_prefix(F.col("key"), max_depth)).alias("prefix"),
+            F.min(_prefix(F.col("key"), most_bits)).alias("prefix"),
         ), "exact-slots",
     )
-    held = slots.groupBy("prefix").agg(F.sum("held").alias("held")).collect()
-    entries = directory({r["prefix"]: r["held"] for r in held}, capacity, max_depth)
+    held = {r["prefix"]: r["held"] for r in slots.groupBy("prefix").agg(F.sum("held").alias("held")).collect()}
+    entries = directory(held, max(capacity, sum(held.values()) >> most_bits), most_bits)
     depth = len(entries).bit_length() - 1
     pointers = F.split(F.lit(",".join(map(str, entries))), ",").cast("array<int>")  # folded into a constant
-    bucket = F.element_at(pointers, _prefix(F.col("key"), depth) + 1)
-    marked = may_hold(rows, "key", slots.filter("bits <> 0").select("slot", "bits"), "shared")
-    texts = marked.groupBy(
-        "key", F.when(F.col("shared"), F.col("text")).alias("text"),
-        F.when(~F.col("shared"), F.sha2("text", 256)).alias("alone"),
-    ).agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    narrow = texts.select(
-        bucket.alias("bucket"), "key", F.coalesce("alone", F.sha2("text", 256)).alias("text_sha256"), "keep_id",
-        "group_size",
+    bucket = F.element_at(pointers, _prefix(F.col("key"), depth) + 1).alias("bucket")
+    filled = slots.filter("bits <> 0").select("slot", "bits")
+    folded = F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
+    text = text_or_empty()
+    shared = may_hold(docs.select("doc_id", text.alias("text"), key_of(text).alias("key")), "key", filled, "shared")
+    fold = F.pmod(F.spark_partition_id(), F.lit(FOLDS)).alias("fold")
+    partial = shared.filter("shared").groupBy("key", "text", fold).agg(*folded)
+    own = may_hold(rows, "key", filled, "shared").filter(~F.col("shared"))
+    buckets = len(set(entries))
+    met = partial.select(bucket, "key", "text", "keep_id", "group_size").repartition(buckets, "bucket")
+    equal = met.groupBy("bucket", "key", "text").agg(
+        F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size")
+    )
+    chained = equal.withColumn("chain", F.row_number().over(Window.partitionBy("bucket", "key").orderBy("text"))).select(
+        "bucket", "key", "chain", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size"
     )
-    owners = narrow.repartition(max(1, len(set(entries))), "bucket")
-    chain = F.row_number().over(Window.partitionBy("bucket", "key").orderBy("text_sha256"))
-    return stage(owners.withColumn("chain", chain), "exact-index")
+    alone = own.select(
+        bucket, "key", F.lit(1).alias("chain"), "text_sha256", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size")
+    ).repartition(buckets, "bucket")
+    return stage(chained.unionByName(alone), "exact-index")
 
 
-def decide(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
+def decide(
+    docs: DataFrame, capacity: int = CAPACITY, most_bits: int = MOST_BITS, key_of: Callable[[Column], Column] = F.xxhash64
+) -> DataFrame:
     """For every row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when their bytes are; a null text is empty. Of equal texts the row with the largest doc_id
     stays, and of rows that agree in doc_id and text just one (the others have kept = false). A null doc_id
     loses to any other. Every row counts in group_size. An empty table gives no rows.
     """
-    index = build_index(docs, capacity, max_depth).select("key", "text_sha256", "keep_id", "group_size")
-    text = text_or_empty()
-    rows = docs.select("doc_id", F.xxhash64(text).alias("key"), F.sha2(text, 256).alias("text_sha256"))
+    rows = _hashed(docs, key_of)
+    index = _index(docs, rows, capacity, most_bits, key_of)
+    # What each key's owner decided: its chain, link by link.
+    links = index.groupBy("bucket", "key").agg(
+        F.sort_array(F.collect_list(F.struct("chain", "text_sha256", "keep_id", "group_size"))).alias("links")
+    )
     # Rows that agree in id and text: the first of them is told from the rest by its number.
     same = rows.groupBy("doc_id", "key", "text_sha256").agg(F.count(F.lit(1)).cast("int").alias("times"))
     each = same.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return each.join(index, ["key", "text_sha256"]).select(
-        "doc_id", "keep_id", "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 1)).alias("kept"), "text_sha256",
+    found = each.join(links.select("key", "links"), "key").withColumn(
+        "link", F.get(F.filter("links", lambda x: x["text_sha256"] == F.col("text_sha256")), F.lit(0))
+    )
+    return found.select(
+        "doc_id", "link.keep_id", "link.group_size",
+        (F.col("doc_id").eqNullSafe(F.col("link.keep_id")) & (F.col("nth") == 1)).alias("kept"), "text_sha256",
     )
 
 
-def deduplicate(docs: DataFrame, capacity: int = CAPACITY, max_depth: int = MAX_DEPTH) -> DataFrame:
+def deduplicate(docs: DataFrame, capacity: int = CAPACITY, most_bits: int = MOST_BITS) -> DataFrame:
     """The rows of ``docs`` that stay, with the columns they have.
 
     Only rows that a bitmap of the dropped ids lets through are joined with them, so most texts need no shuffle.
     """
     sha = fresh(docs, "text_sha256")
     out = stage(
-        decide(docs, capacity, max_depth).filter(~F.col("kept")).select(
+        decide(docs, capacity, most_bits).filter(~F.col("kept")).select(
             F.xxhash64("doc_id", "text_sha256").alias("h"), F.col("doc_id").alias("gone_id"),
             F.col("text_sha256").alias("gone_sha"), "keep_id",
         ).distinct(), "exact-dropped",

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 import xxhash
 
 from adtally.llm import exact, simhash
@@ -64,6 +65,20 @@ def test_exact_index_is_chained_by_key(spark, texts):
     assert {r["chain"] for r in index} == {1} and len({r["bucket"] for r in index}) > 4
 
 
+def test_owners_chain_and_compare_texts_that_share_a_key(spark, texts):
+    """Keys that are no more than the text's length: many different texts collide, and stay apart all the same."""
+    collide = lambda text: F.length(text).cast("long")
+    index = exact.build_index(frame(spark, texts), capacity=4, key_of=collide).collect()
+    chains = {}
+    for r in index:
+        chains.setdefault(r["key"], []).append((r["chain"], r["text_sha256"]))
+    assert max(len(c) for c in chains.values()) > 2
+    for chain in chains.values():
+        assert sorted(n for n, _ in chain) == list(range(1, len(chain) + 1)) and len({s for _, s in chain}) == len(chain)
+    plain = sorted(map(tuple, exact.decide(frame(spark, texts)).collect()), key=str)
+    assert sorted(map(tuple, exact.decide(frame(spark, texts), capacity=4, key_of=collide).collect()), key=str) == plain
+
+
 def brute_fingerprint(text):
     words = "".join(c.lower() if "A" <= c <= "Z" else c for c in text).encode().split()
     if not words:

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.llm.rows import fresh, per_text, stage, text_or_empty, without
+from adtally.llm.rows import fresh, join_split, per_text, stage, text_or_empty, without
 
 SHINGLE = 3
 THRESHOLD = 3
@@ -249,7 +249,7 @@ def _with_least(prints: DataFrame, order: Column, block: int) -> DataFrame:
     of = nodes.join(reach, "fp", "left").select(
         "fp", F.coalesce("reach", "least").alias("least"), F.col("reach").isNotNull().alias("links")
     )
-    return prints.join(of, "fp")
+    return join_split(prints, of, "fp")
 
 
 def thin(docs: DataFrame, block: int = BLOCK) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from adtally.llm.rows import per_text
 
 WORD_END = "</w>"
-#: Words whose encoding a worker remembers; then it starts anew.
+#: Words whose encoding a worker remembers in each of two generations: what the older one knows is taken over when used.
 REMEMBERED = 150_000
 #: Symbols by which the longest arc that may follow is looked up.
 HEAD = 3
@@ -70,7 +70,7 @@ def compile_gadgets(model: str) -> dict:
     return {
         "vocab": vocab, "cuts": cuts, "made": made, "special": special,
         "labels": {i: t for t, i in (vocab | special).items()}, "reach": _reach(vocab),
-        "arcs": {}, "words": {},
+        "arcs": {}, "words": {}, "older": {}, **(unicode_tables(model) if spec.get("pre_tokenizer") else {}),
     }
 
 
@@ -138,9 +138,48 @@ def encode_word(tables: dict, word: str) -> list[int]:
     return path
 
 
-SYMBOLS = byte_symbols()
 #: Fixed value: how the tokenizer file splits normalised text.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+"
+#: For chunks of ASCII characters.
+ASCII_PIECES = regex.compile(SPLIT.format(letters="a-zA-Z", numbers="0-9"))
+
+
+def _class(points: Iterable[int]) -> str:
+    """The inside of a character class of some code points."""
+    runs: list[list[int]] = []
+    for point in sorted(points):
+        if runs and runs[-1][1] == point - 1:
+            runs[-1][1] = point
+        else:
+            runs.append([point, point])
+    return "".join(rf"\U{first:08x}-\U{last:08x}" for first, last in runs)
+
+
+def unicode_tables(model: str) -> dict:
+    """What the tokenizer's parts make of characters that Python's unicodedata doesn't know yet.
+
+    ``pieces`` splits a chunk. Letters and numbers are those of unicodedata, and of the newer characters those that the
+    tokenizer's own splitter takes for such; ``newer`` has what its normaliser makes of newer characters, where that is
+    something else. The parts are asked once, on the driver, about each character that is new.
+    """
+    from tokenizers import Tokenizer
+
+    parts = Tokenizer.from_str(model)
+    kinds = [unicodedata.category(chr(point)) for point in range(0x110000)]
+    known = regex.compile(r"\P{Cn}")
+    fresh = [p for p, kind in enumerate(kinds) if kind == "Cn" and known.match(chr(p))]
+    newer = {p: made for p in fresh if (made := parts.normalizer.normalize_str(chr(p))) != chr(p)}
+
+    def pieces(text: str) -> int:
+        return len(parts.pre_tokenizer.pre_tokenize_str(text))
+
+    letters = {p for p, kind in enumerate(kinds) if kind[0] == "L"} | {p for p in fresh if pieces(f"a{chr(p)}") == 1}
+    numbers = {p for p, kind in enumerate(kinds) if kind[0] == "N"} | {p for p in fresh if pieces(chr(p) * 2) == 2}
+    split = SPLIT.format(letters=_class(letters), numbers=_class(numbers))
+    return {"pieces": regex.compile(split), "newer": newer}
+
+
+SYMBOLS = byte_symbols()
 #: Python's split() takes these for blanks, Unicode doesn't.
 SEPARATORS = regex.compile(r"[\x1c-\x1f]")
 BLANKS = regex.compile(r"\p{White_Space}+")
@@ -149,18 +188,23 @@ BLANKS = regex.compile(r"\p{White_Space}+")
 def _chunk(tables: dict, chunk: str) -> tuple[tuple[int, ...], str, str]:
     """Tokens of a run without blanks: ids, ids as text, labels as text."""
     words = tables["words"]
-    ids: list[int] = []
-    pieces = PIECES.findall(chunk)
-    for piece in pieces:
-        if len(pieces) > 1:
-            ids += (words.get(piece) or _chunk(tables, piece))[0]
-        else:
-            plain = piece.isascii() and piece.isprintable()
-            ids += encode_word(tables, piece if plain else "".join([SYMBOLS[b] for b in piece.encode()]))
-    labels = tables["labels"]
     if len(words) >= REMEMBERED:
-        words.clear()
-    found = words[chunk] = (tuple(ids), " ".join(map(str, ids)), " ".join([labels[i] for i in ids]))
+        tables["older"], tables["words"] = words, {}
+        words = tables["words"]
+    found = words.get(chunk) or tables["older"].get(chunk)
+    if found is None:
+        ids: list[int] = []
+        ascii = chunk.isascii()
+        pieces = ASCII_PIECES.findall(chunk) if ascii else tables["pieces"].findall(chunk.translate(tables["newer"]))
+        for piece in pieces:
+            if len(pieces) > 1:
+                ids += (words.get(piece) or _chunk(tables, piece))[0]
+            else:
+                plain = ascii and piece.isprintable()
+                ids += encode_word(tables, piece if plain else "".join([SYMBOLS[b] for b in piece.encode()]))
+        labels = tables["labels"]
+        found = tuple(ids), " ".join(map(str, ids)), " ".join([labels[i] for i in ids])
+    tables["words"][chunk] = found
     return found
 
 

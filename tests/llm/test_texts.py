@@ -1,11 +1,13 @@
 """Tokens, licences, URLs and conversations against brute force and round trips."""
 
+import unicodedata
 import hashlib
 import random
 import re
 from pathlib import Path
 
 import pytest
+import regex
 
 from adtally.llm import bpe, chat, licences, urls
 
@@ -189,3 +191,35 @@ def test_escapes_can_be_read_back():
         text = "".join(rng.choice(["\\", "#", "###", "</turn>", "\n", ": ", "a", "<", "### User: "]) for _ in range(8))
         for role in ("user", "other", "x: y", text):
             assert chat.read_turn(chat.header(role) + chat.escape(text) + chat.CLOSE) == (role, text)
+
+
+def test_every_character_splits_as_in_the_library():
+    from tokenizers import Tokenizer
+
+    path = bpe.vocabulary_path()
+    library = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as file:
+        tables = bpe.compile_gadgets(file.read())
+    # Every assigned character, by whichever of two Unicode versions, and some of those that none has assigned.
+    def assigned(c):
+        return unicodedata.category(chr(c)) not in ("Cn", "Co") or regex.match(r"[^\p{Cn}\p{Co}]", chr(c))
+
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c % 64 == 0 or assigned(c))]
+    texts = ["a" + chr(c) + "'s 1" + chr(c) + "\u00e9" for c in points]
+    differ = []
+    for start in range(0, len(texts), 50_000):
+        part = texts[start:start + 50_000]
+        for text, known in zip(part, library.encode_batch_fast(part, add_special_tokens=False), strict=True):
+            if known.ids != [i for p in bpe._parts(tables, text) for i in p[0]]:
+                differ.append(text)
+    assert differ == []
+
+
+def test_words_of_an_older_generation_are_remembered(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    with open(bpe.vocabulary_path(), encoding="utf-8") as file:
+        tables = bpe.compile_gadgets(file.read())
+    text = "some words, more words; don't forget any word of these 12 words"
+    first = [p[0] for p in bpe._parts(tables, text)]
+    assert [p[0] for p in bpe._parts(tables, text)] == first
+    assert len(tables["words"]) <= 4 and len(tables["older"]) <= 4

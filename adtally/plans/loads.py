@@ -239,10 +239,6 @@ DIMENSIONS = {
     ),
     "ad-previews": Dimension("ads-info", fv.ADS, "ad_id", "ad_name", ("created_time", "updated_time")),
 }
-RAW_TABLES = {
-    "accounts": "meta_accounts_raw", "creatives": "meta_creatives_raw", "campaigns": "meta_campaigns_raw",
-    "adsets": "meta_adsets_raw", "ads": "meta_ads_raw", "ad-previews": "meta_ads_previews_raw",
-}
 IMAGE_LIST = "asset_feed_spec.images"
 
 

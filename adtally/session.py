@@ -47,12 +47,15 @@ def build_session(
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediates, from ``spark.checkpoint.dir``.
 
-    Without that setting it is a folder of the warehouse, which all executors
-    write tables to anyway.
+    Without that setting a local session takes a folder of its warehouse. A cluster fails: the warehouse may be a folder
+    of the driver's machine, which executors on others don't see.
     """
     configured = spark.conf.get("spark.checkpoint.dir", "")
     if configured:
         return configured.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 

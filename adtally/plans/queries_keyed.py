@@ -146,6 +146,25 @@ def fill_missing(t: Tables) -> DataFrame:
     return keyed.fill_missing(stored, lookup, "creative_id", "preview_url")
 
 
+@query(
+    "fill_missing_limit",
+    """
+    WITH stored AS (SELECT c_custkey, c_name, CASE WHEN c_acctbal > 3000 THEN 'known' END AS url FROM customer),
+    found AS (SELECT o_custkey, CAST(max(o_orderkey) AS VARCHAR) AS url FROM orders GROUP BY o_custkey),
+    chosen AS (SELECT c_custkey FROM stored WHERE url IS NULL ORDER BY c_custkey LIMIT 25)
+    SELECT s.c_custkey AS creative_id, c_name, COALESCE(s.url, CASE WHEN c.c_custkey IS NOT NULL THEN f.url END) AS preview_url
+    FROM stored s LEFT JOIN chosen c ON s.c_custkey = c.c_custkey LEFT JOIN found f ON s.c_custkey = o_custkey
+    """,
+)
+def fill_missing_limit(t: Tables) -> DataFrame:
+    """The first 25 creatives without a preview looked up, whether or not there is one for them."""
+    stored = t.customer.select(
+        F.col("c_custkey").alias("creative_id"), "c_name", F.when(F.col("c_acctbal") > 3000, "known").alias("preview_url")
+    )
+    lookup = t.orders.groupBy(F.col("o_custkey").alias("creative_id")).agg(F.max("o_orderkey").cast("string").alias("preview_url"))
+    return keyed.fill_missing(stored, lookup, "creative_id", "preview_url", limit=25)
+
+
 def customer_registry(t: Tables) -> DataFrame:
     """Customers as registry rows with flags as people type them."""
     flag = (

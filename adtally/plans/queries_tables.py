@@ -142,6 +142,24 @@ def raw_replay(t: Tables) -> DataFrame:
     return m.doubles(t.spark.table(table).select(LOADED_COLUMNS))
 
 
+@query(
+    "breakdown_load",
+    f"""
+    SELECT CAST(o_custkey AS VARCHAR) AS ad_id, {MONTH_SQL} AS date_start, o_orderstatus AS country, max_by(o_totalprice, o_orderkey) AS spend
+    FROM orders GROUP BY ALL
+    """,
+)
+def breakdown_load(t: Tables) -> DataFrame:
+    """Delivery records broken down by country, loaded twice: rows are kept by ad, day and country."""
+    database = m.new_database(t.spark, "breakdown")
+    records = landed_delivery(t).join(
+        t.orders.select(F.col("o_orderkey").alias("_ingest"), F.col("o_orderstatus").alias("country")), "_ingest"
+    )
+    for part in (records.where("country <> 'F'").withColumn("spend", F.lit("1")), records):
+        table = loads.load_facts(t.spark, part, "ad", database, ["_ingest"], [" country "], **KNOWN)
+    return m.doubles(t.spark.table(table).select("ad_id", "date_start", "country", "spend"))
+
+
 @query(
     "range_load",
     f"""

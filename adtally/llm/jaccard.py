@@ -19,11 +19,13 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from adtally.llm.rows import in_slices, join_split, per_text, stage, text_or_empty
+from adtally.llm.rows import bit_filter, in_slices, join_split, may_hold, per_text, stage, text_or_empty
 from adtally.llm.simhash import components
 
 SHINGLE = 4
@@ -35,13 +37,15 @@ FREQUENT = 64
 FREQUENT_ROWS = 1 << 20
 #: Fragments of the rare and of the frequent n-grams.
 RARE_PARTS, FREQUENT_PARTS = 8, 2
-#: Words of 64 bits in which each n-gram of a set flips one bit.
+#: Words of 64 bits, at least, in which each n-gram of a set flips one bit.
 SHAPE = 16
 #: Leading bits of a filter of n-grams or nodes, at least and at most: 8 MB.
 LEAST_BITS, MOST_BITS = 16, 26
+#: Nodes of one n-gram that one task compares; more are cut into blocks, and pairs of blocks are compared.
+BLOCK = 4096
 #: Bytes of a text whose words are objects at a time.
 WINDOW = 1 << 20
-#: Texts whose repetition a worker notices; then it starts anew.
+#: Sets whose repetition a worker notices; then it starts anew.
 SEEN = 100_000
 
 _MIX, _END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -79,9 +83,11 @@ def node_of(grams: np.ndarray) -> bytes:
 
 
 def shape_of(grams: np.ndarray) -> np.ndarray:
-    """Which of 64 * SHAPE bits an odd number of n-grams hit: two shapes differ in no more bits than the sets do."""
-    slots = (grams >> np.uint64(64 - 10)).astype(np.int64)  # 2**10 bits
-    odd = (np.bincount(slots, minlength=64 * SHAPE) & 1).astype(np.uint8)
+    """Which bits an odd number of n-grams hit, of at least 64 * SHAPE and four for each n-gram: two shapes differ in no
+    more bits than the sets do in n-grams. Half a shape's words xored with the other half are the shape of half the size.
+    """
+    bits = max(64 * SHAPE, 1 << (4 * len(grams) - 1).bit_length())
+    odd = (np.bincount((grams & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").view(np.int64)
 
 
@@ -144,67 +150,138 @@ def gather_filter(hashes: DataFrame) -> Filter:
     return Filter(bits, slots["slot"].to_numpy(), slots["word"].to_numpy().view(np.uint64))
 
 
-def _of_sets(docs: DataFrame, rows: Callable[[list[np.ndarray]], list[pa.Array]], columns: str) -> DataFrame:
-    """What ``rows`` makes of the shingle sets of a few texts at a time; a repeated text is mostly passed over."""
+def ahead(size: int) -> int:
+    """How many of a set's n-grams are kept beside it: the first by hash, twice as many as it begins with and a few."""
+    return 2 * beginning(size) + 16
+
+
+def describe(docs: DataFrame) -> DataFrame:
+    """For every row: doc_id, n_shingles, node (null without words), text_hash, shape, and the n-grams kept with it."""
+
+    def score(texts: list[bytes]) -> list[pa.Array]:
+        held = [shingles(t) for t in texts]
+        return [
+            pa.array([len(g) for g in held], pa.int64()),
+            pa.array([node_of(g) if len(g) else None for g in held], pa.binary()),
+            pa.array(np.array([xxhash.xxh64_intdigest(t, 42) for t in texts], np.uint64).view(np.int64)),
+            pa.array([shape_of(g) if len(g) else None for g in held], pa.list_(pa.int64())),
+            pa.array([g[:ahead(len(g))].tobytes() for g in held], pa.binary()),
+        ]
+
+    return per_text(docs, score, "n_shingles long, node binary, text_hash long, shape array<bigint>, zone binary")
+
+
+def _of_zones(sets: DataFrame, rows: Callable[[pa.RecordBatch, list[np.ndarray]], list[pa.Array]], columns: str) -> DataFrame:
+    """What ``rows`` makes of node, n, text_hash and the n-grams kept with a few sets; repeated ones are mostly passed over."""
     names = [c.split()[0] for c in columns.split(", ")]
-    texts = docs.select(text_or_empty().cast("binary").alias("text"))
+    narrow = sets.filter("node IS NOT NULL").select("zone", "node", F.col("n_shingles").cast("int").alias("n"), "text_hash")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
             for part in in_slices(batch, 0):
-                sets = []
-                for raw in part.column(0).to_pylist():
-                    name = xxhash.xxh3_128_digest(raw)
-                    if name not in seen:
+                new = []
+                for i, node in enumerate(part.column(1).to_pylist()):
+                    if node not in seen:
                         if len(seen) >= SEEN:
                             seen.clear()
-                        seen.add(name)
-                        sets.append(shingles(raw))
-                sets = [s for s in sets if len(s)]
-                if sets:
-                    yield pa.RecordBatch.from_arrays(rows(sets), names=names)
+                        seen.add(node)
+                        new.append(i)
+                if new:
+                    part = part.take(pa.array(new))
+                    zones = [np.frombuffer(z, np.uint64) for z in part.column(0).to_pylist()]
+                    yield pa.RecordBatch.from_arrays(rows(part, zones), names=names)
 
-    return texts.mapInArrow(run, columns)
+    return narrow.mapInArrow(run, columns)
 
 
-def _counted(grams: list[np.ndarray]) -> list[pa.Array]:
-    """Different n-grams and how often each is there."""
-    found, times = np.unique(np.concatenate(grams), return_counts=True)
-    return [pa.array(found.view(np.int64)), pa.array(times)]
+def counted(sets: DataFrame) -> DataFrame:
+    """gram, times: the n-grams that more than one set may begin with, and about how many."""
 
+    def rows(part: pa.RecordBatch, zones: list[np.ndarray]) -> list[pa.Array]:
+        found, times = np.unique(np.concatenate(zones), return_counts=True)
+        return [pa.array(found.view(np.int64)), pa.array(times)]
 
-def order_of(docs: DataFrame, sets: DataFrame, frequent: int = FREQUENT) -> Order:
-    """The order of all n-grams of ``docs``.
+    return _of_zones(sets, rows, "gram long, times long").groupBy("gram").agg(F.sum("times").alias("times")).filter("times > 1")
 
-    Counted are the n-grams that documents may begin with: twice as many of the first by hash as they need. An n-gram is
-    frequent if more than ``frequent`` documents have it there, or more where ``FREQUENT_ROWS`` would not hold them.
+
+def order_of(sets: DataFrame, repeated: DataFrame, frequent: int = FREQUENT) -> Order:
+    """The order of all n-grams: frequent ones are those that more than ``frequent`` sets may begin with.
+
+    Where ``FREQUENT_ROWS`` would not hold these, so many more sets must have them.
     """
-    ahead = lambda n: 2 * beginning(n) + 16
-    total = sets.agg(F.sum(2 * (F.col("n_shingles") + 1) + 16).alias("n")).first()["n"] or 0
-    least = max(frequent, -(-total // FREQUENT_ROWS))
-    zones = _of_sets(docs, lambda held: _counted([g[:ahead(len(g))] for g in held]), "gram long, times long")
-    rows = zones.groupBy("gram").agg(F.sum("times").alias("times")).filter(F.col("times") > least).toArrow()
+    total = sets.agg(F.sum(F.octet_length("zone") / 8).alias("n")).first()["n"] or 0
+    least = max(frequent, int(-(-total // FREQUENT_ROWS)))
+    rows = repeated.filter(F.col("times") > least).toArrow()
     return Order(rows["gram"].to_numpy().view(np.uint64), rows["times"].to_numpy())
 
 
-def beginnings(docs: DataFrame, order: Order) -> DataFrame:
-    """gram, node, n: what each set begins with, where another document begins with the same n-gram."""
+def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """text and the columns of ``wanted``, which has text_hash: each different text of such a hash once for each row."""
+    hashed = docs.select(text_or_empty().alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    held = bit_filter(wanted.select(F.col("text_hash").alias("h")))
+    there = may_hold(hashed, "text_hash", held, "hit").filter("hit").select("text_hash", "text").distinct()
+    return there.join(wanted, "text_hash").withColumn("text", F.col("text").cast("binary"))
+
+
+def _of_texts(texts: DataFrame, kept: list[str], rows: Callable[[np.ndarray], list[pa.Array]], columns: str) -> DataFrame:
+    """The columns ``kept`` of ``texts`` (text, node, ...) with what ``rows`` makes of the set of each; columns of equal length.
+
+    A text that does not have the set ``node`` gives nothing: another text had its hash.
+    """
+    narrow = texts.select("text", "node", *(c for c in kept if c != "node"))
+    schema = T.StructType([*[narrow.schema[c] for c in kept], *T.StructType.fromDDL(columns).fields])
+    at = [narrow.columns.index(c) for c in kept]
+    names = schema.names
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        raw, grams, node = None, None, None
+        for batch in batches:
+            for part in in_slices(batch, 0):
+                for i, (text, wanted) in enumerate(zip(*[part.column(c).to_pylist() for c in (0, 1)], strict=True)):
+                    if text != raw:
+                        raw, grams = text, shingles(text)
+                        node = node_of(grams) if len(grams) else None
+                    if node == wanted:
+                        made = rows(grams)
+                        same = pa.array(np.full(len(made[0]), i))
+                        yield pa.RecordBatch.from_arrays([*(part.column(c).take(same) for c in at), *made], names=names)
+
+    return narrow.mapInArrow(run, schema)
+
+
+def beginnings(docs: DataFrame, sets: DataFrame, repeated: DataFrame, order: Order) -> DataFrame:
+    """gram, node, n: what each set begins with, but for n-grams that no other document begins with.
+
+    For most sets the n-grams kept with them are enough. Sets with many frequent ones among those are made anew.
+    """
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(order)
-    head = lambda g: shared.value.first(g, beginning(len(g)))
-    counts = _of_sets(docs, lambda held: _counted([head(g) for g in held]), "gram long, times long")
-    twice = counts.groupBy("gram").agg(F.sum("times").alias("times")).filter("times > 1").select(F.col("gram").alias("h"))
-    repeated = context.broadcast(gather_filter(stage(twice, "jaccard-repeated")))
 
-    def rows(held: list[np.ndarray]) -> list[pa.Array]:
-        heads = [h[repeated.value.has(h)] for h in map(head, held)]
-        which = np.repeat(np.arange(len(held)), [len(h) for h in heads])
-        nodes = pa.array([node_of(g) for g in held], pa.binary()).take(pa.array(which))
-        sizes = np.array([len(g) for g in held], np.int32)[which]
-        return [pa.array(np.concatenate(heads).view(np.int64)), nodes, pa.array(sizes)]
+    def enough(zone: np.ndarray, n: int) -> bool:
+        return len(zone) == n or int((shared.value.ranks(zone) < 0).sum()) >= beginning(n)
+
+    def short(part: pa.RecordBatch, zones: list[np.ndarray]) -> list[pa.Array]:
+        lacking = [not enough(z, n) for z, n in zip(zones, part.column(2).to_pylist(), strict=True)]
+        return [part.column(i).filter(pa.array(lacking, pa.bool_())) for i in (3, 1, 2)]
+
+    def late_rows(grams: np.ndarray) -> list[pa.Array]:
+        return [pa.array(shared.value.first(grams, beginning(len(grams))).view(np.int64))]
+
+    wanted = stage(_of_zones(sets, short, "text_hash long, node binary, n int").dropDuplicates(["node"]), "jaccard-short")
+    late = stage(_of_texts(texts_of(docs, wanted), ["node", "n"], late_rows, "gram bigint"), "jaccard-late")
+    worth = context.broadcast(gather_filter(repeated.select(F.col("gram").alias("h")).union(late.select("gram"))))
 
-    return _of_sets(docs, rows, "gram long, node binary, n int").distinct()
+    def rows(part: pa.RecordBatch, zones: list[np.ndarray]) -> list[pa.Array]:
+        heads = []
+        for zone, n in zip(zones, part.column(2).to_pylist(), strict=True):
+            head = shared.value.first(zone, beginning(n)) if enough(zone, n) else zone[:0]
+            heads.append(head[worth.value.has(head)])
+        which = pa.array(np.repeat(np.arange(len(zones)), [len(h) for h in heads]))
+        return [pa.array(np.concatenate(heads).view(np.int64)), part.column(1).take(which), part.column(2).take(which)]
+
+    early = _of_zones(sets, rows, "gram long, node binary, n int")
+    return early.union(late.select("gram", "node", "n")).distinct()
 
 
 def near_in_size(a: Column, b: Column) -> Column:
@@ -212,118 +289,188 @@ def near_in_size(a: Column, b: Column) -> Column:
     return (F.lit(100) * F.least(a, b)) >= (F.lit(SHARE) * F.greatest(a, b))
 
 
-def _pairs(met: DataFrame) -> DataFrame:
-    """a, b of rows with x, y (nodes) and their sizes nx, ny, sizes allowing."""
-    fit = met.filter((F.col("x") != F.col("y")) & near_in_size(F.col("nx"), F.col("ny")))
-    return fit.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def in_company(found: DataFrame) -> DataFrame:
+    """Rows of n-grams that more than one node begins with, with how many do, as ``length``."""
+    lengths = found.groupBy("gram").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
+    return found.join(lengths, "gram")
 
 
 def around_centres(posts: DataFrame) -> DataFrame:
-    """Pairs a, b of each n-gram's most connected node and the others that begin with it."""
-    lengths = posts.groupBy("gram").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
-    ties = posts.join(lengths, "gram").groupBy("node").agg(F.sum("length").alias("ties"))
+    """Pairs a, b of each n-gram's most connected node and the others that begin with it, sizes allowing."""
+    ties = posts.groupBy("node").agg(F.sum("length").alias("ties"))
     centres = posts.join(ties, "node").groupBy("gram").agg(F.max(F.struct("ties", "node", "n")).alias("most"))
     named = centres.select("gram", F.col("most.node").alias("y"), F.col("most.n").alias("ny"))
-    return _pairs(posts.select("gram", F.col("node").alias("x"), F.col("n").alias("nx")).join(named, "gram"))
-
-
-def across(posts: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs a, b of nodes that begin with the same n-gram but are in different components (``roots``: node, root)."""
-    placed = posts.join(roots, "node", "left").select("gram", F.coalesce("root", "node").alias("root"), "node", "n")
-    several = placed.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    placed = stage(placed.join(several.select("gram"), "gram", "left_semi"), "jaccard-placed")
-    groups = placed.groupBy("gram", "root").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    one = groups.select("gram", F.col("root").alias("root_x"), F.col("least").alias("least_x"), F.col("most").alias("most_x"))
-    two = groups.select("gram", F.col("root").alias("root_y"), F.col("least").alias("least_y"), F.col("most").alias("most_y"))
-    reach = lambda most, least: 100 * F.col(most) >= SHARE * F.col(least)
-    meet = one.join(two, "gram").filter(
-        (F.col("root_x") < F.col("root_y")) & reach("most_x", "least_y") & reach("most_y", "least_x")
-    ).select("gram", "root_x", "root_y")
-    left = placed.select("gram", F.col("root").alias("root_x"), F.col("node").alias("x"), F.col("n").alias("nx"))
-    right = placed.select("gram", F.col("root").alias("root_y"), F.col("node").alias("y"), F.col("n").alias("ny"))
-    return _pairs(meet.join(left, ["gram", "root_x"]).join(right, ["gram", "root_y"]))
+    met = posts.select("gram", F.col("node").alias("x"), F.col("n").alias("nx")).join(named, "gram")
+    fit = met.filter((F.col("x") != F.col("y")) & near_in_size(F.col("nx"), F.col("ny")))
+    return fit.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def folded(shape: Column, words: Column | int) -> Column:
+    """A shape of ``words`` words from one of twice as many."""
+    halves = F.slice(shape, F.lit(1), words), F.slice(shape, F.lit(1) + words, words)
+    return F.zip_with(*halves, lambda x, y: x.bitwiseXOR(y))
+
+
+def coarse(shape: Column) -> Column:
+    """A shape of just SHAPE words: word i is all words of the shape that are i modulo SHAPE, xored."""
+    def word(i: int) -> Column:
+        mine = F.transform(F.sequence(F.lit(i), F.size(shape) - 1, F.lit(SHAPE)), lambda at: F.get(shape, at))
+        return F.aggregate(mine, F.lit(0).cast("long"), lambda s, x: s.bitwiseXOR(x))
+
+    return F.array(*[word(i) for i in range(SHAPE)])
+
+
+def _close(runs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows i < j of one n-gram's nodes (size, component, shape) that may be linked and are not known to be."""
+    size, root, shape = runs
+    step = max(1, (1 << 19) // (SHAPE * len(size)))
+    for start in range(0, len(size), step):
+        mine = slice(start, start + step)
+        apart = np.bitwise_count(shape[mine, None] ^ shape[None, start:]).sum(2, dtype=np.int64)
+        total = size[mine, None] + size[None, start:]
+        near = (100 * (total - apart) >= SHARE * (total + apart)) & (root[mine, None] != root[None, start:])
+        i, j = np.nonzero(near)
+        yield i[j > i] + start, j[j > i] + start
+
+
+def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs a, b within each run of equal (gram, cell) of sorted rows; a run may go on in the next batch."""
+    held: pa.Table | None = None
+
+    def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        table = table.combine_chunks()
+        gram, cell, size = (table[c].to_numpy() for c in ("gram", "cell", "n"))
+        node = table["node"].combine_chunks() if isinstance(table["node"], pa.ChunkedArray) else table["node"]
+        root = table["root"].combine_chunks().dictionary_encode().indices.to_numpy()
+        shape = table["shape"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SHAPE)
+        starts = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (cell[1:] != cell[:-1])])
+        left, right = [], []
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(gram)], strict=True):
+            run = slice(start, end)
+            if end > start + 1:
+                for i, j in _close([size[run].astype(np.int64), root[run], shape[run]]):
+                    left.append(i + start)
+                    right.append(j + start)
+        if left and (i := np.concatenate(left)).size:
+            one, two = node.take(pa.array(i)), node.take(pa.array(np.concatenate(right)))
+            turn = pc.greater(one, two)
+            yield pa.RecordBatch.from_arrays([pc.if_else(turn, two, one), pc.if_else(turn, one, two)], names=["a", "b"])
+
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        held = now if held is None else pa.concat_tables([held, now])
+        if held.num_rows:
+            gram, cell = (held[c].to_numpy() for c in ("gram", "cell"))
+            done = np.flatnonzero((gram != gram[-1]) | (cell != cell[-1]))
+            cut = int(done[-1]) + 1 if len(done) else 0
+            if cut:
+                yield from pairs(held.slice(0, cut))
+                held = held.slice(cut)
+    if held is not None and held.num_rows:
+        yield from pairs(held)
+
+
+def across(posts: DataFrame, roots: DataFrame, nodes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Pairs a, b of nodes that begin with the same n-gram, are in different components (``roots``: node, root), and
+    whose coarse shapes and sizes allow a link.
+
+    Nodes of an n-gram are compared where they meet, and only pairs that pass are rows. An n-gram of more than
+    ``block`` nodes is cut into blocks, each pair of which is a cell of its own.
+    """
+    placed = posts.select("gram", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = placed.groupBy("gram").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("length")
+    ).filter("low <> high").select("gram", F.ceil(F.col("length") / block).cast("int").alias("k"))
+    shapes = nodes.select("node", coarse(F.col("shape")).alias("shape"))
+    met = placed.join(several, "gram").join(shapes, "node")
+    mine = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
+    cells = F.transform(
+        F.sequence(F.lit(0), F.col("k") - 1),
+        lambda j: F.least(mine, j).cast("long") * F.lit(1 << 31) + F.greatest(mine, j),
+    )
+    dealt = met.select("gram", F.explode(cells).alias("cell"), "node", "n", "root", "shape")
+    ordered = dealt.repartition("gram", "cell").sortWithinPartitions("gram", "cell")
+    return ordered.mapInArrow(_compare, "a binary, b binary").distinct()
 
 
 def not_far(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """a, b, sizes of the pairs whose shapes allow a link: shapes differ in no more bits than the sets in n-grams."""
-    one = nodes.select(F.col("node").alias("a"), F.col("n").alias("size_a"), F.col("shape").alias("shape_a"))
-    two = nodes.select(F.col("node").alias("b"), F.col("n").alias("size_b"), F.col("shape").alias("shape_b"))
-    apart = F.aggregate(
-        F.zip_with("shape_a", "shape_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x
+    """a, b, sizes and text hashes of the pairs whose shapes allow a link: sets differ in as many n-grams at least."""
+    one, two = (
+        nodes.select(F.col("node").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("n", "shape", "text_hash"))) for x in "ab"
     )
-    total = F.col("size_a") + F.col("size_b")
+    words = F.least(F.size("shape_a"), F.size("shape_b"))
+
+    def fitted(shape: str) -> Column:
+        return F.when(F.size(shape) > words, folded(F.col(shape), words)).otherwise(F.col(shape))
+
+    differ = F.zip_with(fitted("shape_a"), fitted("shape_b"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    apart = F.aggregate(differ, F.lit(0), lambda s, x: s + x)
+    total = F.col("n_a") + F.col("n_b")
     # linked: 100 * (total - apart) / 2 >= SHARE * (total + apart) / 2
-    return pairs.join(one, "a").join(two, "b").filter(
-        100 * (total - apart) >= SHARE * (total + apart)
-    ).select("a", "b", "size_a", "size_b")
+    return pairs.join(one, "a").join(two, "b").filter(100 * (total - apart) >= SHARE * (total + apart)).select(
+        "a", "b", "n_a", "n_b", "text_hash_a", "text_hash_b"
+    )
 
 
 def linked(docs: DataFrame, order: Order, pairs: DataFrame) -> DataFrame:
-    """a, b of the pairs that are linked: partial overlaps by fragment, summed per pair."""
-    context = docs.sparkSession.sparkContext
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    # The first 8 bytes of a node are a hash themselves.
-    asked = wanted.select(F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("long").alias("h"))
-    shared = context.broadcast((order, gather_filter(asked)))
-
-    def rows(held: list[np.ndarray]) -> list[pa.Array]:
-        order, wanted = shared.value
-        names = [node_of(g) for g in held]
-        leading = np.array([int.from_bytes(x[:8], "big") for x in names], np.uint64)
-        nodes, parts, grams, ends = [], [], [], [0]
-        for i in np.flatnonzero(wanted.has(leading)).tolist():
-            part = order.parts(held[i])
-            by_part = np.argsort(part, kind="stable")
-            cuts = np.flatnonzero(np.diff(part[by_part], prepend=-1))
-            for at, to in zip(cuts.tolist(), [*cuts[1:].tolist(), len(part)], strict=True):
-                nodes.append(names[i])
-                parts.append(part[by_part[at]])
-                grams.append(held[i][by_part[at:to]])
-                ends.append(ends[-1] + to - at)
-        values = pa.array(np.concatenate([np.zeros(0, np.uint64), *grams]).view(np.int64))
+    """a, b of the pairs that are linked: partial overlaps by fragment, summed per pair.
+
+    Segments of the node with fewer pairs go where those of the other one are, so each goes about once.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(order)
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    pairs_of = ends.groupBy("node").agg(F.count(F.lit(1)).alias("pairs"))
+    known = pairs.join(pairs_of.select(F.col("node").alias("a"), F.col("pairs").alias("pairs_a")), "a").join(
+        pairs_of.select(F.col("node").alias("b"), F.col("pairs").alias("pairs_b")), "b"
+    )
+    turn = F.col("pairs_a") > F.col("pairs_b")
+    aimed = stage(known.select(*(
+        F.when(turn if x == "hub" else ~turn, F.col(f"{c}a")).otherwise(F.col(f"{c}b")).alias(f"{c}{x}")
+        for x in ("hub", "spoke") for c in ("", "n_", "text_hash_")
+    )), "jaccard-aimed")
+
+    def rows(grams: np.ndarray) -> list[pa.Array]:
+        part = shared.value.parts(grams)
+        by_part = np.argsort(part, kind="stable")
+        starts = np.flatnonzero(np.diff(part[by_part], prepend=-1))
+        ends = pa.array(np.append(starts, len(part)), pa.int32())
         return [
-            pa.array(nodes, pa.binary()), pa.array(np.array(parts, np.int32)),
-            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values),
+            pa.array(part[by_part[starts]], pa.int32()),
+            pa.ListArray.from_arrays(ends, pa.array(grams[by_part].view(np.int64))),
         ]
 
-    segments = _of_sets(docs, rows, "node binary, part int, grams array<bigint>")
-    segments = stage(segments.dropDuplicates(["node", "part"]), "jaccard-segments")
-    one, two = (segments.select(F.col("node").alias(f"of{i}"), F.col("part").alias(f"part{i}"), F.col("grams").alias(f"grams{i}")) for i in (1, 2))
-    first = pairs.join(one, F.col("a") == F.col("of1"))
-    both = first.join(two, (F.col("b") == F.col("of2")) & (F.col("part1") == F.col("part2")))
-    partial = both.select("a", "b", "size_a", "size_b", F.size(F.array_intersect("grams1", "grams2")).alias("overlap"))
-    sums = partial.groupBy("a", "b", "size_a", "size_b").agg(F.sum("overlap").alias("overlap"))
+    moving = aimed.select(F.col("text_hash_spoke").alias("text_hash"), F.col("spoke").alias("node"), "hub", "n_hub", "n_spoke")
+    spokes = _of_texts(texts_of(docs, moving), ["node", "hub", "n_hub", "n_spoke"], rows, "part int, grams array<bigint>")
+    staying = aimed.select(F.col("text_hash_hub").alias("text_hash"), F.col("hub").alias("node")).distinct()
+    hubs = _of_texts(texts_of(docs, staying), ["node"], rows, "part int, grams array<bigint>")
+    met = spokes.join(hubs.select(F.col("node").alias("hub"), "part", F.col("grams").alias("others")), ["hub", "part"])
+    partial = met.select("hub", "node", "n_hub", "n_spoke", F.size(F.array_intersect("grams", "others")).alias("overlap"))
+    sums = partial.groupBy("hub", "node", "n_hub", "n_spoke").agg(F.sum("overlap").alias("overlap"))
     return sums.filter(
-        100 * F.col("overlap") >= SHARE * (F.col("size_a") + F.col("size_b") - F.col("overlap"))
-    ).select("a", "b")
+        100 * F.col("overlap") >= SHARE * (F.col("n_hub") + F.col("n_spoke") - F.col("overlap"))
+    ).select(F.col("hub").alias("a"), F.col("node").alias("b"))
 
 
-def similar(docs: DataFrame, frequent: int = FREQUENT) -> DataFrame:
+def similar(docs: DataFrame, frequent: int = FREQUENT, block: int = BLOCK) -> DataFrame:
     """For every row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable over links).
 
     Documents are linked if their sets of four-word shingles have a Jaccard similarity of 0.85 or more; documents
     without words are linked with nothing. Null ids never count as smallest; a component without any id has none.
-    Repeated rows give repeated rows; an empty table gives none.
+    Repeated rows give repeated rows; an empty table gives none. Sets are told apart by 128-bit digests, n-grams by
+    64-bit hashes.
     """
-    def score(texts: list[bytes]) -> list[pa.Array]:
-        held = [shingles(t) for t in texts]
-        return [
-            pa.array([len(g) for g in held], pa.int64()),
-            pa.array([node_of(g) if len(g) else None for g in held], pa.binary()),
-            pa.array([shape_of(g) if len(g) else None for g in held], pa.list_(pa.int64())),
-        ]
-
-    sets = stage(per_text(docs, score, "n_shingles long, node binary, shape array<bigint>"), "jaccard-sets")
-    order = order_of(docs, sets, frequent)
+    sets = stage(describe(docs), "jaccard-sets")
     nodes = stage(sets.filter("node IS NOT NULL").groupBy("node").agg(
-        F.first("n_shingles").cast("int").alias("n"), F.first("shape").alias("shape"), F.min("doc_id").alias("least")
+        F.first("n_shingles").cast("int").alias("n"), F.first("shape").alias("shape"),
+        F.min("text_hash").alias("text_hash"), F.min("doc_id").alias("least"),
     ), "jaccard-nodes")
-    posts = stage(beginnings(docs, order), "jaccard-posts")
+    repeated = stage(counted(sets), "jaccard-repeated")
+    order = order_of(sets, repeated, frequent)
+    posts = stage(in_company(beginnings(docs, sets, repeated, order)), "jaccard-posts")
     tried = stage(not_far(around_centres(posts), nodes), "jaccard-tried")
-    links = stage(linked(docs, order, tried), "jaccard-links")
-    roots = stage(components(links), "jaccard-roots")
-    rest = stage(not_far(across(posts, roots).join(tried, ["a", "b"], "left_anti"), nodes), "jaccard-rest")
-    more = linked(docs, order, rest)
+    roots = stage(components(linked(docs, order, tried)), "jaccard-roots")
+    rest = not_far(across(posts, roots, nodes, block).join(tried, ["a", "b"], "left_anti"), nodes)
+    more = linked(docs, order, stage(rest, "jaccard-rest"))
     whole = components(roots.filter("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     tied = nodes.join(whole, "node").select("node", "root", "least")
     reach = tied.join(tied.groupBy("root").agg(F.min("least").alias("reach")), "root").select("node", "reach")

@@ -60,11 +60,11 @@ def corpus(rng, n):
     return rows
 
 
-@pytest.mark.parametrize("frequent", [2, 64])
-def test_components_are_those_of_all_pairs(spark, frequent):
+@pytest.mark.parametrize(("frequent", "block"), [(2, 8), (64, 4096)])
+def test_components_are_those_of_all_pairs(spark, frequent, block):
     rows = corpus(random.Random(frequent), 220)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
-    got = sorted((tuple(r) for r in jaccard.similar(df, frequent).collect()), key=str)
+    got = sorted((tuple(r) for r in jaccard.similar(df, frequent, block).collect()), key=str)
     assert got == expected(rows)
 
 
@@ -118,5 +118,9 @@ def test_shapes_never_differ_in_more_bits_than_sets():
     for _ in range(100):
         one, two = (np.unique(rng.integers(0, 2**63, rng.integers(0, 900)).astype(np.uint64) * np.uint64(2)) for _ in range(2))
         two = np.unique(np.concatenate([one[:len(one) // 2], two]))
-        apart = int(np.bitwise_count((jaccard.shape_of(one) ^ jaccard.shape_of(two)).view(np.uint64)).sum())
+        shapes = [jaccard.shape_of(g) for g in (one, two)]
+        words = min(map(len, shapes))
+        shapes = [s.reshape(-1, words) for s in shapes]
+        shapes = [np.bitwise_xor.reduce(s, axis=0).view(np.uint64) for s in shapes]
+        apart = int(np.bitwise_count(shapes[0] ^ shapes[1]).sum())
         assert apart <= len(np.setxor1d(one, two))

@@ -11,8 +11,9 @@ go back to all workers, a bounded number whatever the corpus; links of other pai
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
-import json
+import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -27,30 +28,46 @@ from adtally.llm.bpe import byte_symbols
 from adtally.llm.rows import in_slices, stage, text_or_empty
 
 #: Bytes of text that are aligned at a time; longer texts are cut between words.
-PIECE = 1 << 21
-#: Words whose tokens a worker remembers, about 100 MB; then it starts anew with those at hand.
-REMEMBERED = 400_000
+PIECE = 1 << 19
+#: Words whose tokens a worker remembers, about 60 MB; then it starts anew with those at hand.
+REMEMBERED = 300_000
+#: Words that are encoded at a time.
+LEARNED = 8192
 #: Pairs whose counts go to every worker, at most: 16 MB.
 KNOWN = 1 << 20
 #: Different pairs that a task counts before it hands them on.
-COUNTED = 1 << 20
+COUNTED = 1 << 19
 #: Bits below the document number in a document-end key.
 END_BITS = 32
 
 
-def word_starts(data: np.ndarray) -> np.ndarray:
-    """Where the blanks stand at which both tokenizers surely begin a token: those behind a character that is no blank.
+def _open(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character before each place is surely no blank. A few blocks that hold any are left out whole."""
+    one, two, three = (data[np.maximum(at - k, 0)] for k in (1, 2, 3))
+    return (one > 32) & (two != 0xC2) & ((three < 0xE1) | (three > 0xE3))
+
+
+def word_starts(data: np.ndarray, fine: bool = False) -> np.ndarray:
+    """Places at which both tokenizers surely begin a token: blanks behind a character that is none.
 
-    Which characters are blanks is left open for the few blocks that have any beyond ASCII: there is no cut behind them.
+    With ``fine`` also marks behind letters, and single line feeds and what follows them.
     """
     at = np.flatnonzero(data == 32)
     at = at[at > 0]
-    one, two, three = (data[np.maximum(at - k, 0)] for k in (1, 2, 3))
-    return at[(one > 32) & (two != 0xC2) & ((three < 0xE1) | (three > 0xE3))]
+    starts = [at[_open(data, at)]]
+    if fine:
+        letter = ((data | 32) >= 97) & ((data | 32) <= 122)
+        mark = (data > 32) & (data < 127) & ~letter & ~((data >= 48) & (data <= 57))
+        starts.append(np.flatnonzero(letter[:-1] & mark[1:]) + 1)
+        at = np.flatnonzero(data[:-1] == 10)
+        at = at[(at > 0) & (data[at + 1] > 32) & (data[at + 1] < 127)]
+        at = at[_open(data, at)]
+        starts += [at, at + 1]
+    return np.concatenate(starts)
 
 
 class Words:
-    """Token ids of words by both tokenizers; a word begins with a blank and is encoded once while it is remembered."""
+    """Token ids of words by both tokenizers; a word, mostly with a blank in front, is encoded once while it is remembered."""
 
     def __init__(self, first: str, second: bytes):
         import sentencepiece
@@ -62,11 +79,14 @@ class Words:
         self.first.encode_special_tokens = True
         self.second = sentencepiece.SentencePieceProcessor(model_proto=second)
         back = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
-        entries = json.loads(first)["model"]["vocab"]
+        entries = self.first.get_vocab(with_added_tokens=False)
         named = {i: bytes([back[c] for c in token]) for token, i in entries.items() if all(c in back for c in token)}
         pieces = [self.second.id_to_piece(i) for i in range(self.second.get_piece_size())]
-        if any("▁" in p.lstrip("▁") for p in pieces):
+        texts = [p for i, p in enumerate(pieces) if not self.second.is_byte(i) and not self.second.is_control(i)]
+        if any("▁" in p.lstrip("▁") or "\n" in p for p in texts):
             raise ValueError("a piece reaches over the beginning of a word")
+        # Words are cut before marks unless a piece joins a letter to one.
+        self.fine = not any(re.search(r"[A-Za-z][!-/:-@\[-`{-~]", p) for p in texts)
         self.bytes = (
             pa.array([named.get(i, b"") for i in range(1 + max(named))], pa.binary()),
             pa.array([
@@ -81,22 +101,25 @@ class Words:
         self.places: dict[bytes, int] = {}
         self.held = [pa.array([], pa.list_(pa.int32()))] * 2
         self.wrong = np.zeros(0, bool)
+        self.new: tuple[list, list, list] = [], [], []
 
     def _learn(self, words: list[bytes]) -> None:
         texts = [w.decode() for w in words]
-        ones = self.first.encode_batch_fast(texts, add_special_tokens=False)
-        # The second tokenizer puts that blank there itself.
-        twos = self.second.encode([t[1:] for t in texts], num_threads=1)
+        ones = [one.ids for one in self.first.encode_batch_fast(texts, add_special_tokens=False)]
+        # The second tokenizer puts a blank in front itself. Where there's none, a line feed keeps it off the word, and
+        # the tokens of both go.
+        twos = self.second.encode([t[1:] if t[0] == " " else "\n" + t for t in texts], num_threads=1)
+        twos = [ids if t[0] == " " else ids[2:] for t, ids in zip(texts, twos, strict=True)]
         wrong, given = np.zeros(len(words), bool), pa.array(words, pa.binary())
-        for side, ids in enumerate(([one.ids for one in ones], twos)):
+        for side, ids in enumerate((ones, twos)):
             ends = np.cumsum([0, *map(len, ids)])
             lists = pa.ListArray.from_arrays(
                 pa.array(ends, pa.int32()), pa.array(np.fromiter(chain.from_iterable(ids), np.int32, ends[-1]))
             )
             back = pc.binary_join(pa.ListArray.from_arrays(lists.offsets, self.bytes[side].take(lists.values)), b"")
             wrong |= pc.not_equal(back, given).to_numpy(zero_copy_only=False)
-            self.held[side] = pa.concat_arrays([self.held[side], lists])
-        self.wrong = np.concatenate([self.wrong, wrong])
+            self.new[side].append(lists)
+        self.new[2].append(wrong)
         self.places.update(zip(words, range(len(self.places), len(self.places) + len(words)), strict=True))
 
     def find(self, words: list[bytes]) -> np.ndarray:
@@ -106,10 +129,22 @@ class Words:
             self._forget()
             new = words
         if new:
-            self._learn(new)
+            for start in range(0, len(new), LEARNED):
+                self._learn(new[start:start + LEARNED])
+            self.held = [pa.concat_arrays([h, *n]) for h, n in zip(self.held, self.new, strict=False)]
+            self.wrong = np.concatenate([self.wrong, *self.new[2]])
+            self.new = [], [], []
         return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
 
 
+def give_back() -> None:
+    """Memory that is free goes back to the system: workers live on, and two share an executor's limit."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 _WORDS: dict[bytes, Words] = {}
 
 
@@ -140,7 +175,7 @@ def align_pieces(words: Words, pieces: list[bytes]) -> tuple[list[int], dict[str
     sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
     begins = np.cumsum(sizes) - sizes
     first = np.zeros(len(data), bool)
-    first[word_starts(data)] = True
+    first[word_starts(data, words.fine)] = True
     first[begins + sizes - 1] = False  # the last byte of a piece is no word, even if it's a blank
     first[begins] = True
     starts = np.flatnonzero(first)
@@ -160,16 +195,15 @@ def align_pieces(words: Words, pieces: list[bytes]) -> tuple[list[int], dict[str
         ids, parent = lists.flatten(), piece.take(pc.list_parent_indices(lists))
         sides.append((ids, parent, _ends(ids, parent, lengths)))
     (a, in_a, ends_a), (b, in_b, ends_b) = sides
-    number = lambda array: pa.array(np.arange(len(array)))
-    left = pa.table({"end": ends_a, "a": a, "at_a": number(a)})
-    right = pa.table({"end": ends_b, "b": b, "at_b": number(b)})
+    number = lambda array: pa.array(np.arange(len(array), dtype=np.int32))
+    left = pa.table({"end": ends_a, "at_a": number(a)})
+    right = pa.table({"end": ends_b, "at_b": number(b)})
     met = left.join(right, "end", join_type="full outer", use_threads=False).sort_by("end").combine_chunks()
-    both = pc.and_(met["at_a"].is_valid(), met["at_b"].is_valid())
-    shut = met.filter(both)
+    shut = met.filter(pc.and_(met["at_a"].is_valid(), met["at_b"].is_valid()))
     # A stretch lies in the tokens that end next; every document ends with both sides.
     links = pa.table({
         "piece": pc.shift_right(met["end"], pa.scalar(END_BITS, pa.int64())),
-        "a": pc.fill_null_backward(met["a"]), "b": pc.fill_null_backward(met["b"]),
+        "a": a.take(pc.fill_null_backward(met["at_a"])), "b": b.take(pc.fill_null_backward(met["at_b"])),
     })
     pairs = links.group_by(["piece", "a", "b"], use_threads=False).aggregate([([], "count_all")])
     pairs = pairs.rename_columns(["piece", "a", "b", "times"])
@@ -219,7 +253,7 @@ class _Texts:
     """Pieces of texts until there are enough of them, and what came of earlier pieces of the same text."""
 
     def __init__(self, words: Words, n: int):
-        self.words, self.waiting, self.size = words, [], 0
+        self.words, self.waiting, self.size, self.last = words, [], 0, -1
         self.counts = {c: np.zeros(n, np.int64) for c in ("n_a", "n_b", "n_groups", "n_links")}
         self.hashes: list = [None] * n
         self.bad: set[int] = set()
@@ -249,8 +283,9 @@ class _Texts:
                 known.update(group.encode())
         texts = pa.array(of).take(pairs["piece"].combine_chunks() if pairs.num_rows else pa.array([], pa.int64()))
         self.pairs.append(pairs.set_column(0, "text", texts))
-        if len(self.pairs) > 1 and len(set(of.tolist())) == 1:
-            self.fold()  # a long text: keep its pairs few
+        if len(set(of.tolist())) < len(of) or of[0] == self.last:
+            self.fold()  # a long text: its pairs are in several pieces
+        self.last = int(of[-1])
         self.waiting, self.size = [], 0
 
     def fold(self) -> None:
@@ -265,9 +300,8 @@ class _Texts:
         hashes = [h.hexdigest() if h and ok else "" for h, ok in zip(self.hashes, good.tolist(), strict=True)]
         if not self.pairs:
             self.pairs = [pa.table({c: pa.array([], pa.int64()) for c in ("text", "a", "b", "times")})]
-        self.fold()
-        pairs = self.pairs[0].filter(pa.array(good).take(self.pairs[0]["text"]))
-        pairs = pairs.sort_by([("text", "ascending"), ("a", "ascending"), ("b", "ascending")]).combine_chunks()
+        pairs = pa.concat_tables(self.pairs).combine_chunks()
+        pairs = pairs.filter(pa.array(good).take(pairs["text"])).sort_by("text")
         ends = np.append(0, np.cumsum(np.bincount(pairs["text"].to_numpy(), minlength=len(good))))
         lists = [
             pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(pairs[c].to_numpy(), pa.int32()))
@@ -302,6 +336,8 @@ def tokenise(docs: DataFrame, first: str, second: str) -> DataFrame:
                         for piece in cut_pieces(raw):
                             texts.add(i, piece)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *texts.done()], names=names)
+                texts = None
+                give_back()
 
     return narrow.mapInArrow(run, schema)
 
@@ -317,9 +353,9 @@ def pair_counts(tokens: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
 
-        def counted(how: str) -> pa.Table:
-            name = {"sum": ("docs", "sum"), "count": ([], "count_all")}[how]
-            return pa.concat_tables(held).group_by("pair", use_threads=False).aggregate([name]).rename_columns(["pair", "docs"])
+        def counted() -> pa.Table:
+            sums = pa.concat_tables(held).group_by("pair", use_threads=False).aggregate([("docs", "sum")])
+            return sums.rename_columns(["pair", "docs"])
 
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
@@ -327,12 +363,14 @@ def pair_counts(tokens: DataFrame) -> DataFrame:
                 once = pa.table({"pair": pairs, "docs": pa.array(np.ones(len(pairs), np.int64))})
                 held.append(once)
                 if sum(t.num_rows for t in held) >= 2 * COUNTED:
-                    held = [counted("sum")]
+                    held = [counted()]
                     if held[0].num_rows >= COUNTED:
                         yield from held[0].to_batches()
                         held = []
         if held:
-            yield from counted("sum").to_batches()
+            yield from counted().to_batches()
+        held = []
+        give_back()
 
     partial = tokens.select("a", "b").mapInArrow(run, "pair long, docs long")
     return partial.groupBy("pair").agg(F.sum("docs").alias("docs"))

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from adtally.functions.names import mirror_column_name, quoted
 from adtally.operators.evolve import align_declared, json_texts
@@ -47,6 +47,24 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return _ranked_first(df, keys, [quoted(o).asc_nulls_last() for o in order])
 
 
+#: Bytes of rows, as they lie in memory, that a task sorts.
+TASK_BYTES = 256 << 20
+
+
+def tasks_for(df: DataFrame, rows: int) -> int:
+    """How many tasks share a sort of so many rows like ``df``'s, or 0 if Spark's own division leaves each few enough.
+
+    Adaptive execution divides by compressed size, to which a NULL adds nothing. In memory it takes as much as a value:
+    8 bytes, for a decimal of over 18 digits 24.
+    """
+    wide = sum(isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18 for f in df.schema)
+    texts = sum(isinstance(f.dataType, (T.StringType, T.BinaryType)) for f in df.schema)
+    # A sort keeps 32 bytes for a row; texts are short, and many are NULL.
+    size = 32 + 8 * len(df.columns) + 16 * wide + 4 * texts
+    tasks = -(-rows * size // TASK_BYTES)
+    return tasks if tasks > df.sparkSession.sparkContext.defaultParallelism else 0
+
+
 def upsert(
     target: DataFrame,
     batch: DataFrame,
@@ -55,6 +73,8 @@ def upsert(
     absent: str = "keep",
     new_columns: str = "add",
     changed: str | None = None,
+    rows: int = 0,
+    nulls: Iterable[str] = (),
 ) -> DataFrame:
     """Target rows updated by the batch, plus the batch's new keys.
 
@@ -68,17 +88,25 @@ def upsert(
 
     Keys are unique on both sides of the join, so no key is hot. It takes one
     shuffle per side, and the one of the batch also serves its deduplication.
+    With ``rows``, the number on both sides, a join too big for that is
+    divided by rows, so that no task sorts more than ``TASK_BYTES`` or so.
+    Target columns named in ``nulls`` become NULL on the touched rows, as if
+    the batch held them as NULL, which spares it to carry them.
     """
     require_columns(target, keys)
     require_columns(batch, keys)
     batch = keys_like(reject_null_keys(batch, keys), target, keys)
     if order is not None:
         batch = keep_last(batch, keys, order)
-    names = {c: f"_new_{i}" for i, c in enumerate(c for c in batch.columns if c not in keys)}
+    nulls = set(nulls) - set(keys)
+    names = {c: f"_new_{i}" for i, c in enumerate(c for c in batch.columns if c not in keys and c not in nulls)}
     incoming = batch.select(
         *[quoted(k) for k in keys], *[quoted(c).alias(n) for c, n in names.items()], F.lit(True).alias("_touched")
     )
     old = target.withColumn("_stored", F.lit(True)) if changed else target
+    tasks = tasks_for(target, rows)
+    if tasks:
+        old, incoming = (df.repartition(tasks, *[quoted(k) for k in keys]) for df in (old, incoming))
     joined = old.join(incoming, list(keys), "full_outer")
 
     def value(name: str) -> Column:
@@ -87,14 +115,14 @@ def upsert(
         if name in names:
             new = quoted(names[name]).cast(target.schema[name].dataType)
             return F.when(F.col("_touched"), new).otherwise(quoted(name)).alias(name)
-        if absent == "null":
+        if absent == "null" or name in nulls:
             return F.when(F.col("_touched").isNull(), quoted(name)).alias(name)
         return quoted(name)
 
     added = [quoted(n).alias(c) for c, n in names.items() if c not in target.columns and new_columns == "add"]
     flag = []
     if changed:
-        new = [~value(c).eqNullSafe(quoted(c)) for c in target.columns if c not in keys and (c in names or absent == "null")]
+        new = [~value(c).eqNullSafe(quoted(c)) for c in target.columns if c not in keys and (c in names or c in nulls or absent == "null")]
         grown = [n for c, n in names.items() if c not in target.columns and c not in (order or ())]
         new += [quoted(n).isNotNull() for n in grown if new_columns == "add"]
         differs = reduce(or_, new, F.col("_stored").isNull())

@@ -9,6 +9,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adtally import fixed_values as fv
+from adtally.functions.names import mirror_column_name
 from adtally.operators.keyed import prepare_for_mirror
 from adtally.operators.profile import day_if_all_parse
 from adtally.sources import changes
@@ -129,7 +130,11 @@ def _mirror(
         prepared = day_if_all_parse(prepared, fv.DATE_PARTITION)
     if mode == "merge":
         # Source tables hold a key once.
-        upsert_table(spark, prepared, target, order=None, keys=fv.NATURAL_KEYS[name], days=days, layout=layout)
+        given = {mirror_column_name(c) for c in rows.columns}
+        upsert_table(
+            spark, prepared, target, order=None, keys=fv.NATURAL_KEYS[name], days=days, layout=layout,
+            nulls=[c for c in prepared.columns if c not in given],
+        )
     elif mode == "truncate" and prepared.isEmpty():
         truncate_tables(spark, [target])
     else:

@@ -20,7 +20,7 @@ from adtally.functions.names import column_name, is_bookkeeping, quoted
 from adtally.operators.evolve import (
     align_declared, columns_to_add, fit_stored, promotable, repair_types, type_changes, unfit_values,
 )
-from adtally.operators.keyed import keep_last, reject_null_keys, require_columns, upsert
+from adtally.operators.keyed import keep_last, reject_null_keys, require_columns, tasks_for, upsert
 from adtally.operators.profile import numeric_text_columns
 from adtally.operators.reshape import coalesce_duplicates
 from adtally.session import drop_stage, write_stage
@@ -67,12 +67,14 @@ def stored_layout(spark: SparkSession, table: str) -> Layout:
     return Layout(partition, layout_of(table).cluster if partition else (), key, int(described["data_type"]) if described else 0)
 
 
-def laid_out(df: DataFrame, layout: Layout) -> DataFrame:
+def laid_out(df: DataFrame, layout: Layout, rows: int = 0) -> DataFrame:
     """Rows in few, sorted files per partition.
 
     Adaptive execution brings each partition's rows together and splits those
     that are too big, so a day with a third of the rows is written by several
-    tasks. The sort lets filters on an account skip row groups.
+    tasks. The sort lets filters on an account skip row groups. Adaptive
+    execution goes by compressed sizes; where a number of ``rows`` is given
+    that would fill tasks in memory, they are cut into ranges instead.
     """
     columns = df.columns
     gather = list(layout.partition)
@@ -80,7 +82,11 @@ def laid_out(df: DataFrame, layout: Layout) -> DataFrame:
         df = df.withColumn("_bucket", F.pmod(F.hash(layout.bucket_key), F.lit(layout.buckets)))
         gather.append("_bucket")
     order = [*gather, *(c for c in layout.cluster if c in columns)]
-    gathered = df.hint("rebalance", *gather) if gather else df
+    tasks = tasks_for(df, rows) if gather and layout.cluster else 0
+    if tasks:
+        gathered = df.repartitionByRange(tasks, *order)
+    else:
+        gathered = df.hint("rebalance", *gather) if gather else df
     shaped = gathered.sortWithinPartitions(*order) if order else gathered
     return shaped.select(*[quoted(c) for c in columns])
 
@@ -199,7 +205,8 @@ def overwrite_partitions(rows: DataFrame, table: str, changed: str | None = None
         found = day.isin([d for d in days if d is not None])
         staged = staged.where(found | day.isNull() if None in days else found).drop(changed)
     if days or not changed:
-        laid_out(staged, layout).write.insertInto(name, overwrite=True)
+        # Counted from the footers of the stage.
+        laid_out(staged, layout, staged.count()).write.insertInto(name, overwrite=True)
         spark.catalog.refreshTable(table)
     drop_stage(spark, path)
 
@@ -272,6 +279,7 @@ def upsert_table(
     absent: str = "keep",
     days: Sequence[date] | None = None,
     layout: Layout | None = None,
+    nulls: Iterable[str] = (),
 ) -> None:
     """Upsert a batch into a table, creating it or growing its columns first.
 
@@ -280,7 +288,8 @@ def upsert_table(
     table only the day partitions the batch touches are read and rewritten,
     staged in full before any is replaced. They are found by a job over the
     batch's days, or given as ``days``, and then a batch row of another day
-    fails the load. ``layout`` is that of a new table.
+    fails the load. ``layout`` is that of a new table. Columns named in
+    ``nulls`` are NULL in every row of the batch.
 
     Types that the batch has outgrown are changed first (``migrate_types``).
     Days, and tables that are not kept by day, in which no row changes keep
@@ -304,20 +313,24 @@ def upsert_table(
     migrate_types(spark, table, batch)
     add_columns(spark, table, columns_to_add(batch.drop(*hidden), spark.table(table).columns, name))
     target = spark.table(table)
-    kept = [c for c in batch.columns if c in target.columns or c in (order or ())]
+    nulls = set(nulls) & set(target.columns)
+    kept = [c for c in batch.columns if c not in nulls and (c in target.columns or c in (order or ()))]
     batch = fit_stored(batch.select(*[quoted(c) for c in kept]), name, target.schema)
     partition = [p for p in stored_layout(spark, table).partition if p in keys]
+    incoming = 0
     if partition:
         day = quoted(partition[0])
         if days is None:
             # One value per day of the batch: bounded by the calendar.
-            found = batch.select(day.cast("date")).distinct().collect()
-            days = [r[0] for r in found if r[0] is not None]
+            found = batch.groupBy(day.cast("date").alias("day")).agg(F.count(F.lit(1)).alias("n")).collect()
+            days = [r.day for r in found if r.day is not None]
+            incoming = sum(r.n for r in found)
         # Also where the days were found: the source may have changed since.
         outside = F.raise_error(F.lit(f"{partition[0]} outside the days to load"))
         batch = batch.withColumn(partition[0], F.when(day.isNull() | day.cast("date").isin(list(days)), day).otherwise(outside))
         target = target.where(day.isin(list(days)))
-    merged = upsert(target, batch, keys, order, absent, changed="_changed")
+    # The table's rows are counted from footers; a batch whose days are given is not read for its count.
+    merged = upsert(target, batch, keys, order, absent, changed="_changed", rows=target.count() + incoming, nulls=nulls)
     merged = merged.select(*[quoted(c) for c in target.columns], "_changed")
     if partition:
         overwrite_partitions(merged, table, "_changed")

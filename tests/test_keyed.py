@@ -111,3 +111,15 @@ def test_fill_missing_with_a_limit(spark):
     lookup = spark.createDataFrame([("a", "1"), ("b", None), ("c", "3"), ("d", "4")], "k STRING, url STRING")
     assert rows(keyed.fill_missing(stored, lookup, "k", "url"), "k") == [("a", "1"), ("b", None), ("c", "kept"), ("d", "4")]
     assert rows(keyed.fill_missing(stored, lookup, "k", "url", limit=2), "k") == [("a", "1"), ("b", None), ("c", "kept"), ("d", None)]
+
+
+def test_a_big_merge_is_divided_by_rows(spark, monkeypatch):
+    target = spark.createDataFrame([(1, "a", 1.0, "x"), (2, "b", 2.0, None), (4, "d", 4.0, None)], "k INT, name STRING, v DOUBLE, w STRING")
+    batch = spark.createDataFrame([(1, 1.0), (2, 9.0), (3, 5.0), (4, 4.0)], "k INT, v DOUBLE")
+    plan = lambda rows: keyed.upsert(target, batch, ["k"], rows=rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan(1000) and plan(10**9).count("RepartitionByExpression") == 2
+    padded = batch.withColumn("w", F.lit(None).cast("string"))
+    want = rows(keyed.upsert(target, padded, ["k"], changed="c"), "k")
+    assert [r[-1] for r in want] == [True, True, True, False]
+    assert rows(keyed.upsert(target, batch, ["k"], changed="c", rows=10**9, nulls=["w"]), "k") == want
+    assert rows(keyed.upsert(target, padded, ["k"], changed="c", nulls=["w"]), "k") == want

@@ -552,3 +552,20 @@ def test_clusters_plan_many_shuffle_partitions(spark):
         session.SparkSession = original
     assert int(built["spark.sql.adaptive.coalescePartitions.initialPartitionNum"]) == session.SHUFFLE_WIDTH >= 4000
     assert built["spark.checkpoint.dir"] == "/shared"
+
+
+def test_a_big_write_is_cut_into_ranges(spark, database, monkeypatch):
+    df = spark.range(3000).select(
+        F.col("id").cast("string").alias("ad_id"), F.lit(date(2024, 1, 1)).alias("date_start"), F.lit(None).cast("decimal(38,9)").alias("spend")
+    )
+    layout = tables.layout_of(fv.AD_FACT)
+    assert "repartition_by_range" not in tables.laid_out(df, layout, 3000)._jdf.queryExecution().executedPlan().toString().lower()
+    monkeypatch.setattr("adtally.operators.keyed.TASK_BYTES", 20_000)
+    cut = tables.laid_out(df, layout, 3000)
+    assert cut.rdd.getNumPartitions() > 4 and max(cut.rdd.glom().map(len).collect()) < 1500
+    assert rows(cut.select("ad_id"), "ad_id") == rows(df.select("ad_id"), "ad_id")
+    tables.write_table(df, f"{database}.{fv.AD_FACT}")
+    changed = df.where("ad_id < '2'").withColumn("spend", F.lit(1).cast("decimal(38,9)"))
+    tables.upsert_table(spark, changed, f"{database}.{fv.AD_FACT}", None)
+    stored = spark.table(f"{database}.{fv.AD_FACT}")
+    assert stored.count() == 3000 and stored.where("spend = 1").count() == changed.count()

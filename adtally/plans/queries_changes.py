@@ -17,7 +17,7 @@ from adtally.operators.star import star_of_buckets
 from adtally.plans.queries_reshape import K_SQL, event_metrics
 from adtally.plans.sync import sync_tables
 from adtally.session import scratch_path
-from adtally.sources import landed, tables
+from adtally.sources import changes, landed, tables
 from adtally.streaming.landing import REJECTS, stream_facts
 
 
@@ -117,8 +117,10 @@ def combined_delta(t: Tables) -> DataFrame:
         tables.upsert_table(t.spark, df, f"{database}.{name}", None)
     loads.materialise_combined(t.spark, database, mirror)
     for stored in (f"{database}.{fv.COMBINED}", f"{mirror}.{fv.COMBINED}"):
-        held = t.spark.table(stored)
-        tables.replace_table(held.withColumn("spend", F.lit(-1).cast(held.schema["spend"].dataType)), stored)
+        held = tables.for_copying(t.spark).table(stored)
+        tables.replace_table(held.withColumn("spend", F.lit(-1).cast(held.schema["spend"].dataType)), stored, arranged=True)
+        t.spark.catalog.refreshTable(stored)
+        changes.refresh(t.spark, stored)
     # What marks a table is no change of its source.
     sync_tables(t.spark, database, mirror, [fv.COMBINED], create=True, owed=True)
     year = facts.where("year(date_start) = 1995").withColumn("spend", (F.col("spend") + 1).cast("decimal(18,2)"))

@@ -14,7 +14,7 @@ from adtally.operators.keyed import prepare_for_mirror
 from adtally.operators.profile import day_if_all_parse
 from adtally.sources import changes
 from adtally.sources.tables import (
-    Layout, replace_days, stored_layout, table_names, truncate_tables, upsert_table, write_table,
+    Layout, for_copying, replace_days, stored_layout, table_names, truncate_tables, upsert_table, write_table,
 )
 
 MODES = ("auto", "merge", "truncate", "append")
@@ -79,6 +79,7 @@ def sync_tables(
         if not create and not spark.catalog.tableExists(f"{mirror}.{target}"):
             raise ValueError(f"mirror table does not exist: {mirror}.{target}")
     consumer = f"mirror {mirror}" + (f".{rename}" if rename else "")
+    copier = for_copying(spark)
     if owed:
         changes.start(spark, source)
         due, before = changes.owed(spark, source, consumer, names), changes.logged(spark, source)
@@ -86,7 +87,10 @@ def sync_tables(
         rows = spark.table(f"{source}.{name}").drop(*(exclude or {}).get(name, ()))
         target = f"{mirror}.{target}"
         is_view = spark.catalog.getTable(f"{source}.{name}").tableType == "VIEW"
-        layout = None if is_view else replace(stored_layout(spark, f"{source}.{name}"), bucket_key="", buckets=0)
+        stored = None if is_view else stored_layout(spark, f"{source}.{name}")
+        layout = replace(stored, bucket_key="", buckets=0) if stored else None
+        if stored == layout and _copied(spark, target, modes[name], layout):
+            rows = copier.table(f"{source}.{name}").drop(*(exclude or {}).get(name, ()))
         if not owed or is_view or modes[name] == "append":
             _mirror(spark, rows, name, target, modes[name], days, layout)
             continue
@@ -116,10 +120,18 @@ def _replace_days(spark: SparkSession, rows: DataFrame, name: str, target: str,
     return True
 
 
+def _copied(spark: SparkSession, target: str, mode: str, layout: Layout | None) -> bool:
+    """Whether a mirror table is written whole and by the same days or months as its source, so that files match."""
+    if layout is None or not layout.partition or mode == "append":
+        return False
+    return not spark.catalog.tableExists(target) or (mode == "truncate" and stored_layout(spark, target) == layout)
+
+
 def _mirror(
     spark: SparkSession, rows: DataFrame, name: str, target: str, mode: str, days: Sequence[date] | None, layout: Layout | None
 ) -> None:
     """Write one mirror table; a new one is laid out like its source, where that is kept by day or month."""
+    arranged = _copied(spark, target, mode, layout)
     layout = layout if layout and layout.partition else None
     if mode != "merge" or fv.DATE_PARTITION not in fv.NATURAL_KEYS[name] or not spark.catalog.tableExists(target):
         days = None
@@ -132,10 +144,14 @@ def _mirror(
         # Source tables hold a key once.
         given = {mirror_column_name(c) for c in rows.columns}
         upsert_table(
-            spark, prepared, target, order=None, keys=fv.NATURAL_KEYS[name], days=days, layout=layout,
+            spark, prepared, target, order=None, keys=fv.NATURAL_KEYS[name], days=days, layout=layout, arranged=arranged,
             nulls=[c for c in prepared.columns if c not in given],
         )
     elif mode == "truncate" and prepared.isEmpty():
         truncate_tables(spark, [target])
     else:
-        write_table(prepared, target, mode, layout)
+        write_table(prepared, target, mode, layout, arranged)
+    if arranged:
+        # Written by a session of its own.
+        spark.catalog.refreshTable(target)
+        changes.refresh(spark, target)

@@ -58,6 +58,12 @@ def _append(df: DataFrame, table: str) -> None:
     df.sparkSession.catalog.refreshTable(table)
 
 
+def refresh(spark: SparkSession, table: str) -> None:
+    """Forget what ``spark`` knows of the ledger of ``table``, to which another session may have added."""
+    for name in SCHEMAS if is_kept(spark, table) else ():
+        spark.catalog.refreshTable(f"{_split(spark, table)[0]}.{name}")
+
+
 def record(spark: SparkSession, table: str, days: Iterable[date] | None, keys: DataFrame | None = None) -> None:
     """Note that days of ``table`` are about to change, or rows with ``keys`` (one column), or all of it.
 

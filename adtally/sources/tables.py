@@ -101,10 +101,30 @@ def _create(df: DataFrame, table: str, layout: Layout, arranged: bool = False) -
     writer.saveAsTable(table)
 
 
-def write_table(df: DataFrame, table: str, mode: str = "append", layout: Layout | None = None) -> None:
+#: Days or months of which a task of a copy has files open at once; beyond, Spark sorts the rest.
+OPEN_FILES = 64
+
+
+def for_copying(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark`` whose writes leave rows in the order in which they are read.
+
+    Writing by day or month would sort each task's rows by it, which already lie so in the files they come from.
+    """
+    copier = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if copier.conf.isModifiable(name):
+            copier.conf.set(name, value)
+    copier.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES))
+    return copier
+
+
+def write_table(
+    df: DataFrame, table: str, mode: str = "append", layout: Layout | None = None, arranged: bool = False
+) -> None:
     """Create, append to (``append``), replace (``truncate``) or create only if absent or empty (``if_empty``).
 
-    An existing table keeps its layout; a new one gets the given layout or that of its name.
+    An existing table keeps its layout; a new one gets the given layout or that of its name. ``arranged`` rows come from
+    files of the same layout, and a table that is created or replaced gets them as they lie.
     """
     spark = df.sparkSession
     exists = spark.catalog.tableExists(table)
@@ -112,13 +132,13 @@ def write_table(df: DataFrame, table: str, mode: str = "append", layout: Layout
         if exists and not spark.table(table).isEmpty():
             raise ValueError(f"table is not empty: {table}")
     elif mode == "truncate" and exists:
-        replace_table(df, table)
+        replace_table(df, table, arranged)
         return
     elif mode not in ("append", "truncate"):
         raise ValueError(f"unknown mode: {mode}")
     if not exists:
         wanted = layout or layout_of(table)
-        _create(df, table, replace(wanted, partition=tuple(p for p in wanted.partition if p in df.columns)))
+        _create(df, table, replace(wanted, partition=tuple(p for p in wanted.partition if p in df.columns)), arranged)
         return
     changes.record(spark, table, None)
     add_columns(spark, table, columns_to_add(df, spark.table(table).columns))
@@ -280,6 +300,7 @@ def upsert_table(
     days: Sequence[date] | None = None,
     layout: Layout | None = None,
     nulls: Iterable[str] = (),
+    arranged: bool = False,
 ) -> None:
     """Upsert a batch into a table, creating it or growing its columns first.
 
@@ -288,7 +309,8 @@ def upsert_table(
     table only the day partitions the batch touches are read and rewritten,
     staged in full before any is replaced. They are found by a job over the
     batch's days, or given as ``days``, and then a batch row of another day
-    fails the load. ``layout`` is that of a new table. Columns named in
+    fails the load. ``layout`` is that of a new table, for which ``arranged``
+    says that the batch lies so and holds each key once. Columns named in
     ``nulls`` are NULL in every row of the batch.
 
     Types that the batch has outgrown are changed first (``migrate_types``).
@@ -308,7 +330,7 @@ def upsert_table(
             first = keep_last(first, keys, order)
         created = align_declared(first.drop(*hidden), name)
         flat = created.select(*[quoted(f.name) for f in columns_to_add(created, [])])
-        write_table(flat, table, layout=layout)
+        write_table(flat, table, layout=layout, arranged=arranged)
         return
     migrate_types(spark, table, batch)
     add_columns(spark, table, columns_to_add(batch.drop(*hidden), spark.table(table).columns, name))

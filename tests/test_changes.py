@@ -4,6 +4,7 @@ import uuid
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from adtally import fixed_values as fv
 from adtally.operators import reshape
@@ -219,3 +220,21 @@ def test_days_that_are_dates_reach_the_scan(spark, tmp_path):
     chosen = loads._between(spark.read.parquet(path), date(2024, 1, 1), date(2024, 1, 31))
     pushed = chosen._jdf.queryExecution().executedPlan().toString().split("PushedFilters: [")[1].split("]")[0]
     assert "GreaterThanOrEqual(date_start" in pushed and "LessThanOrEqual(date_start" in pushed and chosen.count() == 1
+
+
+def test_a_mirror_by_month_is_copied_as_it_lies(spark, database, monkeypatch):
+    mirror, name = new_database(spark, "copied"), fv.COMBINED
+    rows = facts(spark, [(str(n), date(2024, 1 + n % 3, 5), n) for n in range(60)]).withColumn("date_month", F.trunc("date_start", "MM"))
+    tables.write_table(rows, f"{database}.{name}", layout=tables.Layout(("date_month",), ("ad_id",)))
+    arranged = []
+    real = tables.laid_out
+    monkeypatch.setattr(tables, "laid_out", lambda *a, **k: arranged.append(1) or real(*a, **k))
+    read = lambda db: sorted(tuple(r) for r in spark.table(f"{db}.{name}").select("ad_id", "date_start", "clicks", "date_month").collect())
+    sync.sync_tables(spark, database, mirror, [name], create=True)
+    assert not arranged and read(mirror) == read(database)
+    tables.replace_table(spark.table(f"{database}.{name}").withColumn("clicks", F.col("clicks") + 1), f"{database}.{name}")
+    arranged.clear()
+    sync.sync_tables(spark, database, mirror, [name])
+    assert not arranged and read(mirror) == read(database) and read(mirror)[0][2] == 1
+    assert tables.stored_layout(spark, f"{mirror}.{name}").partition == ("date_month",)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"

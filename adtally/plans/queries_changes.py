@@ -245,7 +245,8 @@ def stream_rejects(t: Tables) -> DataFrame:
 )
 def star_bucketed(t: Tables) -> DataFrame:
     """Facts, ads and creatives loaded into buckets and joined as they lie, ads with many rows apart from the others."""
-    database, buckets = m.new_database(t.spark, "buckets"), 2
+    # Ads are the largest of these tables; counted from footers.
+    database, buckets = m.new_database(t.spark, "buckets"), tables.buckets_for(t.orders.count())
     loads.load_facts(t.spark, landed_delivery(t), "ad", database, ["_ingest"], buckets=buckets, **KNOWN)
     creatives = t.customer.select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("title"), F.col("c_custkey").alias("_ingest")

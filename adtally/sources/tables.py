@@ -41,6 +41,15 @@ class Layout:
     buckets: int = 0
 
 
+#: Rows that a bucket should hold at most: it is one task of a join, which sorts it.
+BUCKET_ROWS = 1_000_000
+
+
+def buckets_for(rows: int, least: int = 2) -> int:
+    """How many buckets tables get of which the largest has so many rows."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
 def layout_of(table: str, buckets: int = 0, keys: Sequence[str] | None = None) -> Layout:
     """The layout for a table name; with ``buckets`` it is bucketed by its entity id.
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from adtally import fixed_values as fv
 from adtally.operators import reshape
 from adtally.operators.star import star_of_buckets, star_view
-from adtally.plans import loads, sync
-from adtally.plans.driver_model import new_database
+from adtally.plans import loads, queries_changes, sync
+from adtally.plans.driver_model import Tables, new_database
 from adtally.sources import changes, landed, tables
 from adtally.streaming import landing
 
@@ -238,3 +238,22 @@ def test_a_mirror_by_month_is_copied_as_it_lies(spark, database, monkeypatch):
     assert not arranged and read(mirror) == read(database) and read(mirror)[0][2] == 1
     assert tables.stored_layout(spark, f"{mirror}.{name}").partition == ("date_month",)
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_buckets_grow_with_the_tables(spark, tmp_path, monkeypatch):
+    assert (tables.buckets_for(5), tables.buckets_for(4_500_000)) == (2, 5)
+    spark.range(35).selectExpr(
+        "id AS o_orderkey", "id AS o_custkey", "'F' AS o_orderstatus", "DOUBLE(1) AS o_totalprice",
+        "TIMESTAMP'1995-01-01' AS o_orderdate", "'x' AS o_orderpriority",
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 5)
+    seen = []
+
+    def load_facts(*args, buckets, **known):
+        seen.append(buckets)
+        raise RuntimeError("seen")
+
+    monkeypatch.setattr(loads, "load_facts", load_facts)
+    with pytest.raises(RuntimeError, match="seen"):
+        queries_changes.star_bucketed(Tables(spark, str(tmp_path)))
+    assert seen == [7]

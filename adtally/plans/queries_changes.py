@@ -5,6 +5,9 @@ Where a query must show that something was left alone, it first puts a mark ther
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from adtally import fixed_values as fv
@@ -18,7 +21,7 @@ from adtally.plans.queries_reshape import K_SQL, event_metrics
 from adtally.plans.sync import sync_tables
 from adtally.session import scratch_path
 from adtally.sources import changes, landed, tables
-from adtally.streaming.landing import REJECTS, stream_facts
+from adtally.streaming.landing import REASONS, REJECTS, stream_facts
 
 
 @query(
@@ -230,9 +233,22 @@ def stream_rejects(t: Tables) -> DataFrame:
         stream_facts(t.spark, path, "ad", database, progress, metric_types={}, numeric_text=["spend"]).awaitTermination()
     rejected = t.spark.table(f"{database}.{REJECTS}").select("reason", "line")
     loaded = t.spark.table(f"{database}.{fv.AD_FACT}").select(F.lit("loaded").alias("reason"), F.col("ad_id").alias("line"))
-    return rejected.unionByName(loaded).groupBy("reason").agg(
-        F.count(F.lit(1)).alias("row_count"), F.min("line").alias("first_line"), F.max("line").alias("last_line")
-    )
+    return extent(loaded, ["loaded"]).unionByName(extent(rejected, REASONS))
+
+
+def extent(lines: DataFrame, reasons: Sequence[str]) -> DataFrame:
+    """How many lines there are for each of the reasons, the first and the last; no row for a reason without lines.
+
+    Least and largest texts by group would sort all lines in every task; an aggregate without groups keeps one row.
+    """
+    per_reason = [
+        lines.where(F.col("reason") == reason).agg(
+            F.lit(reason).alias("reason"), F.count(F.lit(1)).alias("row_count"),
+            F.min("line").alias("first_line"), F.max("line").alias("last_line"),
+        ).where("row_count > 0")
+        for reason in reasons
+    ]
+    return reduce(DataFrame.unionByName, per_reason)
 
 
 @query(

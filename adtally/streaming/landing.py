@@ -19,6 +19,10 @@ from adtally.sources.landed import ARRIVAL_ORDER, UNREADABLE, arrival_columns, i
 
 
 REJECTS = "etl_rejected_lines"
+#: Why a line is rejected: its text can't be read, or is something else than a record.
+REASONS = NO_JSON, NO_OBJECT = "no JSON", "no JSON object"
+#: Of a staged batch a task reads so much.
+TASK_READS = "16m"
 #: One partition per stream and batch, so that a batch that runs again replaces what it rejected.
 REJECT_SCHEMA = "line STRING, reason STRING, file STRING, arrived TIMESTAMP, stream STRING, batch BIGINT"
 
@@ -42,7 +46,7 @@ def _lines(spark: SparkSession, path: str, level: str, breakdowns: Sequence[str]
 def rejected_lines(lines: DataFrame) -> DataFrame:
     """What ``readable`` leaves out of landed lines: text, reason, file and its time."""
     shape = F.schema_of_variant(F.try_parse_json(UNREADABLE))
-    reason = F.when(shape.isNull(), "no JSON").when(~shape.startswith("OBJECT"), "no JSON object")
+    reason = F.when(shape.isNull(), NO_JSON).when(~shape.startswith("OBJECT"), NO_OBJECT)
     text = F.col(UNREADABLE)
     return lines.select(
         text.alias("line"), reason.alias("reason"), F.col("_file").alias("file"), F.col("_arrived").alias("arrived")
@@ -56,8 +60,9 @@ def _keep_rejected(spark: SparkSession, lines: DataFrame, database: str, stream:
     if not spark.catalog.tableExists(table):
         spark.createDataFrame([], REJECT_SCHEMA).write.partitionBy("stream", "batch").saveAsTable(table)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (stream = '{stream}', batch = {batch})")
-    named = rejected.withColumns({"stream": F.lit(stream), "batch": F.lit(batch).cast("bigint")})
-    named.coalesce(1).write.insertInto(table)
+    # Found by many tasks; few lines make one file, many make several.
+    gathered = rejected.hint("rebalance", "line")
+    gathered.withColumns({"stream": F.lit(stream), "batch": F.lit(batch).cast("bigint")}).write.insertInto(table)
     spark.catalog.refreshTable(table)
 
 
@@ -83,6 +88,8 @@ def stream_facts(
     def load(batch: DataFrame, number: int) -> None:
         # Several jobs look at a batch; it is read from its files once.
         own = batch.sparkSession
+        # The stream's own session. Staged lines are small, mostly NULL fields; a task that ranks them sorts what it reads.
+        own.conf.set("spark.sql.files.maxPartitionBytes", TASK_READS)
         path = write_stage(batch.withColumn("_line", F.monotonically_increasing_id()), "landing-batch")
         lines = own.read.schema(batch.schema.add("_line", T.LongType())).parquet(path)
         _keep_rejected(own, lines, database, stream, number)

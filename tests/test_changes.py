@@ -257,3 +257,23 @@ def test_buckets_grow_with_the_tables(spark, tmp_path, monkeypatch):
     with pytest.raises(RuntimeError, match="seen"):
         queries_changes.star_bucketed(Tables(spark, str(tmp_path)))
     assert seen == [7]
+
+
+def test_first_and_last_lines_need_no_sort(spark):
+    lines = spark.createDataFrame([("no JSON", "b"), ("no JSON", "a"), ("other", "z")], "reason STRING, line STRING")
+    got = queries_changes.extent(lines, landing.REASONS)
+    assert "Sort [" not in got._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in got.collect()] == [("no JSON", 2, "a", "b")]
+
+
+def test_rejected_lines_are_found_by_several_tasks(spark, database):
+    ddl = f"ad_id STRING, {landed.UNREADABLE} STRING, _file STRING, _arrived TIMESTAMP"
+    lines = spark.createDataFrame([(None, f"[{n}]", "f", None) for n in range(40)], ddl).repartition(4)
+    landing._keep_rejected(spark, lines, database, "s", 1)
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    landing._keep_rejected(spark, lines, database, "s", 2)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    assert len(stages) > 1 and spark.table(f"{database}.{landing.REJECTS}").where("batch = 2").count() == 40

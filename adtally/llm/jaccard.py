@@ -96,6 +96,13 @@ def beginning(size: np.ndarray | int) -> np.ndarray | int:
     return size - (SHARE * size + 99) // 100 + 1
 
 
+def reach_of(size: int, first: int) -> np.ndarray:
+    """For each of the ``first`` n-grams a set of this size begins with, the largest set that may be linked to it if this
+    is the first n-gram they have in common: those before it are in one set only.
+    """
+    return ((100 * size - (100 + SHARE) * np.arange(first)) // SHARE).astype(np.int32)
+
+
 class Order:
     """The order of all n-grams: frequent ones are known by hash with their rank, all others go by hash before them."""
 
@@ -251,7 +258,7 @@ def _of_texts(texts: DataFrame, kept: list[str], rows: Callable[[np.ndarray], li
 
 
 def beginnings(docs: DataFrame, sets: DataFrame, repeated: DataFrame, order: Order) -> DataFrame:
-    """gram, node, n: what each set begins with, but for n-grams that no other document begins with.
+    """gram, node, n, reach: what each set begins with, but for n-grams that no other document begins with.
 
     For most sets the n-grams kept with them are enough. Sets with many frequent ones among those are made anew.
     """
@@ -266,22 +273,28 @@ def beginnings(docs: DataFrame, sets: DataFrame, repeated: DataFrame, order: Ord
         return [part.column(i).filter(pa.array(lacking, pa.bool_())) for i in (3, 1, 2)]
 
     def late_rows(grams: np.ndarray) -> list[pa.Array]:
-        return [pa.array(shared.value.first(grams, beginning(len(grams))).view(np.int64))]
+        head = shared.value.first(grams, beginning(len(grams)))
+        return [pa.array(head.view(np.int64)), pa.array(reach_of(len(grams), len(head)))]
 
     wanted = stage(_of_zones(sets, short, "text_hash long, node binary, n int").dropDuplicates(["node"]), "jaccard-short")
-    late = stage(_of_texts(texts_of(docs, wanted), ["node", "n"], late_rows, "gram bigint"), "jaccard-late")
+    late = stage(_of_texts(texts_of(docs, wanted), ["node", "n"], late_rows, "gram bigint, reach int"), "jaccard-late")
     worth = context.broadcast(gather_filter(repeated.select(F.col("gram").alias("h")).union(late.select("gram"))))
 
     def rows(part: pa.RecordBatch, zones: list[np.ndarray]) -> list[pa.Array]:
-        heads = []
+        heads, reaches = [], []
         for zone, n in zip(zones, part.column(2).to_pylist(), strict=True):
             head = shared.value.first(zone, beginning(n)) if enough(zone, n) else zone[:0]
-            heads.append(head[worth.value.has(head)])
+            held = worth.value.has(head)
+            heads.append(head[held])
+            reaches.append(reach_of(n, len(head))[held])
         which = pa.array(np.repeat(np.arange(len(zones)), [len(h) for h in heads]))
-        return [pa.array(np.concatenate(heads).view(np.int64)), part.column(1).take(which), part.column(2).take(which)]
+        return [
+            pa.array(np.concatenate(heads).view(np.int64)), part.column(1).take(which), part.column(2).take(which),
+            pa.array(np.concatenate(reaches)),
+        ]
 
-    early = _of_zones(sets, rows, "gram long, node binary, n int")
-    return early.union(late.select("gram", "node", "n")).distinct()
+    early = _of_zones(sets, rows, "gram long, node binary, n int, reach int")
+    return early.union(late.select("gram", "node", "n", "reach")).repartition("gram").distinct()
 
 
 def near_in_size(a: Column, b: Column) -> Column:
@@ -290,9 +303,17 @@ def near_in_size(a: Column, b: Column) -> Column:
 
 
 def in_company(found: DataFrame) -> DataFrame:
-    """Rows of n-grams that more than one node begins with, with how many do, as ``length``."""
-    lengths = found.groupBy("gram").agg(F.count(F.lit(1)).alias("length")).filter("length > 1")
-    return found.join(lengths, "gram")
+    """Rows of n-grams that more than one node begins with, with how many do, as ``length``.
+
+    Nodes that no other one's size and reach allow a link with there are left out: all of them where two meet, and
+    elsewhere those that the least size and the largest reach rule out.
+    """
+    lengths = found.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("length"), F.min("n").alias("low"), F.max("reach").alias("high"),
+        F.sum("n").alias("both"), F.min(F.col("n").cast("long") + F.col("reach")).alias("least"),
+    ).filter("length > 2 OR (length = 2 AND least >= both)")
+    fit = found.join(lengths, "gram").filter("reach >= low AND high >= n")
+    return fit.select("gram", "node", "n", "reach", "length")
 
 
 def around_centres(posts: DataFrame) -> DataFrame:
@@ -320,17 +341,23 @@ def coarse(shape: Column) -> Column:
     return F.array(*[word(i) for i in range(SHAPE)])
 
 
-def _close(runs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows i < j of one n-gram's nodes (size, component, shape) that may be linked and are not known to be."""
-    size, root, shape = runs
-    step = max(1, (1 << 19) // (SHAPE * len(size)))
+def _close(
+    size: np.ndarray, reach: np.ndarray, root: np.ndarray, shape: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows i < j of one n-gram's nodes that may be linked and are not known to be.
+
+    Sizes are asked first: the shapes of a large and a small set say little, as the small one's has few bits.
+    """
+    step = max(1, (1 << 17) // len(size))
     for start in range(0, len(size), step):
         mine = slice(start, start + step)
-        apart = np.bitwise_count(shape[mine, None] ^ shape[None, start:]).sum(2, dtype=np.int64)
-        total = size[mine, None] + size[None, start:]
-        near = (100 * (total - apart) >= SHARE * (total + apart)) & (root[mine, None] != root[None, start:])
-        i, j = np.nonzero(near)
-        yield i[j > i] + start, j[j > i] + start
+        fit = (size[mine, None] <= reach[None, start:]) & (size[None, start:] <= reach[mine, None])
+        i, j = np.nonzero(fit & (root[mine, None] != root[None, start:]))
+        i, j = i[j > i] + start, j[j > i] + start
+        apart = np.bitwise_count(shape[i] ^ shape[j]).sum(1, dtype=np.int64)
+        total = size[i] + size[j]
+        near = 100 * (total - apart) >= SHARE * (total + apart)
+        yield i[near], j[near]
 
 
 def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,7 +366,7 @@ def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
         table = table.combine_chunks()
-        gram, cell, size = (table[c].to_numpy() for c in ("gram", "cell", "n"))
+        gram, cell, size, reach = (table[c].to_numpy() for c in ("gram", "cell", "n", "reach"))
         node = table["node"].combine_chunks() if isinstance(table["node"], pa.ChunkedArray) else table["node"]
         root = table["root"].combine_chunks().dictionary_encode().indices.to_numpy()
         shape = table["shape"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, SHAPE)
@@ -347,8 +374,8 @@ def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left, right = [], []
         for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(gram)], strict=True):
             run = slice(start, end)
-            if end > start + 1:
-                for i, j in _close([size[run].astype(np.int64), root[run], shape[run]]):
+            if (root[run] != root[start]).any():
+                for i, j in _close(size[run].astype(np.int64), reach[run], root[run], shape[run]):
                     left.append(i + start)
                     right.append(j + start)
         if left and (i := np.concatenate(left)).size:
@@ -372,23 +399,22 @@ def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def across(posts: DataFrame, roots: DataFrame, nodes: DataFrame, block: int = BLOCK) -> DataFrame:
     """Pairs a, b of nodes that begin with the same n-gram, are in different components (``roots``: node, root), and
-    whose coarse shapes and sizes allow a link.
+    whose sizes, reaches and coarse shapes allow a link.
 
     Nodes of an n-gram are compared where they meet, and only pairs that pass are rows. An n-gram of more than
     ``block`` nodes is cut into blocks, each pair of which is a cell of its own.
     """
-    placed = posts.select("gram", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = placed.groupBy("gram").agg(
-        F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("length")
-    ).filter("low <> high").select("gram", F.ceil(F.col("length") / block).cast("int").alias("k"))
-    shapes = nodes.select("node", coarse(F.col("shape")).alias("shape"))
-    met = placed.join(several, "gram").join(shapes, "node")
+    placed = nodes.select("node", coarse(F.col("shape")).alias("shape")).join(roots, "node", "left")
+    several = F.ceil(F.col("length") / block).cast("int").alias("k")
+    met = posts.select("gram", "node", "n", "reach", several).join(
+        placed.withColumn("root", F.coalesce("root", "node")), "node"
+    )
     mine = F.pmod(F.xxhash64("node"), F.col("k")).cast("int")
     cells = F.transform(
         F.sequence(F.lit(0), F.col("k") - 1),
         lambda j: F.least(mine, j).cast("long") * F.lit(1 << 31) + F.greatest(mine, j),
     )
-    dealt = met.select("gram", F.explode(cells).alias("cell"), "node", "n", "root", "shape")
+    dealt = met.select("gram", F.explode(cells).alias("cell"), "node", "n", "reach", "root", "shape")
     ordered = dealt.repartition("gram", "cell").sortWithinPartitions("gram", "cell")
     return ordered.mapInArrow(_compare, "a binary, b binary").distinct()
 

@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from adtally.llm import jaccard
 
@@ -124,3 +125,32 @@ def test_shapes_never_differ_in_more_bits_than_sets():
         shapes = [np.bitwise_xor.reduce(s, axis=0).view(np.uint64) for s in shapes]
         apart = int(np.bitwise_count(shapes[0] ^ shapes[1]).sum())
         assert apart <= len(np.setxor1d(one, two))
+
+
+def test_sets_of_far_sizes_are_no_pair_whatever_their_shapes_say(spark):
+    common = " ".join(f"c{i}" for i in range(4))
+    rows = [(i, common + " " + " ".join(f"w{i}.{j}" for j in range(n))) for i, n in enumerate([9000, 9000, 30, 30, 40])]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    sets = jaccard.stage(jaccard.describe(docs), "test-sets")
+    nodes = sets.select("node", F.col("n_shingles").cast("int").alias("n"), "shape", "text_hash")
+    one = nodes.select(F.lit(1).cast("long").alias("gram"), "node", "n", F.expr("int(100 * n / 85)").alias("reach"), F.lit(5).alias("length"))
+    roots = nodes.select("node", F.col("node").alias("root"))
+    size = {r["node"]: r["n"] for r in nodes.collect()}
+    for a, b in jaccard.across(one, roots, nodes).collect():
+        assert 100 * min(size[a], size[b]) >= 85 * max(size[a], size[b])
+
+
+def test_reaches_allow_each_linked_pair_at_its_first_common_ngram():
+    rng = np.random.default_rng(6)
+    linked = 0
+    for _ in range(400):
+        one = np.unique(rng.integers(0, 10**6, 60).astype(np.uint64))
+        two = np.unique(np.concatenate([one[rng.random(len(one)) < 0.93], rng.integers(0, 10**6, rng.integers(0, 4)).astype(np.uint64)]))
+        both = len(np.intersect1d(one, two))
+        if 100 * both >= 85 * (len(one) + len(two) - both):
+            linked += 1
+            heads = [g[:jaccard.beginning(len(g))] for g in (one, two)]
+            first = np.intersect1d(*heads)[0]
+            for g, head, other in ((one, heads[0], two), (two, heads[1], one)):
+                assert jaccard.reach_of(len(g), len(head))[np.searchsorted(head, first)] >= len(other)
+    assert linked > 50

@@ -70,6 +70,7 @@ def compile_gadgets(model: str) -> dict:
     return {
         "vocab": vocab, "cuts": cuts, "made": made, "special": special,
         "labels": {i: t for t, i in (vocab | special).items()}, "reach": _reach(vocab),
+        "numbers": {i: str(i) for i in (vocab | special).values()},
         "arcs": {}, "words": {}, "older": {}, **(unicode_tables(model) if spec.get("pre_tokenizer") else {}),
     }
 
@@ -107,12 +108,12 @@ def encode_word(tables: dict, word: str) -> list[int]:
 
     Longer arcs are tried first. As a prefix has one path only, a place that leads nowhere is given up for good.
     """
-    vocab, arcs, reach, size = tables["vocab"], tables["arcs"], tables["reach"], len(word)
+    get, arcs, reach, size, whole = tables["vocab"].get, tables["arcs"], tables["reach"], len(word), word + WORD_END
     path, starts, lost = [], [], set()
     at, last, end = 0, -1, min(size, reach.get(word[:HEAD], HEAD - 1))
     while at < size:
         while end > at:
-            token = vocab.get(word[at:end] if end < size else word[at:] + WORD_END)
+            token = get(word[at:end] if end < size else whole[at:])
             if token is not None and end not in lost:
                 if not at:
                     break
@@ -193,17 +194,24 @@ def _chunk(tables: dict, chunk: str) -> tuple[tuple[int, ...], str, str]:
         words = tables["words"]
     found = words.get(chunk) or tables["older"].get(chunk)
     if found is None:
-        ids: list[int] = []
         ascii = chunk.isascii()
-        pieces = ASCII_PIECES.findall(chunk) if ascii else tables["pieces"].findall(chunk.translate(tables["newer"]))
-        for piece in pieces:
-            if len(pieces) > 1:
-                ids += (words.get(piece) or _chunk(tables, piece))[0]
-            else:
+        if ascii and chunk.isalpha():
+            pieces = [chunk]
+        else:
+            pieces = ASCII_PIECES.findall(chunk) if ascii else tables["pieces"].findall(chunk.translate(tables["newer"]))
+        if len(pieces) > 1:
+            parts = [part for piece in pieces if (part := words.get(piece) or _chunk(tables, piece))[0]]
+            found = (
+                tuple([i for part in parts for i in part[0]]),
+                " ".join([part[1] for part in parts]), " ".join([part[2] for part in parts]),
+            )
+        else:
+            ids: list[int] = []
+            for piece in pieces:
                 plain = ascii and piece.isprintable()
-                ids += encode_word(tables, piece if plain else "".join([SYMBOLS[b] for b in piece.encode()]))
-        labels = tables["labels"]
-        found = tuple(ids), " ".join(map(str, ids)), " ".join([labels[i] for i in ids])
+                ids = encode_word(tables, piece if plain else "".join([SYMBOLS[b] for b in piece.encode()]))
+            labels, numbers = tables["labels"], tables["numbers"]
+            found = tuple(ids), " ".join([numbers[i] for i in ids]), " ".join([labels[i] for i in ids])
     tables["words"][chunk] = found
     return found
 

@@ -11,7 +11,6 @@ go back to all workers, a bounded number whatever the corpus; links of other pai
 
 from __future__ import annotations
 
-import ctypes
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adtally.llm.bpe import byte_symbols
-from adtally.llm.rows import in_slices, stage, text_or_empty
+from adtally.llm.rows import give_back, in_slices, stage, text_or_empty
 
 #: Bytes of text that are aligned at a time; longer texts are cut between words.
 PIECE = 1 << 19
@@ -137,14 +136,6 @@ class Words:
         return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
 
 
-def give_back() -> None:
-    """Memory that is free goes back to the system: workers live on, and two share an executor's limit."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
-
-
 _WORDS: dict[bytes, Words] = {}
 
 

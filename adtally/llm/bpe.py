@@ -31,7 +31,7 @@ REMEMBERED = 150_000
 #: Symbols by which the longest arc that may follow is looked up.
 HEAD = 3
 #: Arcs whose fate a worker remembers.
-ARCS = 2_000_000
+ARCS = 500_000
 
 
 def byte_symbols() -> list[str]:
@@ -71,7 +71,8 @@ def compile_gadgets(model: str) -> dict:
         "vocab": vocab, "cuts": cuts, "made": made, "special": special,
         "labels": {i: t for t, i in (vocab | special).items()}, "reach": _reach(vocab),
         "numbers": {i: str(i) for i in (vocab | special).values()},
-        "arcs": {}, "words": {}, "older": {}, **(unicode_tables(model) if spec.get("pre_tokenizer") else {}),
+        "arcs": {}, "words": {}, "older": {}, "texts": False,
+        **(unicode_tables(model) if spec.get("pre_tokenizer") else {}),
     }
 
 
@@ -186,9 +187,9 @@ SEPARATORS = regex.compile(r"[\x1c-\x1f]")
 BLANKS = regex.compile(r"\p{White_Space}+")
 
 
-def _chunk(tables: dict, chunk: str) -> tuple[tuple[int, ...], str, str]:
-    """Tokens of a run without blanks: ids, ids as text, labels as text."""
-    words = tables["words"]
+def _chunk(tables: dict, chunk: str) -> tuple:
+    """Tokens of a run without blanks: ids and, where ``texts`` asks for them, ids as text, labels as text."""
+    words, texts = tables["words"], tables["texts"]
     if len(words) >= REMEMBERED:
         tables["older"], tables["words"] = words, {}
         words = tables["words"]
@@ -201,22 +202,23 @@ def _chunk(tables: dict, chunk: str) -> tuple[tuple[int, ...], str, str]:
             pieces = ASCII_PIECES.findall(chunk) if ascii else tables["pieces"].findall(chunk.translate(tables["newer"]))
         if len(pieces) > 1:
             parts = [part for piece in pieces if (part := words.get(piece) or _chunk(tables, piece))[0]]
-            found = (
-                tuple([i for part in parts for i in part[0]]),
-                " ".join([part[1] for part in parts]), " ".join([part[2] for part in parts]),
-            )
+            found = (tuple([i for part in parts for i in part[0]]),)
+            if texts:
+                found += " ".join([part[1] for part in parts]), " ".join([part[2] for part in parts])
         else:
             ids: list[int] = []
             for piece in pieces:
                 plain = ascii and piece.isprintable()
                 ids = encode_word(tables, piece if plain else "".join([SYMBOLS[b] for b in piece.encode()]))
-            labels, numbers = tables["labels"], tables["numbers"]
-            found = tuple(ids), " ".join([numbers[i] for i in ids]), " ".join([labels[i] for i in ids])
+            found = (tuple(ids),)
+            if texts:
+                labels, numbers = tables["labels"], tables["numbers"]
+                found += " ".join([numbers[i] for i in ids]), " ".join([labels[i] for i in ids])
     tables["words"][chunk] = found
     return found
 
 
-def _parts(tables: dict, text: str) -> list[tuple[tuple[int, ...], str, str]]:
+def _parts(tables: dict, text: str) -> list[tuple]:
     """The tokens of a whole text, chunk by chunk. Special tokens are found before the text is normalised."""
     parts = []
     special = tables["special"]
@@ -234,10 +236,17 @@ def _parts(tables: dict, text: str) -> list[tuple[tuple[int, ...], str, str]]:
     return parts
 
 
-def _load(spark: SparkSession, path: str):
-    """The compiled tables for all executors; they have the size of the vocabulary, whatever the corpus."""
+def _ids(tables: dict, raw: bytes) -> list[int]:
+    return [i for part in _parts(tables, raw.decode("utf-8", "replace")) for i in part[0]]
+
+
+def _load(spark: SparkSession, path: str, texts: bool = False):
+    """The compiled tables for all executors; they have the size of the vocabulary, whatever the corpus.
+
+    With ``texts`` a worker remembers the text of a word's tokens too, which takes more than twice the memory.
+    """
     with open(path, encoding="utf-8") as file:
-        return spark.sparkContext.broadcast(compile_gadgets(file.read()))
+        return spark.sparkContext.broadcast(compile_gadgets(file.read()) | {"texts": texts})
 
 
 def encode(docs: DataFrame, path: str) -> DataFrame:
@@ -249,9 +258,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     shared = _load(docs.sparkSession, path)
 
     def score(texts: list[bytes]) -> list[pa.Array]:
-        ids = [
-            [i for part in _parts(shared.value, t.decode("utf-8", "replace")) for i in part[0]] for t in texts
-        ]
+        ids = [_ids(shared.value, t) for t in texts]
         return [pa.array(list(map(len, ids)), pa.int64()), pa.array(ids, pa.list_(pa.int32()))]
 
     return per_text(docs, score, "n_tokens long, ids array<int>")
@@ -279,11 +286,10 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     shared = _load(docs.sparkSession, path)
 
     def score(texts: list[bytes]) -> list[pa.Array]:
-        parts = [_parts(shared.value, t.decode("utf-8", "replace")) for t in texts]
-        ids = [[i for part in held for i in part[0]] for held in parts]
+        ids, labels = [_ids(shared.value, t) for t in texts], shared.value["labels"]
         return [
             pa.array(list(map(len, ids)), pa.int64()), pa.array(ids, pa.list_(pa.int32())),
-            pa.array([" ".join([part[2] for part in held]) for held in parts], pa.string()),
+            pa.array([" ".join([labels[i] for i in held]) for held in ids], pa.string()),
         ]
 
     return per_text(docs, score, "n_tokens long, ids array<int>, decoded string")
@@ -291,7 +297,7 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every whole text, encoded and decoded in one pass."""
-    shared = _load(docs.sparkSession, path)
+    shared = _load(docs.sparkSession, path, texts=True)
 
     def score(texts: list[bytes]) -> list[pa.Array]:
         counts, ids, decoded = [], [], []

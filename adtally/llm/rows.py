@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,10 +12,13 @@ from pyspark.sql import types as T
 
 from adtally.session import stage
 
-__all__ = ["bit_filter", "fresh", "in_slices", "join_split", "may_hold", "per_text", "repeat_rows", "stage", "text_or_empty", "without"]
+__all__ = ["bit_filter", "fresh", "give_back", "in_slices", "join_split", "may_hold", "per_text", "repeat_rows", "small_batches", "stage", "text_or_empty", "without"]
 
 #: Bytes of text that a Python worker turns into objects at a time.
 SLICE_BYTES = 1 << 20
+#: Bytes that Spark hands to a Python worker at a time where a session leaves it at Spark's default, 64 MB: a batch takes
+#: twice that outside the JVM's heap while it grows, and as much in the worker.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 #: Bits of a filter that is broadcast: at most 2**(FILTER_BITS - 6) rows of 64 bits, 4 MB, whatever the input.
 FILTER_BITS = 24
 #: Rows of one key from which join_split broadcasts what the key is joined with, and such keys at most.
@@ -33,6 +37,21 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Memory that is free goes back to the system: workers live on, and two share an executor's limit."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def small_batches(docs: DataFrame) -> None:
+    """Whole texts of the session come to Python in batches of ``BATCH_BYTES``, unless it was told how large."""
+    conf = docs.sparkSession.conf
+    if conf.get(BATCH_SETTING, None) is None:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def in_slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows whose binary ``column`` holds about ``most`` bytes; a longer row stands alone."""
     sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
@@ -100,6 +119,7 @@ def per_text(docs: DataFrame, score: Callable[[list[bytes]], list[pa.Array]], co
 
     One pass without a shuffle. A null text is empty; every row of ``docs`` gives one row, in any order.
     """
+    small_batches(docs)
     narrow = docs.select("doc_id", text_or_empty().cast("binary").alias("text"))
     fields = T.StructType.fromDDL(columns)
     schema = T.StructType([narrow.schema["doc_id"], *fields.fields])
@@ -109,6 +129,7 @@ def per_text(docs: DataFrame, score: Callable[[list[bytes]], list[pa.Array]], co
         for batch in batches:
             for part in in_slices(batch, 1):
                 yield pa.RecordBatch.from_arrays([part.column(0), *score(part.column(1).to_pylist())], names=names)
+        give_back()
 
     return narrow.mapInArrow(run, schema)
 
@@ -118,6 +139,7 @@ def repeat_rows(docs: DataFrame, copies: Callable[[pa.RecordBatch, list[bytes]],
 
     One pass without a shuffle or join.
     """
+    small_batches(docs)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,5 +151,6 @@ def repeat_rows(docs: DataFrame, copies: Callable[[pa.RecordBatch, list[bytes]],
                 start += part.num_rows
                 times = copies(rows, [t or b"" for t in part.column(0).to_pylist()])
                 yield rows.take(pa.array([i for i, n in enumerate(times) for _ in range(n)], pa.int64()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

@@ -6,10 +6,11 @@ import random
 import re
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 import regex
 
-from adtally.llm import bpe, chat, licences, urls
+from adtally.llm import bpe, chat, licences, rows, urls
 
 CASES = [
     None, "", " \n\t ", "Hello, World! it's we'll", "<|endoftext|>a<|startoftext|> b <|endoftext|", "ΑΣ ΣΑΣ. İstanbul",
@@ -223,3 +224,26 @@ def test_words_of_an_older_generation_are_remembered(monkeypatch):
     first = [p[0] for p in bpe._parts(tables, text)]
     assert [p[0] for p in bpe._parts(tables, text)] == first
     assert len(tables["words"]) <= 4 and len(tables["older"]) <= 4
+
+
+def test_only_ids_are_remembered_unless_texts_are_asked_for():
+    with open(bpe.vocabulary_path(), encoding="utf-8") as file:
+        tables = bpe.compile_gadgets(file.read())
+    bpe._parts(tables, "some words, don't 12\u00e9")
+    assert tables["words"] and all(len(found) == 1 for found in tables["words"].values())
+    tables |= {"texts": True, "words": {}}
+    bpe._parts(tables, "some words, don't 12\u00e9")
+    assert tables["words"] and all(len(found) == 3 for found in tables["words"].values())
+
+
+def test_whole_texts_reach_python_in_small_batches(spark):
+    docs = spark.range(0, 4000, 1, 1).selectExpr("id AS doc_id", "repeat('a', 3000) AS text")
+    spark.conf.unset(rows.BATCH_SETTING)
+    rows.per_text(docs, lambda texts: [pa.array([1] * len(texts), pa.int64())], "n long")
+    sizes = docs.mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in bs), "n long")
+    held = [r["n"] for r in sizes.collect()]
+    assert sum(held) == 4000 and max(held) * 3000 <= rows.BATCH_BYTES + 3000
+    spark.conf.set(rows.BATCH_SETTING, str(9 << 20))
+    rows.repeat_rows(docs, lambda batch, texts: [1] * len(texts))
+    assert spark.conf.get(rows.BATCH_SETTING) == str(9 << 20)
+    spark.conf.unset(rows.BATCH_SETTING)

@@ -12,6 +12,7 @@ go back to all workers, a bounded number whatever the corpus; links of other pai
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
@@ -141,6 +142,8 @@ _WORDS: dict[bytes, Words] = {}
 
 def _words(name: bytes, files: tuple[str, bytes]) -> Words:
     """One per worker and tokenizer pair."""
+    # Tasks keep the cores busy; the library's own threads would only spin beside them.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if name not in _WORDS:
         _WORDS.clear()
         _WORDS[name] = Words(*files)

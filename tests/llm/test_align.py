@@ -131,3 +131,11 @@ def test_counts_sent_out_are_bounded(spark):
     least = align._known(df, 30)
     assert df.filter(df.docs >= least).count() <= 30
     assert align._known(df, 90) == 1 and df.filter(df.docs >= align._known(df, 0)).count() == 0
+
+
+def test_a_worker_encodes_without_threads_of_the_library(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    monkeypatch.setattr(align, "_WORDS", {})
+    with open(FIRST, encoding="utf-8") as one, open(SECOND, "rb") as two:
+        align._words(b"pair", (one.read(), two.read()))
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
